@@ -18,7 +18,9 @@ def _bucket(value: Column) -> Column:
     x = value.cast("double")
     size = F.floor(F.log1p(F.abs(x)) * BUCKETS_PER_E)
     signed = F.when(x < 0, -size - 1).otherwise(size)
-    return F.when(F.isnan(x), F.lit(2**62)).otherwise(signed)
+    # Never NULL, and Spark is told so: a null filter on one use of the counts would keep
+    # the other from reusing their shuffle.
+    return F.coalesce(F.when(F.isnan(x), F.lit(2**62)).otherwise(signed), F.lit(0))
 
 
 def group_quantiles(
