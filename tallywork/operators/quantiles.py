@@ -20,7 +20,7 @@ def _bucket(value: Column) -> Column:
     signed = F.when(x < 0, -size - 1).otherwise(size)
     # Never NULL, and Spark is told so: a null filter on one use of the counts would keep
     # the other from reusing their shuffle.
-    return F.coalesce(F.when(F.isnan(x), F.lit(2**62)).otherwise(signed), F.lit(0))
+    return F.coalesce(F.when(F.isnan(x), F.lit(2**63 - 1)).otherwise(signed), F.lit(0))
 
 
 def group_quantiles(
@@ -41,8 +41,9 @@ def group_quantiles(
     group = F.struct(*keys).alias("g")  # one non-null join key, equal also where a key is NULL
     counts = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(group, _bucket(F.col(value)).alias("b"), F.col(value).alias("v"))
+        .groupBy(group, F.col(value).alias("v"))
         .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("b", _bucket(F.col("v")))
     )
 
     per_bucket = counts.groupBy("g", "b").agg(

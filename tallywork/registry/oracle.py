@@ -245,7 +245,7 @@ _LOST = " UNION ALL ".join(
 )
 
 ORACLE: dict[str, str] = {
-    "select_rename_orders": (
+    "select_rename": (
         "SELECT o_orderkey AS order_id, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS clerk, "
         "o_orderpriority AS priority FROM orders"
     ),
@@ -273,7 +273,7 @@ ORACLE: dict[str, str] = {
     "comp_numeric": from_staging("SELECT response_id, CAST(comp_total_usd AS DOUBLE) AS comp_total_usd FROM stg"),
     "stg_survey": from_staging(_STAGING_OUT),
     "cast_losses_odd": from_raw(_LOST, "odd_years"),
-    "explode_multiselect_items": from_staging("SELECT response_id, language AS item FROM language", ctes=_LANGUAGES),
+    "explode_multiselect": from_staging("SELECT response_id, language AS item FROM language", ctes=_LANGUAGES),
     "wants_to_continue": from_staging(
         "SELECT response_id, database_name AS item, wants_to_continue FROM database", ctes=_DATABASES
     ),

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band
+from tallywork.operators import multiselect
 from tallywork.operators.dedupe import latest_per_key
-from tallywork.operators.multiselect import explode_items, explode_multiselect
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import cast_losses, stage
-from tallywork.sources.ingest import clean_strings, null_tokens, select_rename
+from tallywork.sources import ingest
 from tallywork.sources.tables import write_once
 from tallywork.survey_fixture import raw_survey, read
 
@@ -44,21 +44,21 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 @query
-def select_rename_orders(spark, sf_dir):
+def select_rename(spark, sf_dir):
     names = {"o_orderkey": "order_id", "o_orderstatus": "status", "o_clerk": "clerk", "o_orderpriority": "priority"}
-    return select_rename(read(spark, sf_dir, "orders"), names)
+    return ingest.select_rename(read(spark, sf_dir, "orders"), names)
 
 
 @query
 def clean_sentinels(spark, sf_dir):
     columns = ["response_id", "country", "ai_sent", "job_sat"]
-    return clean_strings(null_tokens(raw_survey(spark, sf_dir, "uncleaned").select(columns)))
+    return ingest.clean_strings(ingest.null_tokens(raw_survey(spark, sf_dir, "uncleaned").select(columns)))
 
 
 @query
 def clean_documents(spark, sf_dir):
     """The cleaning step over the whole text of every document."""
-    return clean_strings(null_tokens(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
+    return ingest.clean_strings(ingest.null_tokens(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
 @query
@@ -115,27 +115,27 @@ def cast_losses_odd(spark, sf_dir):
 
 
 @query
-def explode_multiselect_items(spark, sf_dir):
-    return explode_items(staged(spark, sf_dir), "language_have_worked", "item", ["response_id"])
+def explode_multiselect(spark, sf_dir):
+    return multiselect.explode_items(staged(spark, sf_dir), "language_have_worked", "item", ["response_id"])
 
 
 @query
 def wants_to_continue(spark, sf_dir):
-    return explode_multiselect(
+    return multiselect.explode_multiselect(
         staged(spark, sf_dir), "database_have_worked", "database_want_work", "item", ["response_id"]
     )
 
 
 @query
 def wants_to_continue_exact(spark, sf_dir):
-    return explode_multiselect(
+    return multiselect.explode_multiselect(
         staged(spark, sf_dir), "database_have_worked", "database_want_work", "item", ["response_id"], "exact"
     )
 
 
 @query
 def platforms_exploded(spark, sf_dir):
-    return explode_multiselect(
+    return multiselect.explode_multiselect(
         staged(spark, sf_dir), "platform_have_worked", "platform_want_work", "platform", ["response_id"]
     )
 

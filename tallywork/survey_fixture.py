@@ -114,8 +114,8 @@ def raw_survey_ctes(variant: str = "base") -> str:
     changed = ", ".join(f"{VARIANTS[variant][c]} AS {c}" if c in VARIANTS[variant] else c for c in names)
     return (
         f"WITH lists AS (SELECT l_orderkey, {lists} FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey), "
-        f"base AS (SELECT o_orderkey, {columns}, {', '.join(LISTS)} FROM orders JOIN customer ON o_custkey = c_custkey "
-        "JOIN nation ON c_nationkey = n_nationkey LEFT JOIN lists ON o_orderkey = l_orderkey "
-        "JOIN (SELECT 0 AS copy UNION ALL SELECT 1) copies ON copy = 0 OR o_orderkey % 10 = 0), "
+        "copies AS (SELECT *, 0 AS copy FROM orders UNION ALL SELECT *, 1 AS copy FROM orders WHERE o_orderkey % 10 = 0), "
+        f"base AS (SELECT o_orderkey, {columns}, {', '.join(LISTS)} FROM copies JOIN customer ON o_custkey = c_custkey "
+        "JOIN nation ON c_nationkey = n_nationkey LEFT JOIN lists ON o_orderkey = l_orderkey), "
         f"raw AS (SELECT {changed} FROM base)"
     )
