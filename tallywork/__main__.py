@@ -14,20 +14,19 @@ def main() -> None:
     parser.add_argument("step", choices=["run", "ingest", "check", "build", "test"])
     parser.add_argument("out", help="folder of the stored tables")
     parser.add_argument("src", nargs="*", help="CSV files or folders (run, ingest)")
-    parser.add_argument("--single-line", action="store_true", help="no field holds a newline: split big files")
+    parser.add_argument("--records", choices=["auto", "line", "file"], default="auto", help="how CSV records are found")
     parser.add_argument("--on-error", choices=["null", "fail"], default="null", help="text that is no number")
     args = parser.parse_args()
     if args.step in ("run", "ingest") and not args.src:
         parser.error(f"{args.step} needs at least one source")
 
     spark = SparkSession.builder.appName("tallywork").getOrCreate()
-    multi_line = not args.single_line
     if args.step == "run":
-        shown = pipeline.run(spark, args.src, args.out, multi_line=multi_line, on_error=args.on_error)
+        shown = pipeline.run(spark, args.src, args.out, records=args.records, on_error=args.on_error)
         shown["issues"].show(truncate=False)
         shown["tests"].show(truncate=False)
     elif args.step == "ingest":
-        pipeline.ingest(spark, args.src, args.out, multi_line=multi_line)
+        pipeline.ingest(spark, args.src, args.out, records=args.records)
     elif args.step == "check":
         pipeline.check(spark, args.out).show(truncate=False)
     elif args.step == "build":

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.operators.dedupe import latest_per_key_stored
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import stage
 from tallywork.sources.ingest import load_raw, timestamp
@@ -34,10 +35,10 @@ def now() -> datetime:
 
 
 def ingest(
-    spark: SparkSession, src: str | Sequence[str], out: str, at: datetime | None = None, multi_line: bool = True
+    spark: SparkSession, src: str | Sequence[str], out: str, at: datetime | None = None, records: str = "auto"
 ) -> DataFrame:
     """Full refresh of the raw layer; every row carries the same load time."""
-    return write_table(load_raw(spark, src, at or now(), multi_line), path(out, "raw"))
+    return write_table(load_raw(spark, src, at or now(), records), path(out, "raw"))
 
 
 def check(spark: SparkSession, out: str, at: datetime | None = None) -> DataFrame:
@@ -55,7 +56,7 @@ def build(spark: SparkSession, out: str, on_error: str = "null") -> dict[str, Da
     views over it.
     """
     raw = read_table(spark, path(out, "raw"), RAW_SCHEMA)
-    stg = write_table(stage(raw, on_error), path(out, "staging"))
+    stg = write_table(stage(raw, on_error, latest=latest_per_key_stored), path(out, "staging"))
     built = {"salary": marts.salary_segments, "adoption": marts.tech_adoption, "sentiment": marts.ai_sentiment}
     return {"staging": stg} | {name: write_table(mart(stg), path(out, name)) for name, mart in built.items()}
 
@@ -80,10 +81,10 @@ def run(
     src: str | Sequence[str],
     out: str,
     at: datetime | None = None,
-    multi_line: bool = True,
+    records: str = "auto",
     on_error: str = "null",
 ) -> dict[str, DataFrame]:
     """Load, check, build, test, in that order; returns every stored table."""
     at = at or now()
-    tables = {"raw": ingest(spark, src, out, at, multi_line), "issues": check(spark, out, at)}
+    tables = {"raw": ingest(spark, src, out, at, records), "issues": check(spark, out, at)}
     return tables | build(spark, out, on_error) | {"tests": test(spark, out)}

@@ -31,15 +31,20 @@ def pay_number(column: str, on_error: str = "null") -> Column:
     return money_number(F.col(column), PAY_TYPE, on_error)
 
 
-def stage(raw: DataFrame, on_error: str = "null", tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """The staging layer. See ``latest_per_key`` for ``tiebreak``, ``to_decimal`` for ``on_error``."""
-    latest = latest_per_key(raw, "response_id", "loaded_at", tiebreak)
+def stage(
+    raw: DataFrame, on_error: str = "null", tiebreak: Sequence[str] | None = None, latest=latest_per_key
+) -> DataFrame:
+    """The staging layer. See ``latest_per_key`` for ``tiebreak``, ``to_decimal`` for ``on_error``.
+
+    ``latest`` is the way duplicates are removed; ``latest_per_key_stored`` suits a stored raw layer.
+    """
+    rows = latest(raw, "response_id", "loaded_at", tiebreak)
     numbers = {
         "years_code": years_number("years_code", on_error),
         "years_code_pro": years_number("years_code_pro", on_error),
         "comp_total_usd": pay_number("comp_total", on_error),
     }
-    return latest.select(*[numbers[c].alias(c) if c in numbers else c for c in STAGING_COLUMNS])
+    return rows.select(*[numbers[c].alias(c) if c in numbers else c for c in STAGING_COLUMNS])
 
 
 def cast_losses(raw: DataFrame) -> DataFrame:

@@ -259,6 +259,7 @@ ORACLE: dict[str, str] = {
         "count(country) AS n_country, count(comp_total) AS n_comp FROM raw"
     ),
     "stg_dedup": from_staging("SELECT * FROM latest"),
+    "stg_dedup_stored": from_staging("SELECT * FROM latest"),
     "latest_event_per_user": (
         "SELECT * FROM events WHERE user_id IS NOT NULL "
         "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) = 1"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band
 from tallywork.operators import multiselect
-from tallywork.operators.dedupe import latest_per_key
+from tallywork.operators.dedupe import latest_per_key, latest_per_key_stored
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import cast_losses, stage
@@ -80,6 +80,12 @@ def stg_dedup(spark, sf_dir):
     return latest_per_key(raw_survey(spark, sf_dir), "response_id", "loaded_at", ())
 
 
+@query
+def stg_dedup_stored(spark, sf_dir):
+    """The same rows from a stored table, in which only repeated keys are shuffled."""
+    return latest_per_key_stored(write_once(raw_survey(spark, sf_dir), "raw"), "response_id", "loaded_at")
+
+
 @query
 def latest_event_per_user(spark, sf_dir):
     return latest_per_key(read(spark, sf_dir, "events"), "user_id", "ts", ("event_id",))
@@ -296,7 +302,7 @@ def test_accepted_values(spark, sf_dir):
 @query
 def test_results(spark, sf_dir):
     raw = write_once(raw_survey(spark, sf_dir), "raw")
-    stg = write_once(stage(raw, tiebreak=()), "staging")
+    stg = write_once(stage(raw, latest=latest_per_key_stored), "staging")
     layers = {
         "raw": raw,
         "staging": stg,

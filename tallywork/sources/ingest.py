@@ -8,7 +8,9 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywork.functions import text
 from tallywork.sources.schemas import CSV_NULLS, SENTINELS, SURVEY_COLUMNS
@@ -16,17 +18,97 @@ from tallywork.sources.schemas import CSV_NULLS, SENTINELS, SURVEY_COLUMNS
 logger = logging.getLogger(__name__)
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Headed CSV, every column as text, quotes doubled inside quoted fields.
+# Quotes are doubled inside quoted fields.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
-    A quoted field may hold newlines, and then only its start tells a reader where
-    a record begins: with ``multi_line`` Spark reads each file in one task, so give
-    big inputs as many files. Where no field holds a newline, ``multi_line=False``
-    splits files too. Files whose header differs from the first one's are an error
-    (``enforceSchema`` off) and never read by position.
+
+def read_csv(spark: SparkSession, path: str, records: str = "auto") -> DataFrame:
+    """Headed CSV, every column as text; the files of one path share one header.
+
+    A quoted field may hold newlines, so a line need not be a record. ``records``:
+
+    - ``"line"``: every line is one; files are split over tasks.
+    - ``"file"``: Spark's multi-line reader, which takes each file whole into one task.
+      Also reads files with single quotes inside unquoted fields.
+    - ``"auto"``: look through the lines first. If each closes the quotes it opens, as
+      ``"line"``; else records are put together from lines, with files split all the same.
+    """
+    if records not in ("auto", "line", "file"):
+        raise ValueError(f"records must be 'auto', 'line' or 'file', not {records!r}")
+    if records == "auto":
+        lines = _lines(spark, path)
+        # The line reader would also end a line at a carriage return of its own.
+        inner_return = F.instr("value", "\r").between(1, F.length("value") - 1)
+        files = lines.groupBy("file").agg(F.sum("odd").alias("odd"), F.max(inner_return).alias("inner_return"))
+        unclosed = F.max(F.when(F.col("odd") % 2 == 1, F.col("file")))
+        found = files.agg(unclosed.alias("unclosed"), F.max((F.col("odd") > 0) | F.col("inner_return")).alias("spans")).first()
+        if found.unclosed is not None:
+            raise ValueError(f"a quoted field is never closed in {found.unclosed}")
+        if found.spans:
+            return _read_split_records(spark, path, lines)
+    reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", False)
+    return reader.option("multiLine", records == "file").csv(path)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their place, and ``odd``: 1 where the line holds an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+        (quotes % 2).alias("odd"),
+    )
+
+
+def _read_split_records(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
+    """Records that span lines, from files that are read in blocks.
+
+    An odd line opens a quoted field, and the next odd line of the file closes it. So
+    with the number of odd lines before each line known (before its block, and before
+    it inside the block), a record of several lines is the lines from one odd count
+    to the next, and any other line is a record.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-    return reader.option("multiLine", multi_line).option("quote", '"').option("escape", '"').csv(path)
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"))
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    inside = W.partitionBy("file", "block").orderBy("line")
+    above = F.coalesce(F.sum("odd").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # Both scans cut the files alike unless the cluster changed in between; never drop lines over it.
+    moved = F.raise_error(F.lit("the input was split differently on a second reading")).cast("bigint")
+    placed = lines.join(blocks, ["file", "block"], "left").select(
+        "file",
+        "block",
+        "line",
+        "value",
+        (F.coalesce("base", moved) + above).alias("before"),
+        "odd",
+        ((F.col("block") == 0) & (F.row_number().over(inside) == 1)).alias("first"),
+    )
+    single = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
+    spanning = (
+        placed.filter(~single)
+        .groupBy("file", F.floor(F.col("before") / 2).alias("record"))
+        .agg(
+            F.array_join(F.sort_array(F.collect_list(F.struct("block", "line", "value")))["value"], "\n").alias("value"),
+            F.max("first").alias("first"),
+        )
+    )
+    texts = placed.filter(single).select("value", "first").unionByName(spanning.select("value", "first"))
+    texts = texts.withColumn("value", F.regexp_replace("value", r"\r\z", "")).filter(F.trim("value") != "")
+
+    # A header with a newline inside a field hides from the reader that lines end in \r\n.
+    names = [name.removesuffix("\r") for name in read_csv(spark, path, "file").columns]
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    # A record with more or fewer fields than the header means quotes that are no quotes: stop.
+    options = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST"}
+    records = texts.select("first", F.from_csv("value", schema, options).alias("r"))
+    fields = [F.col(f"r.c{i}") for i in range(len(names))]
+    same = F.array(*fields) == F.array(*[F.lit(name) for name in names])
+    other = F.raise_error(F.lit("files of one input differ in their header")).cast("boolean")
+    body = records.filter(F.when(~F.col("first"), True).when(same, False).otherwise(other))
+    return body.select(*[field.alias(name) for field, name in zip(fields, names)])
 
 
 def select_rename(df: DataFrame, mapping: Mapping[str, str] = SURVEY_COLUMNS) -> DataFrame:
@@ -69,7 +151,7 @@ def timestamp(moment: datetime) -> Column:
 
 
 def load_raw(
-    spark: SparkSession, paths: str | Sequence[str], loaded_at: datetime, multi_line: bool = True
+    spark: SparkSession, paths: str | Sequence[str], loaded_at: datetime, records: str = "auto"
 ) -> DataFrame:
     """The raw layer from CSV: 23 cleaned text columns and one load time for the whole run.
 
@@ -78,7 +160,7 @@ def load_raw(
     """
     parts = []
     for path in [paths] if isinstance(paths, str) else paths:
-        chosen = select_rename(read_csv(spark, path, multi_line))
+        chosen = select_rename(read_csv(spark, path, records))
         parts.append(clean_strings(null_tokens(chosen)))
     raw = reduce(DataFrame.unionByName, parts)
     # A number the CSV holds in exponent form is that number; staging would keep its digits only.

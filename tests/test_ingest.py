@@ -1,6 +1,7 @@
 """CSV input: quoting, newlines, null tokens, missing columns, one load time."""
 
 import csv
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -20,7 +21,8 @@ def write_csv(path, rows, columns=tuple(SURVEY_COLUMNS), extra=("Unused",)):
     return str(path)
 
 
-def test_raw_layer_from_csv(spark, tmp_path):
+@pytest.mark.parametrize("records", ["auto", "file"])
+def test_raw_layer_from_csv(spark, tmp_path, records):
     rows = [
         {
             "ResponseId": "1",
@@ -38,7 +40,7 @@ def test_raw_layer_from_csv(spark, tmp_path):
         },
         {"ResponseId": "2", "CompTotal": "$85,000.50 EUR", "MainBranch": "   "},
     ]
-    raw = ingest.load_raw(spark, write_csv(tmp_path / "survey.csv", rows), AT)
+    raw = ingest.load_raw(spark, write_csv(tmp_path / "survey.csv", rows), AT, records)
     assert raw.dtypes == [(f.name, f.dataType.simpleString()) for f in RAW_SCHEMA]
     first, second = raw.orderBy("response_id").collect()
     assert first.country == "Côte d'Ivoire, \"west\""
@@ -68,24 +70,78 @@ def test_several_inputs_keep_their_own_headers(spark, tmp_path):
     assert sorted((r.response_id, r.country) for r in raw.collect()) == [("1", "X"), ("2", "Y")]
 
 
-def test_files_of_one_input_with_other_headers_are_refused(spark, tmp_path):
+@pytest.mark.parametrize("text", ["flat", "line\nbreak"])
+def test_files_of_one_input_with_other_headers_are_refused(spark, tmp_path, text):
     folder = tmp_path / "mixed"
     folder.mkdir()
     write_csv(folder / "a.csv", [{"ResponseId": "1", "Country": "X"}], columns=("ResponseId", "Country"), extra=())
-    write_csv(folder / "b.csv", [{"ResponseId": "2", "Country": "Y"}] * 3, columns=("Country", "ResponseId"), extra=())
+    write_csv(folder / "b.csv", [{"ResponseId": "2", "Country": text}] * 3, columns=("Country", "ResponseId"), extra=())
     with pytest.raises(Exception, match="header"):
         ingest.load_raw(spark, str(folder), AT).collect()
 
 
-def test_single_line_input_is_split(spark, tmp_path):
-    path = write_csv(tmp_path / "flat.csv", [{"ResponseId": str(i), "Country": f"c{i}, x"} for i in range(3000)])
+@pytest.fixture
+def small_blocks(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        raw = ingest.load_raw(spark, path, AT, multi_line=False)
-        assert raw.select(F.spark_partition_id()).distinct().count() > 1
-        assert raw.agg(F.countDistinct("response_id"), F.countDistinct("country")).first()[:] == (3000, 3000)
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("records", ["auto", "line"])
+def test_single_line_input_is_split(spark, tmp_path, small_blocks, records):
+    path = write_csv(tmp_path / "flat.csv", [{"ResponseId": str(i), "Country": f'c{i}, "x"'} for i in range(3000)])
+    raw = ingest.load_raw(spark, path, AT, records)
+    assert "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert raw.select(F.spark_partition_id()).distinct().count() > 1
+    assert raw.agg(F.countDistinct("response_id"), F.countDistinct("country")).first()[:] == (3000, 3000)
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_records_across_lines_and_blocks(spark, tmp_path, small_blocks, newline):
+    rng = random.Random(7)
+    bits = ["a", " ", ",", '"', '""', "\n", "\r\n", "\n\n", ";", "é", "x" * 50]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    expected = []
+    for name in ("a", "b", "c"):
+        rows = []
+        for i in range(700):
+            text = "".join(rng.choices(bits, k=rng.randint(1, 25))) if rng.random() < 0.4 else "plain"
+            rows.append([f"{name}{i}", text, "y" * rng.randint(0, 60) or "z"])
+        # one record longer than several blocks
+        rows.insert(350, [f"{name}long", "line, with \"quotes\"\n" * 5000, "end"])
+        with open(folder / f"{name}.csv", "w", newline="", encoding="utf-8") as f:
+            writer = csv.writer(f, lineterminator=newline)
+            writer.writerow(["Id", "Text\nof two lines", "Tail"])
+            writer.writerows(rows)
+        expected += rows
+    df = ingest.read_csv(spark, str(folder))
+    assert df.columns == ["Id", "Text\nof two lines", "Tail"]
+    assert ingest._lines(spark, str(folder)).select("file", "block").distinct().count() > 20
+    assert sorted(map(list, df.collect())) == sorted(expected)
+    if newline == "\n":  # else the whole-file reader takes the header's newline for the line end
+        whole = ingest.read_csv(spark, str(folder), "file")
+        assert df.exceptAll(whole).count() == whole.exceptAll(df).count() == 0
+
+
+def test_carriage_return_inside_a_field(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes(b'Id,Text\r\n1,"a\rb"\r\n2,c\r\n')
+    assert sorted(map(tuple, ingest.read_csv(spark, str(path)).collect())) == [("1", "a\rb"), ("2", "c")]
+
+
+def test_odd_quotes_stop_the_load(spark, tmp_path):
+    never_closed = tmp_path / "a.csv"
+    never_closed.write_text('Id,Text\n1,"open\n2,x\n')
+    with pytest.raises(ValueError, match="never closed"):
+        ingest.read_csv(spark, str(never_closed))
+    stray = tmp_path / "b.csv"
+    stray.write_text('Id,Text\n1,5" disk\n2,x\n3,3" disk\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest.read_csv(spark, str(stray)).collect()
+    assert [r.Text for r in ingest.read_csv(spark, str(stray), "file").collect()] == ['5" disk', "x", '3" disk']
+    with pytest.raises(ValueError):
+        ingest.read_csv(spark, str(stray), "magic")
 
 
 def test_load_time_is_in_utc(spark):

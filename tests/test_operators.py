@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallywork.operators.dedupe import latest_per_key
+from tallywork.operators.dedupe import latest_per_key, latest_per_key_stored
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.operators.ranking import rank_descending
 from tallywork.plans import marts
@@ -40,6 +40,23 @@ def test_ties_are_broken_the_same_way_whatever_the_partitioning(spark):
     assert len(results.pop()) == 7
 
 
+@pytest.mark.parametrize("limit", [0, 10**7])
+def test_stored_way_gives_the_same_rows(spark, limit):
+    # one key holds a third of the rows, some repeat once, some are NULL
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 9000).cast("string"))
+    df = spark.range(10_000).select(key.alias("key"), (F.col("id") % 40).alias("ts"), F.col("id").alias("v"))
+    expected = Counter(map(tuple, latest_per_key(df, "key", "ts").collect()))
+    got = latest_per_key_stored(df, "key", "ts", broadcast_bytes=limit)
+    assert got.columns == df.columns
+    assert Counter(map(tuple, got.collect())) == expected
+    assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) == (limit > 0)
+
+
+def test_stored_way_without_repeats(spark):
+    df = spark.range(100).select(F.col("id").cast("string").alias("key"), F.col("id").alias("ts"))
+    assert latest_per_key_stored(df, "key", "ts").count() == 100
+
+
 @pytest.mark.parametrize("dtype", ["decimal(18,10)", "double", "bigint"])
 def test_quantiles_against_sorting(spark, dtype):
     rng = random.Random(5)

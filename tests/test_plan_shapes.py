@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tallywork.operators.dedupe import latest_per_key_stored
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import stage
@@ -49,6 +50,14 @@ def test_dedupe_carries_only_the_columns_read(raw):
     assert [c.split("#")[0] for c in columns.split(",")] == ["response_id", "comp_total", "loaded_at"]
 
 
+def test_dedupe_of_a_stored_table_shuffles_only_repeated_keys(raw):
+    plan = executed(stage(raw, latest=latest_per_key_stored))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "LeftAnti" in plan
+    shuffled = plan[plan.index("Exchange hashpartitioning") :]
+    assert "LeftSemi" in shuffled
+
+
 def test_adoption_reads_four_columns_once_and_counts_before_the_shuffle(stg):
     plan = executed(marts.tech_adoption(stg))
     (columns,) = scans(plan)
@@ -85,7 +94,7 @@ def test_quantiles_open_few_buckets(spark):
     assert "ReusedExchange" in plan and "SinglePartition" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"test_results"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES)))
 def test_no_query_leaves_spark_or_crosses_tables(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "LocalLimit", "Sample"):
