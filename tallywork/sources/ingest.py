@@ -21,6 +21,9 @@ logger = logging.getLogger(__name__)
 # Quotes are doubled inside quoted fields.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
+# Files up to this size, one block, are one task's work whichever way they are read.
+WHOLE_FILE_BYTES = 128 * 1024 * 1024
+
 
 def read_csv(spark: SparkSession, path: str, records: str = "auto") -> DataFrame:
     """Headed CSV, every column as text; the files of one path share one header.
@@ -30,31 +33,42 @@ def read_csv(spark: SparkSession, path: str, records: str = "auto") -> DataFrame
     - ``"line"``: every line is one; files are split over tasks.
     - ``"file"``: Spark's multi-line reader, which takes each file whole into one task.
       Also reads files with single quotes inside unquoted fields.
+    - ``"block"``: records are put together from lines; files are split over tasks.
     - ``"auto"``: look through the lines first. If each closes the quotes it opens, as
-      ``"line"``; else records are put together from lines, with files split all the same.
+      ``"line"``; if not, as ``"file"`` where files are small and as ``"block"`` where not.
     """
-    if records not in ("auto", "line", "file"):
-        raise ValueError(f"records must be 'auto', 'line' or 'file', not {records!r}")
+    if records not in ("auto", "line", "file", "block"):
+        raise ValueError(f"records must be 'auto', 'line', 'file' or 'block', not {records!r}")
     if records == "auto":
-        lines = _lines(spark, path)
-        # The line reader would also end a line at a carriage return of its own.
-        inner_return = F.instr("value", "\r").between(1, F.length("value") - 1)
-        files = lines.groupBy("file").agg(F.sum("odd").alias("odd"), F.max(inner_return).alias("inner_return"))
-        unclosed = F.max(F.when(F.col("odd") % 2 == 1, F.col("file")))
-        found = files.agg(unclosed.alias("unclosed"), F.max((F.col("odd") > 0) | F.col("inner_return")).alias("spans")).first()
-        if found.unclosed is not None:
-            raise ValueError(f"a quoted field is never closed in {found.unclosed}")
-        if found.spans:
-            return _read_split_records(spark, path, lines)
+        records = _suitable(_lines(spark, path))
+    if records == "block":
+        return _read_blocks(spark, path)
     reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", False)
     return reader.option("multiLine", records == "file").csv(path)
 
 
+def _suitable(lines: DataFrame) -> str:
+    # The line reader would also end a line at a carriage return of its own.
+    inner_return = F.instr("value", "\r").between(1, F.length("value") - 1)
+    files = lines.groupBy("file", "size").agg(F.sum("odd").alias("odd"), F.max(inner_return).alias("inner_return"))
+    found = files.agg(
+        F.max(F.when(F.col("odd") % 2 == 1, F.col("file"))).alias("unclosed"),
+        F.max((F.col("odd") > 0) | F.col("inner_return")).alias("spans"),
+        F.max("size").alias("size"),
+    ).first()
+    if found.unclosed is not None:
+        raise ValueError(f"a quoted field is never closed in {found.unclosed}")
+    if not found.spans:
+        return "line"
+    return "file" if found.size <= WHOLE_FILE_BYTES else "block"
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their place, and ``odd``: 1 where the line holds an odd number of quotes."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
@@ -62,7 +76,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _read_split_records(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
+def _read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Records that span lines, from files that are read in blocks.
 
     An odd line opens a quoted field, and the next odd line of the file closes it. So
@@ -70,6 +84,7 @@ def _read_split_records(spark: SparkSession, path: str, lines: DataFrame) -> Dat
     it inside the block), a record of several lines is the lines from one odd count
     to the next, and any other line is a record.
     """
+    lines = _lines(spark, path).drop("size")
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"))
     blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
@@ -105,7 +120,8 @@ def _read_split_records(spark: SparkSession, path: str, lines: DataFrame) -> Dat
     options = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST"}
     records = texts.select("first", F.from_csv("value", schema, options).alias("r"))
     fields = [F.col(f"r.c{i}") for i in range(len(names))]
-    same = F.array(*fields) == F.array(*[F.lit(name) for name in names])
+    # Spark names a column whose header is empty by itself.
+    same = F.array(*[F.coalesce(f, F.lit(n)) for f, n in zip(fields, names)]) == F.array(*map(F.lit, names))
     other = F.raise_error(F.lit("files of one input differ in their header")).cast("boolean")
     body = records.filter(F.when(~F.col("first"), True).when(same, False).otherwise(other))
     return body.select(*[field.alias(name) for field, name in zip(fields, names)])

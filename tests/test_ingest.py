@@ -21,7 +21,7 @@ def write_csv(path, rows, columns=tuple(SURVEY_COLUMNS), extra=("Unused",)):
     return str(path)
 
 
-@pytest.mark.parametrize("records", ["auto", "file"])
+@pytest.mark.parametrize("records", ["auto", "file", "block"])
 def test_raw_layer_from_csv(spark, tmp_path, records):
     rows = [
         {
@@ -70,14 +70,14 @@ def test_several_inputs_keep_their_own_headers(spark, tmp_path):
     assert sorted((r.response_id, r.country) for r in raw.collect()) == [("1", "X"), ("2", "Y")]
 
 
-@pytest.mark.parametrize("text", ["flat", "line\nbreak"])
-def test_files_of_one_input_with_other_headers_are_refused(spark, tmp_path, text):
+@pytest.mark.parametrize("records", ["line", "file", "block"])
+def test_files_of_one_input_with_other_headers_are_refused(spark, tmp_path, records):
     folder = tmp_path / "mixed"
     folder.mkdir()
     write_csv(folder / "a.csv", [{"ResponseId": "1", "Country": "X"}], columns=("ResponseId", "Country"), extra=())
-    write_csv(folder / "b.csv", [{"ResponseId": "2", "Country": text}] * 3, columns=("Country", "ResponseId"), extra=())
+    write_csv(folder / "b.csv", [{"ResponseId": "2", "Country": "Y"}] * 3, columns=("Country", "ResponseId"), extra=())
     with pytest.raises(Exception, match="header"):
-        ingest.load_raw(spark, str(folder), AT).collect()
+        ingest.load_raw(spark, str(folder), AT, records).collect()
 
 
 @pytest.fixture
@@ -115,7 +115,7 @@ def test_records_across_lines_and_blocks(spark, tmp_path, small_blocks, newline)
             writer.writerow(["Id", "Text\nof two lines", "Tail"])
             writer.writerows(rows)
         expected += rows
-    df = ingest.read_csv(spark, str(folder))
+    df = ingest.read_csv(spark, str(folder), "block")
     assert df.columns == ["Id", "Text\nof two lines", "Tail"]
     assert ingest._lines(spark, str(folder)).select("file", "block").distinct().count() > 20
     assert sorted(map(list, df.collect())) == sorted(expected)
@@ -124,10 +124,29 @@ def test_records_across_lines_and_blocks(spark, tmp_path, small_blocks, newline)
         assert df.exceptAll(whole).count() == whole.exceptAll(df).count() == 0
 
 
-def test_carriage_return_inside_a_field(spark, tmp_path):
+@pytest.mark.parametrize("records", ["auto", "block"])
+def test_carriage_return_inside_a_field(spark, tmp_path, records):
     path = tmp_path / "a.csv"
     path.write_bytes(b'Id,Text\r\n1,"a\rb"\r\n2,c\r\n')
-    assert sorted(map(tuple, ingest.read_csv(spark, str(path)).collect())) == [("1", "a\rb"), ("2", "c")]
+    assert sorted(map(tuple, ingest.read_csv(spark, str(path), records).collect())) == [("1", "a\rb"), ("2", "c")]
+
+
+def test_how_records_are_found(spark, tmp_path, monkeypatch):
+    flat, broken = tmp_path / "a.csv", tmp_path / "b.csv"
+    flat.write_text('Id,Text\n1,"say ""x"", y"\n')
+    broken.write_text('Id,Text\n1,"two\nlines"\n')
+    chosen = lambda path: ingest._suitable(ingest._lines(spark, str(path)))
+    assert [chosen(flat), chosen(broken)] == ["line", "file"]
+    monkeypatch.setattr(ingest, "WHOLE_FILE_BYTES", 10)
+    assert [chosen(flat), chosen(broken)] == ["line", "block"]
+    assert ingest.read_csv(spark, str(broken)).collect() == [("1", "two\nlines")]
+
+
+def test_unnamed_column(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(',Id\n0,"a\nb"\n')
+    for records in ("file", "block"):
+        assert [tuple(r) for r in ingest.read_csv(spark, str(path), records).select("Id").collect()] == [("a\nb",)]
 
 
 def test_odd_quotes_stop_the_load(spark, tmp_path):
@@ -138,8 +157,8 @@ def test_odd_quotes_stop_the_load(spark, tmp_path):
     stray = tmp_path / "b.csv"
     stray.write_text('Id,Text\n1,5" disk\n2,x\n3,3" disk\n')
     with pytest.raises(Exception, match="(?i)malformed"):
-        ingest.read_csv(spark, str(stray)).collect()
-    assert [r.Text for r in ingest.read_csv(spark, str(stray), "file").collect()] == ['5" disk', "x", '3" disk']
+        ingest.read_csv(spark, str(stray), "block").collect()
+    assert [r.Text for r in ingest.read_csv(spark, str(stray)).collect()] == ['5" disk', "x", '3" disk']
     with pytest.raises(ValueError):
         ingest.read_csv(spark, str(stray), "magic")
 
