@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
@@ -43,8 +44,11 @@ def read_csv(spark: SparkSession, path: str, records: str = "auto") -> DataFrame
         records = _suitable(_lines(spark, path))
     if records == "block":
         return _read_blocks(spark, path)
-    reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", False)
-    return reader.option("multiLine", records == "file").csv(path)
+    reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", records == "file")
+    df = reader.csv(path)
+    # Have Spark compare the headers of all files, which it cannot where it had to name a column itself.
+    unnamed = any(re.fullmatch(r"_c[0-9]+", name) for name in df.columns)
+    return reader.option("enforceSchema", unnamed).schema(df.schema).csv(path)
 
 
 def _suitable(lines: DataFrame) -> str:
