@@ -188,6 +188,14 @@ _CSV_NULLS = (
 _SPACES = " || ".join(f"chr({i})" for i in range(0x3001) if chr(i).isspace())
 
 
+_RAW_TEXTS = (
+    "response_id", "main_branch", "age", "remote_work", "ed_level", "years_code", "years_code_pro", "dev_type", "org_size",
+    "country", "currency", "comp_total", "language_have_worked", "language_want_work", "database_have_worked",
+    "database_want_work", "platform_have_worked", "platform_want_work", "ai_select", "ai_sent", "ai_threat", "job_sat",
+    "industry",
+)
+
+
 def cleaned(column: str) -> str:
     trimmed = f"trim({column}, {_SPACES})"
     return f"CASE WHEN {column} NOT IN ({_CSV_NULLS}) AND {trimmed} NOT IN ({_SENTINELS}) THEN {trimmed} END AS {column}"
@@ -254,6 +262,11 @@ ORACLE: dict[str, str] = {
         "uncleaned",
     ),
     "clean_documents": f"SELECT doc_id, {cleaned('text')}, {cleaned('lang')} FROM documents",
+    "csv_documents": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "csv_raw_layer": from_raw(
+        f"SELECT {', '.join(cleaned(c) for c in _RAW_TEXTS)}, TIMESTAMP '2024-07-01 00:00:00' AS loaded_at FROM raw",
+        "uncleaned",
+    ),
     "raw_profile": from_raw(
         "SELECT count(*) AS n_rows, count(response_id) AS n_ids, count(DISTINCT response_id) AS n_distinct_ids, "
         "count(country) AS n_country, count(comp_total) AS n_comp FROM raw"

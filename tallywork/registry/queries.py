@@ -6,7 +6,9 @@ Each takes (spark, sf_dir). The survey queries read the raw layer of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,8 @@ from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources import ingest
-from tallywork.sources.tables import write_once
+from tallywork.sources.schemas import SURVEY_COLUMNS
+from tallywork.sources.tables import scratch_dir, write_once
 from tallywork.survey_fixture import raw_survey, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,29 @@ def clean_documents(spark, sf_dir):
     return ingest.clean_strings(ingest.null_tokens(read(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
+def written_as_csv(df: DataFrame, name: str) -> str:
+    """A folder of CSV files, each with a header, in the shared folder."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.options(**ingest.CSV_OPTIONS, **keep_blanks).option("header", True).csv(path)
+    return path
+
+
+@query
+def csv_documents(spark, sf_dir):
+    """Whole documents, whose texts span lines, through CSV files that are read in blocks."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return ingest.read_csv(spark, written_as_csv(documents, "documents"), "block")
+
+
+@query
+def csv_raw_layer(spark, sf_dir):
+    """The raw layer loaded from CSV under the source's column names."""
+    answers = raw_survey(spark, sf_dir, "uncleaned")
+    source = answers.select(*[F.col(raw).alias(name) for name, raw in SURVEY_COLUMNS.items()])
+    return ingest.load_raw(spark, written_as_csv(source, "survey"), datetime(2024, 7, 1))
+
+
 @query
 def raw_profile(spark, sf_dir):
     return raw_survey(spark, sf_dir).agg(
