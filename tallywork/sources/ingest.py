@@ -115,7 +115,8 @@ def _read_blocks(spark: SparkSession, path: str) -> DataFrame:
         )
     )
     texts = placed.filter(single).select("value", "first").unionByName(spanning.select("value", "first"))
-    texts = texts.withColumn("value", F.regexp_replace("value", r"\r\z", "")).filter(F.trim("value") != "")
+    without_return = F.when(F.col("value").endswith("\r"), F.left("value", F.length("value") - 1))
+    texts = texts.withColumn("value", F.coalesce(without_return, "value")).filter(F.trim("value") != "")
 
     # A header with a newline inside a field hides from the reader that lines end in \r\n.
     names = [name.removesuffix("\r") for name in read_csv(spark, path, "file").columns]

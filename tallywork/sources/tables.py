@@ -27,8 +27,13 @@ def _temporary_dir() -> str:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a temporary one only where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _temporary_dir()).rstrip("/")
+    """The shared folder the cluster names in spark.checkpoint.dir; in local mode a temporary one if unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _temporary_dir()
 
 
 def write_once(df: DataFrame, name: str) -> DataFrame:
