@@ -30,7 +30,8 @@ def group_quantiles(
 
     ``probs`` names each quantile's column. NULL values are left out, a NULL key is
     a group of its own, and groups with fewer than ``min_count`` values are dropped.
-    Quantiles are doubles; lowest and highest keep the type, total widens it.
+    Quantiles are doubles; lowest and highest keep the type. The total of integers and
+    of decimals up to 18 digits is an exact decimal.
 
     1. Equal values are counted before the shuffle, so a value shared by a third of
        all rows is one row per task; (group, value) pairs spread a hot group out.
@@ -48,7 +49,7 @@ def group_quantiles(
 
     per_bucket = counts.groupBy("g", "b").agg(
         F.sum("c").alias("bucket_n"),
-        F.sum(F.col("v") * F.col("c")).alias("bucket_total"),
+        F.sum(F.col("v") * F.col("c").cast("decimal(20,0)")).alias("bucket_total"),
         F.min("v").alias("bucket_low"),
         F.max("v").alias("bucket_high"),
     )

@@ -1,7 +1,9 @@
 """A raw survey layer derived from order tables, one response per order.
 
-The column expressions are SQL text that Spark and ANSI SQL engines both read, so
-that tests can derive the same input in either.
+Every order and every line is used; remainders of the keys only vary the answers.
+An order's lines are one answer's text, so by definition they meet in one row. The
+column expressions are SQL text that Spark and ANSI SQL engines both read, so that
+tests can derive the same input in either.
 """
 
 from __future__ import annotations

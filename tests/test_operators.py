@@ -103,6 +103,11 @@ def test_quantiles_with_nan_and_infinities(spark):
     assert (row.n, row.low, row.mid, row.high) == (5, -inf, 3.0, inf)
 
 
+def test_total_of_big_integers_does_not_overflow(spark):
+    df = spark.createDataFrame([("g", 2**62), ("g", 2**62), ("g", 5)], "k string, v long")
+    assert group_quantiles(df, ["k"], "v", QUARTILES).first().total == 2**63 + 5
+
+
 def test_small_groups_are_left_out_on_request(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
     assert [r.k for r in group_quantiles(df, ["k"], "v", QUARTILES, min_count=2).collect()] == ["a"]

@@ -5,8 +5,10 @@ from datetime import datetime
 
 import pytest
 
+from tallywork.__main__ import main
 from tallywork.plans import marts, pipeline
 from tallywork.sources.schemas import ISSUES_SCHEMA, SURVEY_COLUMNS
+from tallywork.sources.tables import scratch_dir
 
 AT = datetime(2024, 7, 1)
 
@@ -72,3 +74,19 @@ def test_steps_run_alone_and_bad_numbers_can_stop_the_build(spark, tmp_path):
         pipeline.build(spark, out, on_error="fail")
     assert pipeline.build(spark, out)["staging"].filter("response_id = 900 AND years_code IS NULL").count() == 1
     assert pipeline.test(spark, out).filter("should_error").count() == 0
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    source, out = survey(tmp_path / "s.csv", 120), str(tmp_path / "out")
+    for arguments in (["ingest", out, source], ["check", out], ["build", out], ["test", out], ["run", out, source]):
+        monkeypatch.setattr("sys.argv", ["tallywork", *arguments])
+        main()
+    shown = capsys.readouterr().out
+    assert shown.count("total_rows_loaded") == 2 and shown.count("unique.staging.response_id") == 2
+    monkeypatch.setattr("sys.argv", ["tallywork", "ingest", out])
+    with pytest.raises(SystemExit):
+        main()
+
+
+def test_scratch_folder_is_the_one_the_session_names(spark):
+    assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

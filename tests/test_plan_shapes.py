@@ -9,6 +9,7 @@ from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import stage
 from tallywork.registry.queries import QUERIES
+from tallywork.sources.ingest import read_csv
 from tallywork.sources.tables import write_table
 from tallywork.survey_fixture import raw_survey
 
@@ -94,6 +95,15 @@ def test_quantiles_open_few_buckets(spark):
     assert "ReusedExchange" in plan and "SinglePartition" not in plan
 
 
+def test_csv_blocks_shuffle_each_line_once(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('Id,Text\n' + '1,"two\nlines"\n2,one\n' * 50)
+    plan = executed(read_csv(spark, str(path), "block"))
+    # both uses of the lines, single and spanning, read the same shuffle; the other one counts quotes
+    assert plan.count("FileScan text") == 2
+    assert "ReusedExchange" in plan
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES)))
 def test_no_query_leaves_spark_or_crosses_tables(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
