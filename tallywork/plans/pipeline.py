@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywork.operators.dedupe import latest_per_key_stored
 from tallywork.plans import marts, quality
-from tallywork.plans.staging import stage
+from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources.ingest import load_raw, timestamp
 from tallywork.sources.schemas import ISSUES_SCHEMA, RAW_SCHEMA
 from tallywork.sources.tables import read_table, write_table
@@ -22,6 +22,7 @@ LAYERS = {
     "adoption": "marts/tech_adoption",
     "sentiment": "marts/ai_sentiment",
     "issues": "quality/issues",
+    "losses": "quality/cast_losses",
     "tests": "quality/test_results",
 }
 
@@ -42,10 +43,14 @@ def ingest(
 
 
 def check(spark: SparkSession, out: str, at: datetime | None = None) -> DataFrame:
-    """Replace the issues table with the counts over the raw layer. Findings never stop the run."""
+    """Replace the issues table with the counts over the raw layer. Findings never stop the run.
+
+    Beside it, the number of texts that staging will turn into NULL, per column.
+    """
     raw = read_table(spark, path(out, "raw"), RAW_SCHEMA)
     report = quality.run_checks(raw).withColumn("logged_at", timestamp(at or now()))
     write_table(report.select(*ISSUES_SCHEMA.names), path(out, "issues"))
+    write_table(cast_losses(raw), path(out, "losses"))
     return quality.with_severity(read_table(spark, path(out, "issues"), ISSUES_SCHEMA))
 
 
@@ -87,4 +92,5 @@ def run(
     """Load, check, build, test, in that order; returns every stored table."""
     at = at or now()
     tables = {"raw": ingest(spark, src, out, at, records), "issues": check(spark, out, at)}
+    tables["losses"] = read_table(spark, path(out, "losses"))
     return tables | build(spark, out, on_error) | {"tests": test(spark, out)}

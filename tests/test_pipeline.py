@@ -70,6 +70,8 @@ def test_steps_run_alone_and_bad_numbers_can_stop_the_build(spark, tmp_path):
         f.write("900,,,,,about 5" + ",NA" * 17 + "\n")
     pipeline.ingest(spark, source, out, AT)
     assert pipeline.check(spark, out, AT).count() == 6
+    losses = spark.read.parquet(pipeline.path(out, "losses")).collect()
+    assert {r.column_name: r.row_count for r in losses} == {"years_code": 1, "years_code_pro": 0, "comp_total": 0}
     with pytest.raises(Exception, match="not a number"):
         pipeline.build(spark, out, on_error="fail")
     assert pipeline.build(spark, out)["staging"].filter("response_id = 900 AND years_code IS NULL").count() == 1
