@@ -59,7 +59,8 @@ def item_flag_counts(df: DataFrame, lists: Sequence[tuple[str, str, str]]) -> Da
     """
     stacked = F.stack(F.lit(len(lists)), *[c for t, h, w in lists for c in (F.lit(t), F.col(h), F.col(w))])
     long = df.select(stacked.alias("tag", "have", "want")).filter(F.col("have").isNotNull())
-    long = long.select("tag", F.lower("want").alias("wanted"), F.sort_array(F.split(_tidy(F.col("have")), ";")).alias("items"))
+    sorted_items = F.sort_array(F.split(_tidy(F.col("have")), ";"))
+    long = long.select("tag", F.lower("want").alias("wanted"), sorted_items.alias("items"))
     items = long.select("tag", "wanted", "items", F.posexplode_outer("items").alias("pos", "item"))
     flagged = items.filter(F.col("item") != "").select(
         "tag",

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallywork.operators.dedupe import latest_per_key_stored
 from tallywork.plans import marts, quality

@@ -11,14 +11,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallywork.functions import text
 from tallywork.sources.schemas import CSV_NULLS, SENTINELS, SURVEY_COLUMNS
 
 logger = logging.getLogger(__name__)
 
-
 # Quotes are doubled inside quoted fields.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
@@ -61,7 +59,7 @@ def _suitable(lines: DataFrame) -> str:
         F.max("size").alias("size"),
     ).first()
     if found.unclosed is not None:
-        raise ValueError(f"a quoted field is never closed in {found.unclosed}")
+        raise ValueError(f"a quoted field is never closed in {found.unclosed}; records='file' takes stray quotes")
     if not found.spans:
         return "line"
     return "file" if found.size <= WHOLE_FILE_BYTES else "block"
