@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 BUCKETS_PER_E = 256
 
 
-def _bucket(value: Column) -> Column:
+def _bucket(value: Column, per_e: int) -> Column:
     """A bucket number that never falls as the value rises, known from the value alone."""
     x = value.cast("double")
-    size = F.floor(F.log1p(F.abs(x)) * BUCKETS_PER_E)
+    size = F.floor(F.log1p(F.abs(x)) * per_e)
     signed = F.when(x < 0, -size - 1).otherwise(size)
     # Never NULL, and Spark is told so: a null filter on one use of the counts would keep
     # the other from reusing their shuffle.
@@ -24,7 +24,12 @@ def _bucket(value: Column) -> Column:
 
 
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], min_count: int = 1
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    min_count: int = 1,
+    buckets_per_e: int = BUCKETS_PER_E,
 ) -> DataFrame:
     """Per group: n, total, lowest, highest, and linearly interpolated quantiles of ``value``.
 
@@ -38,13 +43,16 @@ def group_quantiles(
     2. The counts are summed by value bucket. A group has a bounded number of
        buckets; their running totals tell which buckets hold the wanted ranks.
     3. Only those buckets are opened: a running count inside each finds the values.
+
+    The distinct values of one bucket meet in one task. Raise ``buckets_per_e`` for huge
+    groups whose values lie close together in proportion, such as recent timestamps.
     """
     group = F.struct(*keys).alias("g")  # one non-null join key, equal also where a key is NULL
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(group, F.col(value).alias("v"))
         .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("b", _bucket(F.col("v")))
+        .withColumn("b", _bucket(F.col("v"), buckets_per_e))
     )
 
     per_bucket = counts.groupBy("g", "b").agg(

@@ -89,10 +89,11 @@ def test_quantiles_against_sorting(spark, dtype):
             assert r[name] == pytest.approx(interpolated(values, p), rel=1e-15, abs=1e-12)
 
 
-def test_quantiles_of_close_values_share_a_bucket(spark):
+@pytest.mark.parametrize("buckets_per_e", [1, 256, 10**6])
+def test_quantiles_do_not_depend_on_the_buckets(spark, buckets_per_e):
     values = [1_000_000 + i / 1000 for i in range(997)]
     df = spark.createDataFrame([("g", v) for v in values], "k string, v double")
-    row = group_quantiles(df, ["k"], "v", QUARTILES).first()
+    row = group_quantiles(df, ["k"], "v", QUARTILES, buckets_per_e=buckets_per_e).first()
     assert [row[name] for name in QUARTILES] == [interpolated(values, p) for p in QUARTILES.values()]
 
 
