@@ -21,6 +21,17 @@ def null_if_in(c: Column, tokens) -> Column:
     return F.when(~c.isin(*sorted(tokens)), c)
 
 
+def strip_or_null(c: Column, tokens) -> Column:
+    """The trimmed text, NULL where that is one of ``tokens``.
+
+    Filtering a one-element array names the trimmed text once. Written as a CASE it is
+    trimmed for the test and again for the result, in code that grows beyond what the
+    JVM compiles when there are many columns: half the speed on 23 of them.
+    """
+    kept = F.filter(F.array(strip(c)), lambda x: ~x.isin(*sorted(tokens)))
+    return F.get(kept, F.lit(0))
+
+
 def to_decimal(c: Column, dtype: str, on_error: str = "null", source: Column | None = None) -> Column:
     """Cast text to a decimal type.
 

@@ -159,7 +159,7 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = CSV_NULLS) -> DataFrame:
 
 def clean_strings(df: DataFrame, sentinels: Sequence[str] = SENTINELS) -> DataFrame:
     """Trim every text column, then turn the sentinels into NULL."""
-    return _map_text(df, lambda c: text.null_if_in(text.strip(c), sentinels))
+    return _map_text(df, lambda c: text.strip_or_null(c, sentinels))
 
 
 def timestamp(moment: datetime) -> Column:
