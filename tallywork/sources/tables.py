@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +19,10 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
-@functools.cache
-def _temporary_dir() -> str:
-    return tempfile.mkdtemp(prefix="tallywork-")
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; in local mode a temporary one if unset."""
+    """The shared folder named in spark.checkpoint.dir; if unset, a folder in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _temporary_dir()
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def write_once(df: DataFrame, name: str) -> DataFrame:
