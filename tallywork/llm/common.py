@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 CACHE_ENTRIES = 200_000
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Spark's Python workers import this package from where the driver found it.
+
+    Enough where executors see the same folder, as in local mode; elsewhere ship the package with --py-files.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import bpe, chat, quality, secrets, sharding
-from tallywork.llm.common import sha256_hex, table
+from tallywork.llm import bpe, chat, leaks, lines, quality, secrets, sharding, toxicity, urls
+from tallywork.llm.common import reach_workers, sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reach_workers(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -25,6 +31,31 @@ def op1_vector_packing(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+@query
+def op2_site_spread(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return lines.remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+# The rules of the URL query.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query
+def op3_ngram_logistic(spark, sf_dir):
+    """The rules label the URLs that they decide; a bounded table of those trains the model for all others."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    decided = urls.with_rule(urls.with_parts(pages), URL_RULES).where("rule IS NOT NULL")
+    model = urls.train(decided.select("host", "path", (F.col("rule_verdict") == "block").cast("int").alias("label")))
+    return urls.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 @query
 def op4_weak_supervision(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,6 +63,22 @@ def op4_weak_supervision(spark, sf_dir):
     return quality.judge(docs).select(*base, "quality")
 
 
+@query
+def op5_noisy_or(spark, sf_dir):
+    """Learns from the labelled rows that are not held out; scores all rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out)
+    model = toxicity.learn(docs.join(labels, "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.transform("offending", lambda s: F.struct(s["start"], s["end"])).alias("offending"),
+    )
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,3 +113,9 @@ def op9_blob_ledger(spark, sf_dir):
         sha256_hex(secrets.span_list(F.filter("spans", lambda s: s["kind"].isin(*base)))).alias("base_sha256"),
         secrets.span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op10_cgk_leaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
