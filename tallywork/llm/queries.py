@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import bpe, chat, leaks, lines, quality, secrets, sharding, toxicity, urls
+from tallywork.llm import bpe, chat, jaccard, leaks, lines, quality, secrets, sharding, toxicity, urls
 from tallywork.llm.common import reach_workers, sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,10 @@ def op9_blob_ledger(spark, sf_dir):
 def op10_cgk_leaks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+@query
+def op7_universe_partition(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, _ = jaccard.link_documents(docs, n=3, percent=90)
+    return rows
