@@ -36,12 +36,12 @@ SYMBOLS = "#*$%&|<>"
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",  # the base counts
-    "n_lines", "n_letters", "n_upper", "n_digits", "n_ended", "n_run_words", "n_distinct_words",
+    "n_lines", "n_letters", "n_upper", "n_digits", "n_run_words", "n_distinct_words", "n_symbol_words", "n_upper_words",
 )
 
 _words = re.compile(WORD).findall
 _LETTER, _UPPER, _DIGIT, _SYMBOL = 1, 2, 4, 8
-_ending = re.compile("[.!?…:;\"'»)]$")
+_symbol = re.compile("[" + re.escape(SYMBOLS) + "]").search
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -93,14 +93,12 @@ def count_text(text: str | None) -> tuple[int, ...]:
     number: dict[str, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
     seen: set[str] = set()
-    lines = dup = ended = 0
+    lines = dup = 0
     for line in text.split("\n"):
-        inner = line.strip("\t\n\x0b\x0c\r ")
-        if inner:
+        if line.strip("\t\n\x0b\x0c\r "):
             lines += 1
             dup += line in seen
             seen.add(line)
-            ended += bool(_ending.search(inner))
     return (
         len(words),
         sum(map(len, words)),
@@ -111,9 +109,10 @@ def count_text(text: str | None) -> tuple[int, ...]:
         letters,
         capitals,
         digits,
-        ended,
         int((ids[1:] == ids[:-1]).sum()),
         len(number),
+        sum(map(bool, map(_symbol, words))) if symbols else 0,
+        sum(map(str.isupper, words)) if 5 * capitals > letters else 0,
     )
 
 
@@ -134,17 +133,20 @@ def text_counts(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFr
     return docs.mapInArrow(run, schema)
 
 
-#: Rules by name: a measure, where it says good, and where it says bad ({v} is the measure); between the two the rule abstains.
+#: Rules by name: a measure, where it votes good, and where it votes bad ({v} is the measure); else the rule abstains.
+#: Most rules know one kind of bad text only and have nothing to say of others, so they never vote good.
 RULES = {
-    "symbols": ("n_symbols / n_words", "{v} <= 0.1", "{v} >= 0.5"),
-    "repeats": ("n_repeat_words / n_words", "{v} <= 0.1", "{v} >= 0.3"),
-    "runs": ("n_run_words / n_words", "{v} <= 0.1", "{v} >= 0.3"),
-    "shouting": ("n_upper / greatest(n_letters, 1)", "{v} <= 0.2", "{v} >= 0.5"),
-    "word_length": ("word_chars / n_words", "{v} BETWEEN 3.0 AND 12.0", "{v} < 2.0 OR {v} > 20.0"),
-    "letters": ("n_letters / word_chars", "{v} >= 0.85", "{v} <= 0.75"),
-    "digits": ("n_digits / word_chars", "{v} <= 0.1", "{v} >= 0.3"),
-    "dup_lines": ("n_dup_lines / n_lines", "{v} <= 0.2", "{v} >= 0.5"),
-    "variety": ("n_distinct_words / sqrt(n_words)", "{v} >= 2.0", "{v} <= 1.0"),
+    "symbols": ("n_symbols / n_words", "{v} <= 0.02", "{v} >= 0.1"),
+    "marked_words": ("n_symbol_words / n_words", "false", "{v} >= 0.1"),
+    "letters": ("n_letters / word_chars", "{v} >= 0.9", "{v} <= 0.85"),
+    "repeats": ("n_repeat_words / n_words", "false", "{v} >= 0.3"),
+    "runs": ("n_run_words / n_words", "false", "{v} >= 0.2"),
+    "shouting": ("n_upper / greatest(n_letters, 1)", "false", "{v} >= 0.4"),
+    "shouted_words": ("n_upper_words / n_words", "false", "{v} >= 0.4"),
+    "word_length": ("word_chars / n_words", "{v} BETWEEN 3.5 AND 9.0", "{v} < 2.0 OR {v} > 20.0"),
+    "digits": ("n_digits / word_chars", "false", "{v} >= 0.4"),
+    "dup_lines": ("n_dup_lines / n_lines", "false", "{v} >= 0.5"),
+    "variety": ("n_distinct_words / sqrt(n_words)", "{v} >= 3.0", "{v} <= 1.5"),
 }
 
 
@@ -162,7 +164,7 @@ def votes(counts: DataFrame) -> DataFrame:
 
 
 def fit_label_model(
-    patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior_good: float = 0.85, strength: float = 0.02
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior_good: float = 0.85, strength: float = 0.05
 ) -> tuple[np.ndarray, np.ndarray]:
     """Posterior probability of good for each pattern, and each rule's vote distribution by class (rule, class, vote).
 
@@ -174,7 +176,7 @@ def fit_label_model(
     weight = counts.astype(float)
     total = max(weight.sum(), 1.0)
     is_vote = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)  # pattern, rule, vote
-    pseudo = strength * total * np.array([[0.6, 0.3, 0.1], [0.05, 0.15, 0.8]])  # class (bad, good), vote
+    pseudo = strength * total * np.array([[0.4, 0.4, 0.2], [0.02, 0.49, 0.49]])  # class (bad, good), vote
     table = np.broadcast_to(pseudo / pseudo.sum(axis=1, keepdims=True), (n_rules, 2, 3)).copy()
     good = prior_good
     for _ in range(rounds):
