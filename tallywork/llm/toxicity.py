@@ -35,6 +35,8 @@ BUCKETS = 1 << 17
 MAX_DOCS = 2500
 MAX_WORDS = 800_000
 START_BIAS = -6.0
+#: A feature is learnt if the documents of the sample show by this much (log-likelihood ratio) that it goes with toxicity.
+EVIDENCE = 18.0
 
 _sentence = re.compile(r"[^.!?\n]+").finditer
 _word = re.compile(r"\w+").findall
@@ -45,6 +47,20 @@ def word_features(word: str) -> tuple[int, ...]:
     return tuple(crc32(p.encode()) % BUCKETS for p in parts)
 
 
+def evidence(clean: np.ndarray, toxic: np.ndarray, n_clean: float, n_toxic: float) -> np.ndarray:
+    """Log-likelihood ratio that a feature's share is higher among toxic documents; 0 where it is not."""
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12))
+
+    share = (clean + toxic) / (n_clean + n_toxic)
+    ratio = 2 * (
+        part(toxic, share * n_toxic) + part(n_toxic - toxic, (1 - share) * n_toxic)
+        + part(clean, share * n_clean) + part(n_clean - clean, (1 - share) * n_clean)
+    )
+    return np.where(toxic * n_clean > clean * n_toxic, ratio, 0.0)
+
+
 def train(texts: list[str], labels: list[int], steps: int = 80, rate: float = 0.5, shrink: float = 1e-4) -> np.ndarray:
     """Weights of all buckets, and the bias last. Balances the two labels; deterministic."""
     known: dict[str, tuple[int, ...]] = {}
@@ -68,15 +84,21 @@ def train(texts: list[str], labels: list[int], steps: int = 80, rate: float = 0.
     if not kept or y.min() == y.max():
         model[-1] = -np.inf
         return model
-    f = np.array(flat, dtype=np.int32)
+    f = np.array(flat, dtype=np.int64)
     of_sentence = np.repeat(np.arange(len(sentence_at)), np.diff([*sentence_at, len(f)]))
     of_doc = np.repeat(np.arange(len(doc_at)), np.diff([*doc_at, len(sentence_at)]))
-    sentence_at, doc_at = np.array(sentence_at), np.array(doc_at)
+    known_in = np.unique(f * len(y) + of_doc[of_sentence])
+    with_label = [
+        np.bincount((part := known_in[y[known_in % len(y)] == v]) // len(y), minlength=BUCKETS) for v in (0, 1)
+    ]
+    learnt = evidence(*with_label, len(y) - y.sum(), y.sum()) >= EVIDENCE
+    used = learnt[f]
+    f, of_sentence = f[used], of_sentence[used]
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     model[-1] = START_BIAS
     squares = np.full(BUCKETS + 1, 1e-8)
     for _ in range(steps):
-        z = np.add.reduceat(model[f], sentence_at) + model[-1]
+        z = np.bincount(of_sentence, weights=model[f], minlength=len(sentence_at)) + model[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         clean = np.exp(np.add.reduceat(np.log1p(-np.minimum(p, 1 - 1e-12)), doc_at))  # of a document: no sentence offends
         # Slope of the log loss by a sentence's z: p for clean documents, -p * clean / (1 - clean) for toxic ones.
@@ -84,8 +106,9 @@ def train(texts: list[str], labels: list[int], steps: int = 80, rate: float = 0.
         by_sentence = p * slope[of_doc]
         g = np.bincount(f, weights=by_sentence[of_sentence], minlength=BUCKETS + 1)
         g[:-1] += shrink * model[:-1] / len(y)
+        g[-1] = by_sentence.sum()
         squares += g * g
-        model -= rate * g / np.sqrt(squares) * (g != 0)
+        model -= rate * g / np.sqrt(squares)
         model[-1] = min(model[-1], START_BIAS)
     return model
 
