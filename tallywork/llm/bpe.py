@@ -20,7 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywork.llm.common import CACHE_ENTRIES
@@ -166,6 +167,11 @@ class ByteBpe:
         return b"".join([token[i] for i in ids])
 
 
+def joined(ids: Column) -> Column:
+    """The decimal ids joined by commas, as bytes."""
+    return F.array_join(ids.cast("array<string>"), ",").cast("binary")
+
+
 _CODERS: dict[tuple, ByteBpe] = {}
 
 
@@ -224,7 +230,7 @@ class Codec:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 coder = _coder(key, ranks, pattern)
-                values = [coder.decode(v.values.to_numpy()[:].tolist()) if v.is_valid else b"" for v in batch.column(ids)]
+                values = [coder.decode(v.values.to_pylist()) if v.is_valid else b"" for v in batch.column(ids)]
                 yield _with_column(batch, out, pa.array(values, pa.binary()))
 
         return df.mapInArrow(run, _schema(df, out, T.BinaryType()))

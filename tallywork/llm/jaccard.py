@@ -36,11 +36,11 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import CACHE_ENTRIES, store
+from tallywork.llm.common import CACHE_ENTRIES, free_name, store
 from tallywork.llm.components import components
 
 #: Lists of ids up to so many rows are broadcast; longer ones are joined by shuffle.
@@ -455,3 +455,22 @@ def _sketched(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3, percent: int = 90) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id. Of repeated rows one stays."""
+    rows, _ = link_documents(docs, text, key, n, percent)
+    rows = store(rows, "jaccard-rows")
+    others = store(rows.where(F.col(key) != F.col("component_id")).select(key).distinct(), "jaccard-others")
+    kept = docs.join(_bounded(others), key, "left_anti").select(*docs.columns)
+    again = store(
+        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key),
+        "jaccard-again",
+    )
+    if again.isEmpty():
+        return kept
+    # Rows with an id that occurs again: one of each text. The row number is limited before the shuffle.
+    place = free_name("place", docs.columns)
+    order = Window.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(0))
+    first = kept.join(_bounded(again), key, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return kept.join(_bounded(again), key, "left_anti").unionByName(first.drop(place)).select(*docs.columns)

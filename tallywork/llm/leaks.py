@@ -29,17 +29,16 @@ give equal rows; an empty benchmark or table gives an empty result.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import free_name
-
 MIN_WORDS = 8
 #: The rest of an item from a third or two thirds on is indexed if it has so many words.
 MIN_PART = 12
@@ -236,6 +235,29 @@ class LeakIndex:
 _INDEXES: dict[str, LeakIndex] = {}
 
 
+def _ship(spark: SparkSession, block: DataFrame, settings: Settings):
+    """The items of one block, at most BLOCK_WORDS words or so, as a broadcast."""
+    rows = sorted(((r.key, r.text) for r in block.collect()), key=lambda r: (str(r[0]), r[1]))
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, rows, settings))
+
+
+def _index(shipped) -> LeakIndex:
+    """Built once per Python worker and block."""
+    name, rows, settings = shipped.value
+    if name not in _INDEXES:
+        _INDEXES.clear()
+        _INDEXES[name] = LeakIndex(rows, settings)
+    return _INDEXES[name]
+
+
+def _searched(index: LeakIndex, texts: list[str | None]) -> Iterator[tuple[int, tuple[int, int, int, int]]]:
+    """(position, match) over a batch; a few texts at a time, so that memory follows them and not the batch."""
+    for begin in range(0, len(texts), 256):
+        for n, matches in enumerate(index.search(texts[begin : begin + 256]), begin):
+            for match in matches:
+                yield n, match
+
+
 def _char_span(text: str, first: int, after: int) -> tuple[int, int]:
     """Words to code points. Words are found in the text as it is; lower case changes no word border."""
     start = end = 0
@@ -276,24 +298,16 @@ def find_leaks(
     item_type = items.schema[item_key].dataType
     schema = T.StructType([*kept, T.StructField("item_id", item_type), *(T.StructField(n, T.LongType()) for n in names[1:])])
     for block in _item_blocks(items, item_key, item_text):
-        rows = sorted(((r.key, r.text) for r in block.collect()), key=lambda r: (str(r[0]), r[1]))  # at most a block
-        shipped = spark.sparkContext.broadcast((free_name("block", _INDEXES) + f"-{len(out)}-{id(rows)}", rows, settings))
+        shipped = _ship(spark, block, settings)
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            name, rows, settings = shipped.value
-            if name not in _INDEXES:
-                _INDEXES.clear()
-                _INDEXES[name] = LeakIndex(rows, settings)
-            index = _INDEXES[name]
+            index = _index(shipped)
             for batch in batches:
                 values = batch.column(text).to_pylist()
                 which, found = [], []
-                # A few documents at a time, so that memory follows them and not the batch.
-                for begin in range(0, len(values), 256):
-                    for n, matches in enumerate(index.search(values[begin : begin + 256]), begin):
-                        for item, distance, first, after in matches:
-                            which.append(n)
-                            found.append((index.ids[item], distance, len(index.items[item]), *_char_span(values[n], first, after)))
+                for n, (item, distance, first, after) in _searched(index, values):
+                    which.append(n)
+                    found.append((index.ids[item], distance, len(index.items[item]), *_char_span(values[n], first, after)))
                 if which:
                     take = pa.array(which, pa.int64())
                     columns = [batch.column(f.name).take(take) for f in kept]
@@ -307,3 +321,27 @@ def find_leaks(
     for part in out[1:]:
         whole = whole.unionByName(part)
     return whole
+
+
+def drop_leaking(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    settings: Settings = Settings(),
+) -> DataFrame:
+    """``docs`` without the rows that hold a passage."""
+    for block in _item_blocks(items, item_key, item_text):
+        shipped = _ship(docs.sparkSession, block, settings)
+
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            index = _index(shipped)
+            for batch in batches:
+                values = batch.column(text).to_pylist()
+                clean = np.ones(len(values), dtype=bool)
+                clean[[n for n, _ in _searched(index, values)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

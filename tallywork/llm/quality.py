@@ -208,3 +208,9 @@ def judge(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFram
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("quality") >= F.lit(keep_at)))
     )
+
+
+def keep_good(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns as they are."""
+    judged = judge(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")), keep_at=keep_at)
+    return judged.where("kept").select("row.*")

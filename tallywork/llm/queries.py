@@ -86,7 +86,7 @@ def op6_byte_bpe(spark, sf_dir):
     return codec.decode(codec.encode(docs).drop("text")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")).alias("ids_sha256"),
+        sha256_hex(bpe.joined(F.col("ids"))).alias("ids_sha256"),
         sha256_hex(F.col("decoded")).alias("decoded_sha256"),
     )
 
