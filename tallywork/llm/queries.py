@@ -69,7 +69,7 @@ def op5_noisy_or(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out)
-    model = toxicity.learn(docs.join(labels, "doc_id"))
+    model = toxicity.learn(docs, labels)
     return toxicity.score(docs, model).select(
         "doc_id",
         F.coalesce(held_out, F.lit(False)).alias("held_out"),

@@ -182,8 +182,16 @@ def score(
     return docs.mapInArrow(run, schema)
 
 
-def learn(labelled: DataFrame, text: str = "text", label: str = "toxic") -> np.ndarray:
-    """Train on a bounded sample of a labelled table."""
-    rows = bounded_sample(labelled, text, label).collect()  # bounded by MAX_DOCS and MAX_WORDS of each label
+def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> np.ndarray:
+    """Train on a bounded sample of the documents that ``labels`` (key, label) names.
+
+    The ids are chosen first, at most MAX_DOCS of each label, so that they can be broadcast and no text is shuffled.
+    """
+    chosen = [
+        labels.where(F.col(label) == value).select(key, label).distinct().orderBy(F.xxhash64(key), key).limit(MAX_DOCS)
+        for value in (0, 1)
+    ]
+    sample = docs.select(key, text).join(F.broadcast(chosen[0].unionByName(chosen[1])), key)
+    rows = bounded_sample(sample, text, label).collect()  # bounded by MAX_DOCS and MAX_WORDS of each label
     rows.sort(key=lambda r: (r.text, r.label))
     return train([r.text for r in rows], [r.label for r in rows])
