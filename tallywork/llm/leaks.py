@@ -86,7 +86,7 @@ def edit_search(pattern: list[int], stretch: list[int]) -> tuple[int, int]:
 class Settings:
     rate: float = 0.2
     walks: int = 2
-    tables: int = 5
+    tables: int = 7
     sampled: int = 4
     seed: int = 7
 

@@ -69,7 +69,7 @@ def remove_boilerplate(
 ) -> DataFrame:
     """``docs`` with cleaned texts; ``counts`` names two added columns: lines before, and lines removed."""
     value = F.col(text)
-    whole, bad = free_name("content", docs.columns), free_name("bad_lines", docs.columns)
+    whole, bad, id_, content_ = (free_name(n, docs.columns) for n in ("whole__", "bad__", "id__", "content__"))
     keys = F.array_distinct(
         F.transform(
             F.filter(F.split(value, "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != ""),
@@ -86,11 +86,11 @@ def remove_boilerplate(
     hits = (
         lines.join(_bounded(found), "line")
         .where(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")))
-        .groupBy(F.col("id").alias("id_"), F.col("content").alias("content_"))
+        .groupBy(F.col("id").alias(id_), F.col("content").alias(content_))
         .agg(F.collect_set("line").alias(bad))  # at most the lines of one text
     )
     marked = docs.withColumn(whole, F.xxhash64(value))
-    joined = marked.join(hits, F.col(key).eqNullSafe(F.col("id_")) & (F.col(whole) == F.col("content_")), "left")
+    joined = marked.join(hits, F.col(key).eqNullSafe(F.col(id_)) & (F.col(whole) == F.col(content_)), "left")
     every = F.split(value, "\n", -1)
     kept = F.filter(every, lambda x: (F.btrim(x, F.lit(BLANKS)) == "") | ~F.array_contains(F.col(bad), line_key(x)))
     n_all = F.coalesce(F.size(every), F.lit(0))
@@ -99,4 +99,4 @@ def remove_boilerplate(
         counts[0]: F.when(value.isNull(), 0).otherwise(n_all).cast("long"),
         counts[1]: F.when(F.col(bad).isNull(), 0).otherwise(n_all - F.size(kept)).cast("long"),
     }
-    return joined.withColumns(out).drop(whole, bad, "id_", "content_")
+    return joined.withColumns(out).drop(whole, bad, id_, content_)

@@ -1,5 +1,113 @@
-"""The queries as plain SQL over the given tables, where SQL can express them."""
+"""The queries as plain SQL over the given tables, where SQL can express them.
+
+Left out, and tested against brute force, round trips or held-out labels instead: vector
+packing (op1), fitted models (op3, op4, op5), byte-level BPE (op6), edit distance to the
+stretches of a text (op10), and the pipeline, which needs two of them.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from tallywork.llm.lines import MIN_SITES
+from tallywork.llm.secrets import BASE_RULES, RULES
+
+# A line's text without outer blanks, the sites of each such line, and the document that keeps it.
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_SITE_SPREAD = f"""
+WITH numbered AS (SELECT *, row_number() OVER () AS row_id FROM documents),
+lines AS (
+    SELECT row_id, doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM numbered),
+keyed AS (SELECT *, trim(line, {_BLANKS}) AS words FROM lines),
+shared AS (
+    SELECT words, min(doc_id) AS first FROM keyed WHERE words <> ''
+    GROUP BY words HAVING count(DISTINCT site) >= {MIN_SITES}),
+marked AS (SELECT k.*, s.words IS NOT NULL AND s.first <> k.doc_id AS gone FROM keyed k LEFT JOIN shared s USING (words)),
+joined AS (
+    SELECT row_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text
+    FROM marked GROUP BY row_id)
+SELECT n.doc_id, coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_removed, 0) AS n_removed,
+       CASE WHEN n.text IS NOT NULL THEN j.text END AS text
+FROM numbered n LEFT JOIN joined j USING (row_id)
+"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_JACCARD = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * shared.n >= 90 * (p.n + q.n - shared.n)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, b.y FROM reach r JOIN edges b ON r.other = b.x)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+"""
+
+_ESCAPE = "regexp_replace({0}, '([\\[<])(\\\\*)(/?INST\\]|/?s>)', '\\1\\\\\\2\\3', 'g')"
+_CONTROL = "</s>[INST] ok [/INST]"
+_PREFIX_TARGETS = f"""
+WITH turns AS (
+    SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role,
+           coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '{_CONTROL}'), (-1, 1, 'assistant', '{_CONTROL}')),
+placed AS (
+    SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS size,
+           sum(17 + length({_ESCAPE.format("role")}) + length({_ESCAPE.format("text")})) OVER w AS upto
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(upto) FILTER (WHERE role = 'assistant' OR place = size)::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
+
+def _hits(number: int) -> str:
+    """The spans of one rule: matches and the gaps between them alternate."""
+    rule = RULES[number]
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+SELECT row_id, {number} AS rule, '{rule.kind}' AS kind, part,
+       sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
+       sum(length(gap)) OVER w + sum(length(hit)) OVER w AS e
+FROM (SELECT row_id, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit, unnest(parts) AS part,
+             unnest(gaps[1:len(hits)]) AS gap
+      FROM (SELECT row_id, regexp_extract_all(t, '{pattern}', 0) AS hits,
+                   regexp_extract_all(t, '{pattern}', {rule.group}) AS parts, string_split_regex(t, '{pattern}') AS gaps FROM texts))
+WINDOW w AS (PARTITION BY row_id ORDER BY i)
+QUALIFY length(part) >= {rule.least}"""
+
+
+_SPAN = "kind || ':' || s || ':' || e"
+_BASE = len(BASE_RULES)
+_LEDGER = (
+    "WITH texts AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents), hits AS ("
+    + " UNION ALL ".join(f"SELECT * FROM ({_hits(i)})" for i in range(len(RULES)))
+    + "), listed AS (SELECT row_id, "
+    + ", ".join(f"count(*) FILTER (WHERE rule = {i}) AS n_{rule.kind}" for i, rule in enumerate(BASE_RULES))
+    + f", string_agg({_SPAN}, ',' ORDER BY s, rule) FILTER (WHERE rule < {_BASE}) AS base, "
+    f"string_agg({_SPAN}, ',' ORDER BY s, rule) AS spans FROM hits GROUP BY row_id) SELECT doc_id, "
+    + ", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in BASE_RULES)
+    + ", sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts LEFT JOIN listed USING (row_id)"
+)
+
+ORACLE: dict[str, str] = {
+    "op2_site_spread": _SITE_SPREAD,
+    "op7_universe_partition": _JACCARD,
+    "op8_prefix_targets": _PREFIX_TARGETS,
+    "op9_blob_ledger": _LEDGER,
+}

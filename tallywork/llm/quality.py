@@ -12,8 +12,8 @@ counted by pattern (map side first) and only these counts meet on the driver, wh
 the corpus. Priors keep every rule better than chance, so the classes cannot swap.
 
 Defined cases: null and empty texts have no words and fail the base rule; a text whose
-rules all abstain gets the prior; an empty table gives an empty result; columns of the
-input other than the key and the text are not looked at.
+rules all abstain gets the prior; an empty table gives an empty result; other
+columns pass through, and those that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -116,10 +116,10 @@ def count_text(text: str | None) -> tuple[int, ...]:
     )
 
 
-def text_counts(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns but the text, and the COUNTS of the whole text as longs."""
     kept = [f for f in docs.schema.fields if f.name != text]
-    names = [prefix + c for c in COUNTS]
+    names = list(COUNTS)
     schema = T.StructType([*kept, *(T.StructField(c, T.LongType()) for c in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,6 +195,7 @@ def fit_label_model(
 def judge(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
     """Every column but the text, with the COUNTS, the votes, ``quality`` (posterior), ``base_failed`` and ``kept``."""
     names = [f"vote_{name}" for name in RULES]
+    docs = docs.drop(*{*COUNTS, *names, "quality", "base_failed", "kept"} - {text})
     voted = store(votes(text_counts(docs, text)), "quality-votes")
     seen = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3^rules rows
     spark = docs.sparkSession

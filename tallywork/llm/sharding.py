@@ -8,7 +8,7 @@ with the group's vector, among the shards that still have room for its bytes.
 What is placed is bounded, whatever the corpus: a group that is heavier than a shard
 divided by ``fine`` is an item of its own (there are fewer than shards * fine of them),
 the others are bundled by a hash of the text into shards * fine bundles, and a group
-heavier than half a shard is split by row into pieces of a quarter, since no placement
+heavier than a whole shard is split by row into pieces of half a shard, since no placement
 could balance it whole. Only the items' sums come to the driver; rows never do. The
 last, lightest items fill the gaps, so bytes differ by about one part in ``fine``.
 
@@ -84,8 +84,8 @@ def shard_documents(
     heavy = groups.where(F.col("g_bytes") > F.lit(capacity / fine)).select(
         *group,
         F.when(
-            (F.col("g_bytes") > F.lit(capacity / 2)) & (F.col("g_rows") > 1),
-            F.least(F.col("g_rows"), F.ceil(F.col("g_bytes") / F.lit(capacity / 4))),
+            (F.col("g_bytes") > F.lit(capacity)) & (F.col("g_rows") > 1),
+            F.least(F.col("g_rows"), F.ceil(F.col("g_bytes") / F.lit(capacity / 2))),
         )
         .otherwise(F.lit(1))
         .cast("int")

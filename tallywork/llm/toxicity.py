@@ -36,7 +36,7 @@ MAX_DOCS = 2500
 MAX_WORDS = 800_000
 START_BIAS = -6.0
 #: A feature is learnt if the documents of the sample show by this much (log-likelihood ratio) that it goes with toxicity.
-EVIDENCE = 18.0
+EVIDENCE = 15.0
 
 _sentence = re.compile(r"[^.!?\n]+").finditer
 _word = re.compile(r"\w+").findall
@@ -104,7 +104,7 @@ def train(texts: list[str], labels: list[int], steps: int = 80, rate: float = 0.
         # Slope of the log loss by a sentence's z: p for clean documents, -p * clean / (1 - clean) for toxic ones.
         slope = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * weight
         by_sentence = p * slope[of_doc]
-        g = np.bincount(f, weights=by_sentence[of_sentence], minlength=BUCKETS + 1)
+        g = np.bincount(f, weights=by_sentence[of_sentence], minlength=BUCKETS + 1).astype(float)
         g[:-1] += shrink * model[:-1] / len(y)
         g[-1] = by_sentence.sum()
         squares += g * g
