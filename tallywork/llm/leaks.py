@@ -258,6 +258,10 @@ def _searched(index: LeakIndex, texts: list[str | None]) -> Iterator[tuple[int,
                 yield n, match
 
 
+def _plain(key, whole_number: bool):
+    return key if key is None or whole_number else str(key)
+
+
 def _char_span(text: str, first: int, after: int) -> tuple[int, int]:
     """Words to code points. Words are found in the text as it is; lower case changes no word border."""
     start = end = 0
@@ -287,7 +291,10 @@ def find_leaks(
     item_text: str = "text",
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """One row per document row and item found in it: the key columns, item_id, distance, item_words, start, end (code points)."""
+    """One row per document row and item found in it: the key columns, item_id, distance, item_words, start, end (code points).
+
+    item_id is a long for whole numbers and a string for all other types.
+    """
     spark = docs.sparkSession
     names = ["item_id", "distance", "item_words", "start", "end"]
     kept = [f for f in docs.schema.fields if f.name in key]
@@ -295,8 +302,12 @@ def find_leaks(
     for f in kept:
         if f.name in names:
             raise ValueError(f"key column {f.name} has the name of a result column")
-    item_type = items.schema[item_key].dataType
-    schema = T.StructType([*kept, T.StructField("item_id", item_type), *(T.StructField(n, T.LongType()) for n in names[1:])])
+    whole_numbers = isinstance(items.schema[item_key].dataType, T.IntegralType)
+    schema = T.StructType(
+        [*kept, T.StructField("item_id", T.LongType() if whole_numbers else T.StringType())]
+        + [T.StructField(n, T.LongType()) for n in names[1:]]
+    )
+    kinds = [pa.int64() if whole_numbers else pa.string(), *(pa.int64() for _ in names[1:])]
     for block in _item_blocks(items, item_key, item_text):
         shipped = _ship(spark, block, settings)
 
@@ -307,12 +318,12 @@ def find_leaks(
                 which, found = [], []
                 for n, (item, distance, first, after) in _searched(index, values):
                     which.append(n)
-                    found.append((index.ids[item], distance, len(index.items[item]), *_char_span(values[n], first, after)))
+                    found.append((_plain(index.ids[item], whole_numbers), distance, len(index.items[item]), *_char_span(values[n], first, after)))
                 if which:
                     take = pa.array(which, pa.int64())
                     columns = [batch.column(f.name).take(take) for f in kept]
                     yield pa.RecordBatch.from_arrays(
-                        [*columns, *(pa.array([f[i] for f in found]) for i in range(len(names)))], [*(f.name for f in kept), *names]
+                        [*columns, *(pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds))], [*(f.name for f in kept), *names]
                     )
 
         needed = list(dict.fromkeys([*(f.name for f in kept), text]))
