@@ -155,7 +155,7 @@ def score(
             return found
 
         def one(value: str | None) -> tuple[float, list[tuple[int, int, float]]]:
-            if not value:
+            if not value or bias == -np.inf:
                 return 0.0, []
             places, z = [], []
             low = value.lower()
