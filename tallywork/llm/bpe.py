@@ -16,6 +16,7 @@ is replaced; every other column passes through.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,11 @@ from pyspark.sql import types as T
 from tallywork.llm.common import CACHE_ENTRIES
 
 _NO_LIMIT = 1 << 62
+_NO_IDS = np.zeros(0, dtype=np.int32)
 #: Pieces longer than this are encoded each time instead of being remembered.
 CACHED_PIECE = 48
+#: Pieces remembered in one of two generations.
+PIECES = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -45,23 +49,29 @@ class ByteBpe:
         import regex
 
         self.pieces = regex.compile(pattern).findall
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.text = {rank: token.decode("latin-1") for token, rank in ranks.items()}
-        self.rank = {text: rank for rank, text in self.text.items()}
+        most = max(ranks.values()) + 1
+        self.text: list[str] = [""] * most
+        for token, rank in ranks.items():
+            self.text[rank] = token.decode("latin-1")
+        self.rank = {self.text[rank]: rank for rank in ranks.values()}
         missing = [b for b in range(256) if chr(b) not in self.rank]
         if missing:
             raise ValueError(f"vocabulary has no token for bytes {missing}")
         self.automaton = ahocorasick.Automaton()
         for text, rank in self.rank.items():
-            self.automaton.add_word(text, (rank, len(text)))
+            self.automaton.add_word(text, (rank, len(text) - 1))
         self.automaton.make_automaton()
-        self.shorter = {rank: self._longest_prefix(text) for rank, text in self.text.items()}
-        self.halves: dict[int, tuple[int, int]] = {}
-        for rank in sorted(self.text):
+        self.shorter = [self._longest_prefix(text) for text in self.text]
+        self.halves = [(rank, rank) for rank in range(most)]
+        for rank in sorted(self.rank.values()):
             self.halves[rank] = self._split(rank)
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.earlier: dict[str, tuple[int, ...]] = {}
+        self.fits: dict[int, bool] = {}
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+        # For decoding: all tokens in one array of bytes, and where each begins.
+        self.size = np.array([len(text) for text in self.text], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer("".join(self.text).encode("latin-1"), dtype=np.uint8)
 
     def _longest_prefix(self, text: str) -> int | None:
         """The longest token that begins ``text`` and is not all of it."""
@@ -101,38 +111,40 @@ class ByteBpe:
             else:
                 return True
 
-    def _pair_fits(self, left: int, right: int) -> bool:
-        found = self.fits.get((left, right))
-        if found is None:
-            if len(self.fits) >= CACHE_ENTRIES:
-                self.fits.clear()
-            found = self.fits[left, right] = self._compatible(left, right)
+    def _learn_pair(self, left: int, right: int) -> bool:
+        if len(self.fits) >= CACHE_ENTRIES:
+            self.fits.clear()
+        found = self.fits[left << 32 | right] = self._compatible(left, right)
         return found
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
+    def encode_piece(self, piece: str) -> list[int]:
         """Token ids of one piece, its bytes given as Latin-1 characters."""
         whole = self.rank.get(piece)
         if whole is not None:
-            return (whole,)
+            return [whole]
         size = len(piece)
         longest = [0] * size
-        reach = [0] * size
-        for end, (rank, length) in self.automaton.iter(piece):
-            start = end - length + 1
-            if length > reach[start]:
-                reach[start], longest[start] = length, rank
+        for end, (rank, before) in self.automaton.iter(piece):
+            longest[end - before] = rank  # matches come by their ends, so the last one from a place is the longest
         open_at = bytearray(b"\x01" * (size + 1))
         done: list[int] = []
         at, token = 0, longest[0]
-        text, shorter = self.text, self.shorter
+        text, shorter, fits = self.text, self.shorter, self.fits
         while True:
             end = at + len(text[token])
-            if open_at[end] and (not done or self._pair_fits(done[-1], token)):
-                done.append(token)
-                if end == size:
-                    return tuple(done)
-                at, token = end, longest[end]
-                continue
+            if open_at[end]:
+                if done:
+                    fit = fits.get(done[-1] << 32 | token)
+                    if fit is None:
+                        fit = self._learn_pair(done[-1], token)
+                else:
+                    fit = True
+                if fit:
+                    done.append(token)
+                    if end == size:
+                        return done
+                    at, token = end, longest[end]
+                    continue
             token = shorter[token]
             while token is None:  # nothing fits here: close the place and shorten the token before
                 open_at[at] = 0
@@ -140,31 +152,39 @@ class ByteBpe:
                 at -= len(text[last])
                 token = shorter[last]
 
-    def _learn(self, piece: str) -> tuple[int, ...]:
+    def _learn(self, piece: str) -> bytes:
         """Encode a piece and remember it; two generations of memory, so that common pieces stay."""
-        found = self.earlier.get(piece)
+        found = self.known.get(piece) or self.earlier.get(piece)
         if found is None:
-            found = self.encode_piece(piece.encode("utf-8").decode("latin-1"))
+            found = array("i", self.encode_piece(piece.encode("utf-8").decode("latin-1"))).tobytes()
         if len(piece) <= CACHED_PIECE:
-            if len(self.known) >= CACHE_ENTRIES:
+            if len(self.known) >= PIECES:
                 self.earlier, self.known = self.known, {}
             self.known[piece] = found
         return found
 
+    def encode_packed(self, text: str) -> bytes:
+        """The token ids of a text as 32-bit integers."""
+        pieces = self.pieces(text)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._learn(pieces[i])
+        return b"".join(found)
+
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        known = self.known
-        for piece in self.pieces(text):
-            found = known.get(piece)
-            if found is None:
-                found = self._learn(piece)
-                known = self.known
-            ids.extend(found)
-        return ids
+        return np.frombuffer(self.encode_packed(text), dtype=np.int32).tolist()
+
+    def decode_packed(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the ids, one after the other."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.bytes[np.repeat(self.start[ids] - (ends - size), size) + np.arange(total)]
 
     def decode(self, ids) -> bytes:
-        token = self.token
-        return b"".join([token[i] for i in ids])
+        return self.decode_packed(np.asarray(ids, dtype=np.int64)).tobytes()
 
 
 def joined(ids: Column) -> Column:
@@ -183,6 +203,13 @@ def _coder(key: tuple, ranks, pattern: str) -> ByteBpe:
     return _CODERS[key]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that memory follows them and not the batch."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     kept = [i for i, n in enumerate(batch.schema.names) if n.lower() != name.lower()]
     return pa.RecordBatch.from_arrays(
@@ -208,15 +235,11 @@ class Codec:
         key, ranks, pattern = self.key, self.ranks, self.pattern
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                coder = _coder(key, ranks, pattern)
-                ends, flat = [0], []
-                for value in batch.column(text):
-                    value = value.as_py()
-                    found = coder.encode(value) if value else []
-                    flat.append(np.asarray(found, dtype=np.int32))
-                    ends.append(ends[-1] + len(found))
-                values = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+            coder = _coder(key, ranks, pattern)
+            for batch in _slices(batches):
+                packed = [coder.encode_packed(v) if v else b"" for v in batch.column(text).to_pylist()]
+                ends = np.cumsum([0, *map(len, packed)]) // 4
+                values = np.frombuffer(b"".join(packed), dtype=np.int32)
                 yield _with_column(
                     batch, ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
                 )
@@ -228,9 +251,12 @@ class Codec:
         key, ranks, pattern = self.key, self.ranks, self.pattern
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                coder = _coder(key, ranks, pattern)
-                values = [coder.decode(v.values.to_pylist()) if v.is_valid else b"" for v in batch.column(ids)]
-                yield _with_column(batch, out, pa.array(values, pa.binary()))
+            coder = _coder(key, ranks, pattern)
+            for batch in _slices(batches):
+                lists = [v.values.to_numpy() if v.is_valid else _NO_IDS for v in batch.column(ids)]
+                flat = np.concatenate(lists)
+                ends = np.cumsum([0, *(int(coder.size[x].sum()) for x in lists)], dtype=np.int32)
+                found = [None, pa.py_buffer(ends), pa.py_buffer(coder.decode_packed(flat))]
+                yield _with_column(batch, out, pa.Array.from_buffers(pa.binary(), len(lists), found))
 
         return df.mapInArrow(run, _schema(df, out, T.BinaryType()))
