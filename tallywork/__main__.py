@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.plans import pipeline
 
 
-def main() -> None:
+def main() -> int:
+    """Run one step; 1 if a declared test fails, so that a scheduled chain stops there."""
     parser = argparse.ArgumentParser(prog="tallywork", description=__doc__)
     parser.add_argument("step", choices=["run", "ingest", "check", "build", "test"])
     parser.add_argument("out", help="folder of the stored tables")
@@ -24,7 +26,7 @@ def main() -> None:
     if args.step == "run":
         shown = pipeline.run(spark, args.src, args.out, records=args.records, on_error=args.on_error)
         shown["issues"].show(truncate=False)
-        shown["tests"].show(truncate=False)
+        return _passed(shown["tests"])
     elif args.step == "ingest":
         pipeline.ingest(spark, args.src, args.out, records=args.records)
     elif args.step == "check":
@@ -32,8 +34,14 @@ def main() -> None:
     elif args.step == "build":
         pipeline.build(spark, args.out, args.on_error)
     else:
-        pipeline.test(spark, args.out).show(truncate=False)
+        return _passed(pipeline.test(spark, args.out))
+    return 0
+
+
+def _passed(tests: DataFrame) -> int:
+    tests.show(truncate=False)
+    return 0 if tests.filter("should_error").isEmpty() else 1
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

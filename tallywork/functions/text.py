@@ -58,21 +58,25 @@ def phrase_number(c: Column, phrases: Mapping[str, int], dtype: str, on_error: s
     return number if out is None else out.otherwise(number)
 
 
+_EXPONENT_FORM = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\z"
+
+
 def money_number(c: Column, dtype: str, on_error: str = "null") -> Column:
     """Number from currency text: keep digits and dots, then cast; nothing left is NULL.
 
-    Signs, exponents and thousands separators are dropped with the rest, so
-    '-5' is 5 and '1e5' is 15.
+    Signs and thousands separators are dropped with the rest, so '-5' is 5. A text that is
+    wholly a number in exponent form is that number without its sign ('1e5' is 100000): its
+    digits alone would be another, plausible number. One that does not fit is no number.
     """
-    kept = F.nullif(F.regexp_replace(c, "[^0-9.]", ""), F.lit(""))
+    digits = F.nullif(F.regexp_replace(c, "[^0-9.]", ""), F.lit(""))
+    kept = F.when(c.rlike(_EXPONENT_FORM), F.regexp_replace(c, "^[+-]", "")).otherwise(digits)
     return to_decimal(kept, dtype, on_error, source=c)
 
 
 def expand_exponent(c: Column) -> Column:
-    """Write a number in exponent form ('1e5') out in full; other text stays."""
-    is_exponent = c.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+\z")
+    """Write a number in exponent form ('1e5') out in full; other text, and a number that does not fit, stays."""
     plain = F.regexp_replace(c.try_cast("decimal(38,10)").cast("string"), r"\.0+\z", "")
-    return F.when(is_exponent, F.coalesce(plain, c)).otherwise(c)
+    return F.when(c.rlike(_EXPONENT_FORM), F.coalesce(plain, c)).otherwise(c)
 
 
 def mentions(text_lower: Column, item: Column) -> Column:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Buckets per factor e of the value: a bucket spans under half a percent.
 BUCKETS_PER_E = 256
+# Equal ranges into which an opened bucket is divided.
+RANGES = 65_536
 
 
 def _bucket(value: Column, per_e: int) -> Column:
@@ -30,22 +32,26 @@ def group_quantiles(
     probs: Mapping[str, float],
     min_count: int = 1,
     buckets_per_e: int = BUCKETS_PER_E,
+    ranges: int = RANGES,
 ) -> DataFrame:
     """Per group: n, total, lowest, highest, and linearly interpolated quantiles of ``value``.
 
     ``probs`` names each quantile's column. NULL values are left out, a NULL key is
     a group of its own, and groups with fewer than ``min_count`` values are dropped.
-    Quantiles are doubles; lowest and highest keep the type. The total of integers and
-    of decimals up to 18 digits is an exact decimal.
+    Quantiles are doubles; lowest and highest keep the type. The total adds up
+    value times count: exact for integers and for decimals of up to 19 digits; wider ones
+    keep at least six digits after the point (decimal(38,10) sums as decimal(38,6)).
 
     1. Equal values are counted before the shuffle, so a value shared by a third of
        all rows is one row per task; (group, value) pairs spread a hot group out.
     2. The counts are summed by value bucket. A group has a bounded number of
        buckets; their running totals tell which buckets hold the wanted ranks.
-    3. Only those buckets are opened: a running count inside each finds the values.
+    3. Those buckets are divided into ``ranges`` equal ranges between their lowest and
+       highest value, whose running totals tell which ranges hold the ranks.
+    4. Only those ranges are opened: a running count inside each finds the values.
 
-    The distinct values of one bucket meet in one task. Raise ``buckets_per_e`` for huge
-    groups whose values lie close together in proportion, such as recent timestamps.
+    So no task meets more values than a range holds: of a million distinct values in one
+    bucket, about sixteen, and of 10^12 about 16 million.
     """
     group = F.struct(*keys).alias("g")  # one non-null join key, equal also where a key is NULL
     counts = (
@@ -57,7 +63,7 @@ def group_quantiles(
 
     per_bucket = counts.groupBy("g", "b").agg(
         F.sum("c").alias("bucket_n"),
-        F.sum(F.col("v") * F.col("c").cast("decimal(20,0)")).alias("bucket_total"),
+        F.sum(F.col("v") * F.col("c").cast("decimal(18,0)")).alias("bucket_total"),
         F.min("v").alias("bucket_low"),
         F.max("v").alias("bucket_high"),
     )
@@ -67,6 +73,8 @@ def group_quantiles(
         "g",
         "b",
         "bucket_n",
+        "bucket_low",
+        "bucket_high",
         F.coalesce(F.sum("bucket_n").over(before), F.lit(0)).alias("start"),
         F.sum("bucket_n").over(whole).alias("n"),
         F.sum("bucket_total").over(whole).alias("total"),
@@ -78,12 +86,33 @@ def group_quantiles(
     holds_rank = [(F.col("start") <= r) & (r < F.col("start") + F.col("bucket_n")) for r in ranks]
     wanted = placed.filter((F.col("n") >= min_count) & reduce(Column.__or__, holds_rank)).drop("bucket_n")
 
-    running = W.partitionBy("g", "b").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.join(wanted, ["g", "b"]).withColumn("upto", F.col("start") + F.sum("c").over(running))
+    # As doubles, since that is what a quantile is; values that are one double need not be told apart.
+    low, high = F.col("bucket_low").cast("double"), F.col("bucket_high").cast("double")
+    share_of_range = (F.col("x") - low) / (high - low)
+    number = F.when(
+        (high > low) & (high - low < float("inf")), F.least(F.floor(share_of_range * ranges), F.lit(ranges - 1))
+    ).otherwise(F.lit(0))
+    opened = (
+        counts.select("g", "b", F.col("v").cast("double").alias("x"), "c")
+        .join(wanted, ["g", "b"])
+        .withColumn("r", F.coalesce(number, F.lit(0)))
+    )
+    carried = ["n", "total", "lowest", "highest"]
+    per_range = opened.groupBy("g", "b", "r", "start", *carried).agg(F.sum("c").alias("range_n"))
+    earlier = W.partitionBy("g", "b").orderBy("r").rowsBetween(W.unboundedPreceding, -1)
+    begun = per_range.withColumn("start", F.col("start") + F.coalesce(F.sum("range_n").over(earlier), F.lit(0)))
+    holds_rank = [(F.col("start") <= r) & (r < F.col("start") + F.col("range_n")) for r in ranks]
+    ranges_wanted = begun.filter(reduce(Column.__or__, holds_rank)).select("g", "b", "r", "start", *carried)
+    running = W.partitionBy("g", "b", "r").orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = (
+        opened.select("g", "b", "r", "x", "c")
+        .join(ranges_wanted, ["g", "b", "r"])
+        .withColumn("upto", F.col("start") + F.sum("c").over(running))
+    )
 
     def at(rank: Column) -> Column:
         inside = (F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto"))
-        return F.max(F.when(inside, F.col("v"))).cast("double")
+        return F.max(F.when(inside, F.col("x")))
 
     quantiles = []
     for name, position in positions.items():

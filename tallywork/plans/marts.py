@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band, percent, ratio
+from tallywork.functions.text import to_decimal
 from tallywork.operators.multiselect import explode_multiselect, item_flag_counts
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.operators.ranking import rank_descending
+from tallywork.sources.schemas import SATISFACTION_TYPE
 
 # Pay range, group thresholds, experience bands.
 PAY_RANGE = (10_000, 5_000_000)
@@ -126,17 +128,29 @@ def by_respondents(mart: DataFrame) -> DataFrame:
     return mart.orderBy(F.desc("respondent_count"), *keys)
 
 
-def mean_if_numeric(c: Column, digits: int = 2) -> Column:
-    r"""Mean over the texts that are digits only; the others do not count.
+def satisfaction_number(c: Column, on_error: str = "null") -> Column:
+    r"""The number of a text that is digits only, up to 38 of them; NULL for any other text.
 
     ``\z`` and not ``$``: the latter also matches before a final newline.
     """
-    number = F.when(c.rlike(r"^[0-9]+\z"), c.try_cast("decimal(18,0)"))
-    return _double(ratio(F.sum(number), F.count(number), digits))
+    return to_decimal(F.when(c.rlike(r"^[0-9]+\z"), c), SATISFACTION_TYPE, on_error)
+
+
+def exact_mean_if_numeric(c: Column, digits: int = 2, on_error: str = "null") -> Column:
+    """Mean over the texts that are digits only, as a decimal; the others do not count."""
+    number = satisfaction_number(c, on_error)
+    return ratio(F.sum(number), F.count(number), digits)
+
+
+def mean_if_numeric(c: Column, digits: int = 2, on_error: str = "null") -> Column:
+    return _double(exact_mean_if_numeric(c, digits, on_error))
 
 
 def ai_sentiment(
-    stg: DataFrame, keys: Sequence[str] = SENTIMENT_KEYS, min_count: int = MIN_SENTIMENT_GROUP
+    stg: DataFrame,
+    keys: Sequence[str] = SENTIMENT_KEYS,
+    min_count: int = MIN_SENTIMENT_GROUP,
+    on_error: str = "null",
 ) -> DataFrame:
     """Groups by country, role and attitude: count, job satisfaction, share that sees AI as a threat.
 
@@ -149,7 +163,7 @@ def ai_sentiment(
         answered.groupBy(*keys)
         .agg(
             n.alias("respondent_count"),
-            mean_if_numeric(F.col("job_sat")).alias("avg_job_satisfaction"),
+            mean_if_numeric(F.col("job_sat"), on_error=on_error).alias("avg_job_satisfaction"),
             _double(threat).alias("pct_see_ai_as_threat"),
         )
         .filter(F.col("respondent_count") >= min_count)

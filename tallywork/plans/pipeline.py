@@ -7,12 +7,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.operators.dedupe import latest_per_key_stored
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources.ingest import load_raw, timestamp
 from tallywork.sources.schemas import ISSUES_SCHEMA, RAW_SCHEMA
-from tallywork.sources.tables import read_table, write_table
+from tallywork.sources.tables import read_table, remove, swap_in, write_beside, write_table
 
 LAYERS = {
     "raw": "raw/survey_responses",
@@ -58,11 +57,31 @@ def build(spark: SparkSession, out: str, on_error: str = "null") -> dict[str, Da
 
     Staging is written once, since four consumers read it; the exploded layers stay
     views over it.
+
+    All tables are written first and put in place together, so a build that fails half-way
+    changes none of them.
     """
     raw = read_table(spark, path(out, "raw"), RAW_SCHEMA)
-    stg = write_table(stage(raw, on_error, latest=latest_per_key_stored), path(out, "staging"))
-    built = {"salary": marts.salary_segments, "adoption": marts.tech_adoption, "sentiment": marts.ai_sentiment}
-    return {"staging": stg} | {name: write_table(mart(stg), path(out, name)) for name, mart in built.items()}
+    made: dict[str, str] = {}
+    try:
+        rows = stage(raw, on_error)
+        made["staging"] = write_beside(rows, path(out, "staging"))
+        stg = read_table(spark, made["staging"], rows.schema)
+        built = {
+            "salary": marts.salary_segments(stg),
+            "adoption": marts.tech_adoption(stg),
+            "sentiment": marts.ai_sentiment(stg, on_error=on_error),
+        }
+        for name, mart in built.items():
+            made[name] = write_beside(mart, path(out, name))
+    except Exception:
+        for new in made.values():
+            remove(spark, new)
+        raise
+    for name, new in made.items():
+        swap_in(spark, new, path(out, name))
+    schemas = {"staging": rows.schema} | {name: mart.schema for name, mart in built.items()}
+    return {name: read_table(spark, path(out, name), schema) for name, schema in schemas.items()}
 
 
 def layers(spark: SparkSession, out: str) -> dict[str, DataFrame]:

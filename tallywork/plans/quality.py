@@ -67,7 +67,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check] = SURVEY_CHECKS) -> DataFr
     counted = [c for c in checks if c.key is None]
     if counted:
         counts = df.select(*[F.count_if(_where(c)).alias(c.name) for c in counted])
-        parts.append(counts.unpivot([], [c.name for c in counted], "check_name", "row_count"))
+        parts.append(counts.unpivot([], [f"`{c.name}`" for c in counted], "check_name", "row_count"))
     for check in checks:
         if check.key is not None:
             repeated = df.groupBy(check.key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.text import money_number, phrase_number
 from tallywork.operators.dedupe import latest_per_key
-from tallywork.sources.schemas import PAY_TYPE, YEARS_TYPE
+from tallywork.sources.schemas import PAY_TYPE, SATISFACTION_TYPE, YEARS_TYPE
 
 # Answers in words and the years they stand for.
 YEARS_PHRASES = {"Less than 1 year": 0, "More than 50 years": 51}
 
+# The columns of the staging layer.
 STAGING_COLUMNS = (
     "response_id", "main_branch", "age", "remote_work", "ed_level", "years_code", "years_code_pro", "country",
     "currency", "dev_type", "org_size", "industry", "language_have_worked", "language_want_work",
@@ -48,13 +49,16 @@ def stage(
 
 
 def cast_losses(raw: DataFrame) -> DataFrame:
-    """How many raw values staging turns into NULL because they are no number, per column."""
+    """How many raw values staging or a mart turns into NULL because they are no number or do not fit, per column."""
+
     def lost(column: str, number: Column, had_text: Column) -> Column:
         return F.count_if(had_text & number.isNull()).alias(column)
 
     digits = F.regexp_replace("comp_total", "[^0-9.]", "")
+    rated = F.col("job_sat").rlike(r"^[0-9]+\z")
     return raw.select(
         lost("years_code", years_number("years_code"), F.col("years_code").isNotNull()),
         lost("years_code_pro", years_number("years_code_pro"), F.col("years_code_pro").isNotNull()),
         lost("comp_total", pay_number("comp_total"), digits != ""),
-    ).unpivot([], ["years_code", "years_code_pro", "comp_total"], "column_name", "row_count")
+        lost("job_sat", F.col("job_sat").try_cast(SATISFACTION_TYPE), rated),
+    ).unpivot([], ["years_code", "years_code_pro", "comp_total", "job_sat"], "column_name", "row_count")

@@ -182,6 +182,6 @@ def load_raw(
         chosen = select_rename(read_csv(spark, path, records))
         parts.append(clean_strings(null_tokens(chosen)))
     raw = reduce(DataFrame.unionByName, parts)
-    # A number the CSV holds in exponent form is that number; staging would keep its digits only.
+    # A number the CSV holds in exponent form is that number; one that does not fit stays text, for staging to count.
     raw = raw.withColumn("comp_total", text.expand_exponent(F.col("comp_total")))
     return raw.withColumn("loaded_at", timestamp(loaded_at))

@@ -57,3 +57,4 @@ ISSUES_SCHEMA = T.StructType(
 
 YEARS_TYPE = "decimal(38,6)"
 PAY_TYPE = "decimal(38,10)"
+SATISFACTION_TYPE = "decimal(38,0)"

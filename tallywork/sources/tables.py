@@ -13,9 +13,47 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a path: its file system, and a maker of paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def write_beside(df: DataFrame, path: str) -> str:
+    """Write a table next to ``path`` and return where; what is at ``path`` stays as it is."""
+    new = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(new)
+    except Exception:
+        remove(df.sparkSession, new)
+        raise
+    return new
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished table in the place of the one at ``path``, which is removed last."""
+    files, make = _files(spark, path)
+    old = f"{path.rstrip('/')}__old-{uuid.uuid4().hex}"
+    files.mkdirs(make(path).getParent())
+    had_one = files.exists(make(path))
+    if had_one and not files.rename(make(path), make(old)):
+        raise OSError(f"cannot move {path} away")
+    if not files.rename(make(new), make(path)):
+        if had_one:
+            files.rename(make(old), make(path))
+        raise OSError(f"cannot move {new} to {path}")
+    if had_one:
+        files.delete(make(old), True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, make = _files(spark, path)
+    files.delete(make(path), True)
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` and return it as stored."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the table at ``path`` and return it as stored; a job that fails leaves the old one."""
+    swap_in(df.sparkSession, write_beside(df, path), path)
     return read_table(df.sparkSession, path, df.schema)
 
 
@@ -30,4 +68,6 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
 
     Unlike a cache, it is not recomputed by each consumer when executors are lost.
     """
-    return write_table(df, f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return read_table(df.sparkSession, path, df.schema)

@@ -97,6 +97,23 @@ def test_quantiles_do_not_depend_on_the_buckets(spark, buckets_per_e):
     assert [row[name] for name in QUARTILES] == [interpolated(values, p) for p in QUARTILES.values()]
 
 
+def test_a_hot_bucket_is_divided(spark):
+    """A million distinct values inside one bucket: no range that is opened holds more than a few of them."""
+    df = spark.range(1_000_000).select(F.lit("g").alias("k"), (F.col("id") / 1e6 + 1e9).alias("v"))
+    result = group_quantiles(df, ["k"], "v", QUARTILES)
+    row = result.first()
+    assert [row[name] for name in QUARTILES] == [pytest.approx(interpolated([i / 1e6 + 1e9 for i in range(1_000_000)], p)) for p in QUARTILES.values()]
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 3
+
+
+def test_total_says_how_exact_it_is(spark):
+    df = spark.createDataFrame([("g", "10000.0000000005"), ("g", "0.0000000001")], "k string, v string")
+    for kind, total in (("decimal(18,10)", "10000.0000000006"), ("decimal(38,10)", "10000.000000")):
+        row = group_quantiles(df.withColumn("v", F.col("v").cast(kind)), ["k"], "v", QUARTILES).first()
+        assert str(row.total) == total
+
+
 def test_quantiles_with_nan_and_infinities(spark):
     inf, nan = float("inf"), float("nan")
     df = spark.createDataFrame([("g", v) for v in (1.0, inf, -inf, nan, 3.0)], "k string, v double")

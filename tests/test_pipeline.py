@@ -4,11 +4,12 @@ import csv
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywork.__main__ import main
 from tallywork.plans import marts, pipeline
 from tallywork.sources.schemas import ISSUES_SCHEMA, SURVEY_COLUMNS
-from tallywork.sources.tables import scratch_dir
+from tallywork.sources.tables import scratch_dir, write_table
 
 AT = datetime(2024, 7, 1)
 
@@ -71,7 +72,8 @@ def test_steps_run_alone_and_bad_numbers_can_stop_the_build(spark, tmp_path):
     pipeline.ingest(spark, source, out, AT)
     assert pipeline.check(spark, out, AT).count() == 6
     losses = spark.read.parquet(pipeline.path(out, "losses")).collect()
-    assert {r.column_name: r.row_count for r in losses} == {"years_code": 1, "years_code_pro": 0, "comp_total": 0}
+    counted = {"years_code": 1, "years_code_pro": 0, "comp_total": 0, "job_sat": 0}
+    assert {r.column_name: r.row_count for r in losses} == counted
     with pytest.raises(Exception, match="not a number"):
         pipeline.build(spark, out, on_error="fail")
     assert pipeline.build(spark, out)["staging"].filter("response_id = 900 AND years_code IS NULL").count() == 1
@@ -82,7 +84,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     source, out = survey(tmp_path / "s.csv", 120), str(tmp_path / "out")
     for arguments in (["ingest", out, source], ["check", out], ["build", out], ["test", out], ["run", out, source]):
         monkeypatch.setattr("sys.argv", ["tallywork", *arguments])
-        main()
+        assert main() == 0
     shown = capsys.readouterr().out
     assert shown.count("total_rows_loaded") == 2 and shown.count("unique.staging.response_id") == 2
     monkeypatch.setattr("sys.argv", ["tallywork", "ingest", out])
@@ -90,5 +92,35 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
         main()
 
 
+def test_failing_tests_fail_the_command(spark, tmp_path, monkeypatch, capsys):
+    out = str(tmp_path / "out")
+    pipeline.run(spark, survey(tmp_path / "s.csv", 120), out, AT)
+    adoption = spark.read.parquet(pipeline.path(out, "adoption")).withColumn("tech_type", F.lit("Platform"))
+    write_table(adoption, pipeline.path(out, "adoption"))
+    monkeypatch.setattr("sys.argv", ["tallywork", "test", out])
+    assert main() == 1
+    assert "accepted_values.adoption.tech_type" in capsys.readouterr().out
+
+
+def test_a_failed_refresh_keeps_the_old_tables(spark, tmp_path):
+    out = str(tmp_path / "out")
+    source = survey(tmp_path / "s.csv", 120)
+    pipeline.run(spark, source, out, AT)
+    before = {name: sorted(map(str, spark.read.parquet(pipeline.path(out, name)).collect())) for name in pipeline.LAYERS}
+    broken = F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("lost half-way")).cast("long"))
+    for layer in ("raw", "issues"):  # a load and a check that stop while they write
+        with pytest.raises(Exception, match="lost half-way"):
+            write_table(spark.range(10).select(broken.alias("x")), pipeline.path(out, layer))
+    bad = spark.read.parquet(pipeline.path(out, "raw"))
+    bad = bad.withColumn("job_sat", F.when(F.col("response_id") == "7", "9" * 40).otherwise(F.col("job_sat")))
+    write_table(bad, pipeline.path(out, "raw"))
+    with pytest.raises(Exception, match="not a number"):  # staging is written by then, the last mart stops
+        pipeline.build(spark, out, on_error="fail")
+    for name in set(pipeline.LAYERS) - {"raw"}:
+        assert sorted(map(str, spark.read.parquet(pipeline.path(out, name)).collect())) == before[name]
+    left = [p.name for p in (tmp_path / "out").rglob("*") if "__new-" in p.name or "__old-" in p.name]
+    assert left == []
+
+
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")

@@ -55,7 +55,7 @@ def test_years_phrases(spark):
 
 def test_pay_text(spark):
     given = ["$85,000.50 EUR", "n/a", "-5", "1e5", "1.2.3", ".", "85.000,50", "", None, "9" * 40]
-    expected = [Decimal("85000.50"), None, 5, 15, None, None, Decimal("85.00050"), None, None, None]
+    expected = [Decimal("85000.50"), None, 5, 100000, None, None, Decimal("85.00050"), None, None, None]
     assert values(column(spark, given), pay_number("c")) == expected
 
 
@@ -90,6 +90,7 @@ def test_cast_losses_counts_values_that_become_null(spark):
         "years_code": 1,
         "years_code_pro": 2,
         "comp_total": 1,
+        "job_sat": 0,
     }
 
 
@@ -99,6 +100,26 @@ def test_exponents_are_written_out_for_csv_input(spark):
     assert values(column(spark, given), text.expand_exponent(F.col("c"))) == expected
 
 
+def test_exponents_that_do_not_fit_are_no_numbers(spark):
+    given = ["12e300", "9999e40", "1e28", "1e5", "-2.5e3", "1e5 EUR", "85,000"]
+    df = column(spark, given)
+    number = text.money_number(F.col("c"), "decimal(38,10)")
+    assert [None if v is None else float(v) for v in values(df, number)] == [None, None, None, 1e5, 2.5e3, 15.0, 85000.0]
+    raw = spark.createDataFrame([{"comp_total": c, "job_sat": "9" * (i * 9)} for i, c in enumerate(given)], RAW_SCHEMA)
+    lost = {r.column_name: r.row_count for r in cast_losses(raw).collect()}
+    assert (lost["comp_total"], lost["job_sat"]) == (3, 2)
+    with pytest.raises(Exception, match="not a number"):
+        df.select(text.money_number(F.col("c"), "decimal(38,10)", "fail")).collect()
+
+
+def test_long_satisfaction_texts_count(spark):
+    df = column(spark, ["8", "1" * 19, "2" * 30, "x"])
+    mean = (8 + int("1" * 19) + int("2" * 30)) / 3
+    assert df.select(marts.mean_if_numeric(F.col("c"))).first()[0] == pytest.approx(mean)
+    with pytest.raises(Exception, match="not a number"):
+        column(spark, ["9" * 39]).select(marts.mean_if_numeric(F.col("c"), on_error="fail")).collect()
+
+
 def test_experience_band_edges(spark):
     df = column(spark, [None, "1", "1.99", "2", "4.99", "5", "10", "19.9", "20", "51"])
     expected = "Unknown,0-1 years,0-1 years,2-4 years,2-4 years,5-9 years,10-19 years,10-19 years,20+ years,20+ years"
