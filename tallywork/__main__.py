@@ -16,7 +16,7 @@ def main() -> int:
     parser.add_argument("step", choices=["run", "ingest", "check", "build", "test"])
     parser.add_argument("out", help="folder of the stored tables")
     parser.add_argument("src", nargs="*", help="CSV files or folders (run, ingest)")
-    parser.add_argument("--records", choices=["auto", "line", "file", "block"], default="auto", help="how CSV records are found")
+    parser.add_argument("--records", choices=["auto", "line", "block"], default="auto", help="how CSV records are found")
     parser.add_argument("--on-error", choices=["null", "fail"], default="null", help="text that is no number")
     args = parser.parse_args()
     if args.step in ("run", "ingest") and not args.src:

@@ -27,6 +27,7 @@ LANGUAGE = ("Language", "language_have_worked", "language_want_work")
 DATABASE = ("Database", "database_have_worked", "database_want_work")
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 SALARY_KEYS = ("country", "experience_band", "dev_type", "remote_work", "org_size")
+ADOPTION_ORDER = ["tech_type", "usage_rank", "tech_name"]
 SENTIMENT_KEYS = ("country", "dev_type", "ai_select", "ai_sent", "ai_threat")
 
 
@@ -119,13 +120,16 @@ def rank_usage(usage: DataFrame, min_users: int = MIN_TECH_USERS) -> DataFrame:
 
 
 def tech_adoption_ordered(mart: DataFrame) -> DataFrame:
-    return mart.orderBy("tech_type", "usage_rank", "tech_name")
+    return mart.orderBy(*ADOPTION_ORDER)
+
+
+def respondent_order(mart: DataFrame) -> list:
+    return [F.desc("respondent_count"), *(c for c in (*SALARY_KEYS, *SENTIMENT_KEYS[2:]) if c in mart.columns)]
 
 
 def by_respondents(mart: DataFrame) -> DataFrame:
     """Display order of the salary and sentiment marts: biggest group first."""
-    keys = [c for c in (*SALARY_KEYS, *SENTIMENT_KEYS[2:]) if c in mart.columns]
-    return mart.orderBy(F.desc("respondent_count"), *keys)
+    return mart.orderBy(*respondent_order(mart))
 
 
 def satisfaction_number(c: Column, on_error: str = "null") -> Column:

@@ -7,6 +7,7 @@ since doubles would round some halves down.
 
 from __future__ import annotations
 
+from tallywork.sources.schemas import CSV_NULLS, SENTINELS, SURVEY_COLUMNS
 from tallywork.survey_fixture import raw_survey_ctes
 
 # Years in words, and the upper bounds of the experience bands.
@@ -21,7 +22,11 @@ def _years(column: str) -> str:
     return f"coalesce(CASE {column} {words} END, TRY_CAST({column} AS DECIMAL(38,6)))"
 
 
-_PAY = "TRY_CAST(regexp_replace(comp_total, '[^0-9.]', '', 'g') AS DECIMAL(38,10))"
+# A pay in exponent form is that number without its sign; of any other text the digits and dots count.
+_PAY = (
+    "TRY_CAST(CASE WHEN regexp_full_match(comp_total, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)[eE][+-]?[0-9]+') "
+    "THEN ltrim(comp_total, '+-') ELSE regexp_replace(comp_total, '[^0-9.]', '', 'g') END AS DECIMAL(38,10))"
+)
 
 _AS_IS = (
     "main_branch, age, remote_work, ed_level, country, currency, dev_type, org_size, industry, "
@@ -51,7 +56,7 @@ def exploded(kind: str, item: str, keep: str) -> str:
         f", parts_{kind} AS (SELECT {keep}, {kind}_want_work AS want, "
         f"unnest(string_split({kind}_have_worked, ';')) AS part FROM stg), "
         f"{kind} AS (SELECT {keep}, trim(part, ' ') AS {item}, "
-        f"coalesce(want ILIKE concat('%', trim(part, ' '), '%'), false) AS wants_to_continue "
+        f"coalesce(want ILIKE '%' || trim(part, ' ') || '%', false) AS wants_to_continue "
         f"FROM parts_{kind} WHERE trim(part, ' ') <> '')"
     )
 
@@ -78,9 +83,9 @@ _DATABASES = exploded("database", "database_name", "response_id, country, dev_ty
 _PLATFORMS = exploded("platform", "platform", "response_id")
 
 _BAND = (
-    "CASE "
+    "CASE WHEN years_code_pro IS NULL THEN 'Unknown' "
     + " ".join(f"WHEN years_code_pro < {bound} THEN '{label}'" for label, bound in _BANDS.items())
-    + " WHEN years_code_pro IS NOT NULL THEN '20+ years' ELSE 'Unknown' END"
+    + " ELSE '20+ years' END"
 )
 _IN_RANGE = "comp_total_usd BETWEEN 10000 AND 5000000 AND country IS NOT NULL"
 
@@ -116,7 +121,7 @@ _DIGITS = "regexp_full_match(job_sat, '[0-9]+')"
 _JOB_SAT = (
     f"CASE WHEN count(*) FILTER (WHERE {_DIGITS}) = 0 THEN NULL ELSE "
     + half_up(
-        f"sum(CASE WHEN {_DIGITS} THEN CAST(job_sat AS BIGINT) END)", f"count(*) FILTER (WHERE {_DIGITS})", 2
+        f"sum(CASE WHEN {_DIGITS} THEN TRY_CAST(job_sat AS DECIMAL(38,0)) END)", f"count(*) FILTER (WHERE {_DIGITS})", 2
     )
     + " END AS avg_job_satisfaction"
 )
@@ -126,31 +131,31 @@ def sentiment(keys: str) -> str:
     threat = half_up("100 * count(*) FILTER (WHERE ai_threat ILIKE '%Yes%')", "count(*)", 1)
     return (
         f"SELECT {keys}, count(*) AS respondent_count, {_JOB_SAT}, {threat} AS pct_see_ai_as_threat FROM stg "
-        f"WHERE coalesce(ai_select, ai_sent) IS NOT NULL AND country IS NOT NULL GROUP BY {keys} HAVING count(*) >= 3"
+        f"WHERE (ai_select IS NOT NULL OR ai_sent IS NOT NULL) AND country IS NOT NULL GROUP BY {keys} HAVING count(*) >= 3"
     )
 
 
 _SENTIMENT = sentiment("country, dev_type, ai_select, ai_sent, ai_threat")
 
-# Names, types and texts of the checks; each with its own count over raw.
+# Names, types and texts of the checks. Beside them, the rows that each counts over raw.
 _CHECKS = {
-    "null_response_id": ("NULL_PRIMARY_KEY", "Rows with null response_id", "count(*) - count(response_id)"),
+    "null_response_id": ("NULL_PRIMARY_KEY", "Rows with null response_id", "response_id IS NULL"),
     "duplicate_response_id": ("DUPLICATE_KEY", "Distinct response_ids appearing more than once", None),
-    "null_country": ("MISSING_DIMENSION", "Rows with null country", "count(*) - count(country)"),
-    "null_comp_total": ("MISSING_METRIC", "Rows with null comp_total", "count(*) - count(comp_total)"),
+    "null_country": ("MISSING_DIMENSION", "Rows with null country", "country IS NULL"),
+    "null_comp_total": ("MISSING_METRIC", "Rows with null comp_total", "comp_total IS NULL"),
     "invalid_years_code_pro": (
         "FORMAT_INCONSISTENCY",
         "years_code_pro not null, not special literals, contains non-numeric characters",
-        f"count(*) FILTER (WHERE NOT regexp_full_match(years_code_pro, '[0-9]*') AND years_code_pro NOT IN ({_PHRASES}))",
+        f"years_code_pro IS NOT NULL AND years_code_pro NOT IN ({_PHRASES}) AND regexp_matches(years_code_pro, '[^0-9]')",
     ),
-    "total_rows_loaded": ("AUDIT", "Total rows in raw.survey_responses", "count(*)"),
+    "total_rows_loaded": ("AUDIT", "Total rows in raw.survey_responses", "true"),
 }
 _REPEATED = "SELECT count(*) FILTER (WHERE n > 1) FROM (SELECT count(*) AS n FROM raw GROUP BY response_id) keys"
 
 
 def _count(name: str) -> str:
-    count = _CHECKS[name][2]
-    return f"SELECT {count} FROM raw" if count else _REPEATED
+    where = _CHECKS[name][2]
+    return f"SELECT count(*) FROM raw WHERE {where}" if where else _REPEATED
 
 
 def one_check(name: str, variant: str = "base") -> str:
@@ -173,25 +178,18 @@ _ORDER_CHECKS = (
     "UNION ALL SELECT 'orders', 'AUDIT', (SELECT count(*) FROM orders), 'All orders'"
 )
 
-_SENTINELS = "'NA', 'N/A', 'nan', 'NaN', 'None', ''"
-_CSV_NULLS = (
-    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', "
-    "'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
-)
-_SPACES = " || ".join(f"chr({i})" for i in range(0x3001) if chr(i).isspace())
 
 
-_RAW_TEXTS = (
-    "response_id", "main_branch", "age", "remote_work", "ed_level", "years_code", "years_code_pro", "dev_type", "org_size",
-    "country", "currency", "comp_total", "language_have_worked", "language_want_work", "database_have_worked",
-    "database_want_work", "platform_have_worked", "platform_want_work", "ai_select", "ai_sent", "ai_threat", "job_sat",
-    "industry",
-)
+def _listed(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_SPACES = " || ".join(f"chr({i})" for i in range(0x3001) if chr(i).isspace())
 
 
 def cleaned(column: str) -> str:
     trimmed = f"trim({column}, {_SPACES})"
-    return f"CASE WHEN {column} NOT IN ({_CSV_NULLS}) AND {trimmed} NOT IN ({_SENTINELS}) THEN {trimmed} END AS {column}"
+    return f"CASE WHEN {column} NOT IN ({_listed(CSV_NULLS)}) AND {trimmed} NOT IN ({_listed(SENTINELS)}) THEN {trimmed} END AS {column}"
 
 
 def _failures(name: str, sql: str) -> str:
@@ -242,22 +240,45 @@ _LOST = " UNION ALL ".join(
         ("years_code", _LOST_YEARS.format("years_code")),
         ("years_code_pro", _LOST_YEARS.format("years_code_pro")),
         ("comp_total", f"regexp_matches(comp_total, '[0-9.]') AND {_PAY} IS NULL"),
+        ("job_sat", "regexp_full_match(job_sat, '[0-9]+') AND TRY_CAST(job_sat AS DECIMAL(38,0)) IS NULL"),
     )
 )
 
+# The mean of whole numbers as text with two decimals, rounded half up in whole numbers.
+_CENTS = "(200 * total + n) // (2 * n)"
+_EXACT_MEAN = (
+    f"CASE WHEN n > 0 THEN CAST({_CENTS} // 100 AS VARCHAR) || '.' || lpad(CAST(({_CENTS}) % 100 AS VARCHAR), 2, '0') END"
+)
+
+
+def _ranked(mart: str, keys: str) -> str:
+    """The groups of a mart with their place: the biggest first, then by key."""
+    order = ", ".join(f"{key} NULLS FIRST" for key in keys.split(", "))
+    return f"SELECT row_number() OVER (ORDER BY respondent_count DESC, {order}) AS place, {keys} FROM ({mart}) mart"
+
+
+_ALL_ROWS = _STAGING.replace(
+    "SELECT * FROM raw WHERE response_id IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY loaded_at DESC NULLS LAST) = 1",
+    "SELECT * FROM raw",
+)
+_THREE_TYPES = _MARTS.replace(
+    "), adoption AS", f" UNION ALL {usage('platform', 'platform', 'Platform')}), adoption AS", 1
+)
+
+
 ORACLE: dict[str, str] = {
     "select_rename": (
         "SELECT o_orderkey AS order_id, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS clerk, "
         "o_orderpriority AS priority FROM orders"
     ),
-    "clean_sentinels": from_raw(
-        f"SELECT {cleaned('response_id')}, {cleaned('country')}, {cleaned('ai_sent')}, {cleaned('job_sat')} FROM raw",
-        "uncleaned",
-    ),
+    "clean_sentinels": from_raw(f"SELECT {', '.join(cleaned(c) for c in SURVEY_COLUMNS.values())} FROM raw", "uncleaned"),
     "clean_documents": f"SELECT doc_id, {cleaned('text')}, {cleaned('lang')} FROM documents",
     "csv_documents": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "csv_documents_auto": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "replaced_table": from_raw("SELECT response_id, country FROM raw"),
     "csv_raw_layer": from_raw(
-        f"SELECT {', '.join(cleaned(c) for c in _RAW_TEXTS)}, TIMESTAMP '2024-07-01 00:00:00' AS loaded_at FROM raw",
+        f"SELECT {', '.join(cleaned(c) for c in SURVEY_COLUMNS.values())}, TIMESTAMP '2024-07-01 00:00:00' AS loaded_at FROM raw",
         "uncleaned",
     ),
     "raw_profile": from_raw(
@@ -278,6 +299,10 @@ ORACLE: dict[str, str] = {
         "SELECT response_id, CAST(years_code_pro AS DOUBLE) AS years_code_pro FROM stg", "odd_years"
     ),
     "comp_numeric": from_staging("SELECT response_id, CAST(comp_total_usd AS DOUBLE) AS comp_total_usd FROM stg"),
+    "comp_numeric_exponent": from_staging(
+        "SELECT response_id, CAST(comp_total_usd AS DOUBLE) AS comp_total_usd FROM stg", "exponents"
+    ),
+    "cast_losses_exponent": from_raw(_LOST, "exponents"),
     "stg_survey": from_staging(_STAGING_OUT),
     "cast_losses_odd": from_raw(_LOST, "odd_years"),
     "explode_multiselect": from_staging("SELECT response_id, language AS item FROM language", ctes=_LANGUAGES),
@@ -318,7 +343,8 @@ ORACLE: dict[str, str] = {
     ),
     "salary_segments": from_staging(_SALARY),
     "retention_rate": from_staging(
-        f"SELECT * EXCLUDE (tech_type) FROM ({usage('database', 'database_name', 'Database')}) used", ctes=_DATABASES
+        f"{usage('language', 'language', 'Language')} UNION ALL {usage('database', 'database_name', 'Database')}",
+        ctes=_LANGUAGES + _DATABASES,
     ),
     "item_usage": from_staging(
         f"{usage('language', 'language', 'Language')} UNION ALL {usage('database', 'database_name', 'Database')} "
@@ -331,6 +357,17 @@ ORACLE: dict[str, str] = {
     "tech_adoption": from_staging("SELECT * FROM adoption", ctes=_ADOPTION_CTES),
     "avg_if_numeric": from_staging(f"SELECT country, {_JOB_SAT} FROM stg GROUP BY country"),
     "ai_sentiment": from_staging(_SENTIMENT),
+    "avg_if_numeric_long": from_staging(
+        f"SELECT country, {_EXACT_MEAN} AS avg_job_satisfaction FROM (SELECT country, count(*) FILTER (WHERE {_DIGITS}) AS n, "
+        f"sum(CASE WHEN {_DIGITS} THEN CAST(job_sat AS HUGEINT) END) AS total FROM stg GROUP BY country) sums",
+        "long_ratings",
+    ),
+    "adoption_ordered": from_staging(
+        "SELECT row_number() OVER (ORDER BY tech_type, usage_rank, tech_name) AS place, tech_type, tech_name FROM adoption",
+        ctes=_ADOPTION_CTES,
+    ),
+    "salary_ordered": from_staging(_ranked(_SALARY, _SALARY_KEYS)),
+    "sentiment_ordered": from_staging(_ranked(_SENTIMENT, "country, dev_type, ai_select, ai_sent, ai_threat")),
     "ai_threat_share": from_staging(sentiment("country, dev_type, ai_select, ai_sent")),
     "dq_null_key": one_check("null_response_id"),
     "dq_duplicate_key": one_check("duplicate_response_id"),
@@ -339,6 +376,7 @@ ORACLE: dict[str, str] = {
     "dq_invalid_format": one_check("invalid_years_code_pro", "odd_years"),
     "dq_total_rows": one_check("total_rows_loaded"),
     "dq_report": from_raw(_REPORT),
+    "issues_stored": from_raw(_REPORT),
     "dq_severity": from_raw(f"SELECT *, {_SEVERITY} FROM ({_REPORT}) report", "odd_years"),
     "dq_orders": f"SELECT *, {_SEVERITY} FROM ({_ORDER_CHECKS}) report",
     "test_not_null": from_raw("SELECT response_id FROM raw WHERE response_id IS NULL"),
@@ -354,4 +392,8 @@ ORACLE: dict[str, str] = {
         f"SELECT test_name, failures, failures <> 0 AS should_warn, failures <> 0 AS should_error FROM ({_TESTS}) tests",
         ctes=_MARTS,
     ),
+    "test_results_broken": (
+        f"{raw_survey_ctes()}{_ALL_ROWS}{_PLATFORMS}{_THREE_TYPES} SELECT test_name, failures, failures <> 0 AS should_warn, "
+        f"failures <> 0 AS should_error FROM ({_TESTS}) tests"
+    ),
 }

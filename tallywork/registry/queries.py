@@ -10,18 +10,18 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band
 from tallywork.operators import multiselect
 from tallywork.operators.dedupe import latest_per_key, latest_per_key_stored
 from tallywork.operators.quantiles import group_quantiles
-from tallywork.plans import marts, quality
+from tallywork.plans import marts, pipeline, quality
 from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources import ingest
-from tallywork.sources.schemas import SURVEY_COLUMNS
-from tallywork.sources.tables import scratch_dir, write_once
+from tallywork.sources.schemas import ISSUES_SCHEMA, RAW_SCHEMA, SURVEY_COLUMNS
+from tallywork.sources.tables import read_table, scratch_dir, write_once, write_table
 from tallywork.survey_fixture import raw_survey, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +54,9 @@ def select_rename(spark, sf_dir):
 
 @query
 def clean_sentinels(spark, sf_dir):
-    columns = ["response_id", "country", "ai_sent", "job_sat"]
-    return ingest.clean_strings(ingest.null_tokens(raw_survey(spark, sf_dir, "uncleaned").select(columns)))
+    """Every text column of the raw layer."""
+    texts = raw_survey(spark, sf_dir, "uncleaned").select(*SURVEY_COLUMNS.values())
+    return ingest.clean_strings(ingest.null_tokens(texts))
 
 
 @query
@@ -79,6 +80,13 @@ def csv_documents(spark, sf_dir):
     return ingest.read_csv(spark, written_as_csv(documents, "documents"), "block")
 
 
+@query
+def csv_documents_auto(spark, sf_dir):
+    """The same, the way of reading chosen by the content."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return ingest.read_csv(spark, written_as_csv(documents, "documents"))
+
+
 @query
 def csv_raw_layer(spark, sf_dir):
     """The raw layer loaded from CSV under the source's column names."""
@@ -98,6 +106,14 @@ def raw_profile(spark, sf_dir):
     )
 
 
+@query
+def replaced_table(spark, sf_dir):
+    """A stored table after a full refresh."""
+    path = f"{scratch_dir(spark)}/refreshed-{uuid.uuid4().hex}"
+    write_table(raw_survey(spark, sf_dir, "uncleaned").select("response_id", "country"), path)
+    return write_table(raw_survey(spark, sf_dir).select("response_id", "country"), path)
+
+
 # Staging
 
 
@@ -133,6 +149,18 @@ def comp_numeric(spark, sf_dir):
     return plain(staged(spark, sf_dir).select("response_id", "comp_total_usd"))
 
 
+@query
+def comp_numeric_exponent(spark, sf_dir):
+    """Pay in exponent form: a number where it fits, else NULL."""
+    odd = stage(raw_survey(spark, sf_dir, "exponents"), tiebreak=())
+    return plain(odd.select("response_id", "comp_total_usd"))
+
+
+@query
+def cast_losses_exponent(spark, sf_dir):
+    return cast_losses(raw_survey(spark, sf_dir, "exponents"))
+
+
 @query
 def stg_survey(spark, sf_dir):
     return plain(staged(spark, sf_dir))
@@ -226,9 +254,10 @@ def salary_segments(spark, sf_dir):
 
 @query
 def retention_rate(spark, sf_dir):
-    """Over every exploded row, as the reference computes it: distinct respondents per database."""
-    exploded = marts.databases_exploded(staged(spark, sf_dir))
-    return marts.exploded_usage(exploded, "database_name", "Database").drop("tech_type")
+    """Over every exploded row of both lists: distinct respondents per language and per database."""
+    stg = staged(spark, sf_dir)
+    languages = marts.exploded_usage(marts.languages_exploded(stg), "language", "Language")
+    return languages.unionByName(marts.exploded_usage(marts.databases_exploded(stg), "database_name", "Database"))
 
 
 @query
@@ -248,9 +277,40 @@ def tech_adoption(spark, sf_dir):
     return marts.tech_adoption(staged(spark, sf_dir))
 
 
+def places(ordered: DataFrame, order: list) -> DataFrame:
+    """The rows with their place in the display order; a mart is a report, so its rows may meet."""
+    return ordered.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+@query
+def adoption_ordered(spark, sf_dir):
+    mart = marts.tech_adoption_ordered(marts.tech_adoption(staged(spark, sf_dir)))
+    return places(mart, marts.ADOPTION_ORDER).select("place", "tech_type", "tech_name")
+
+
+@query
+def salary_ordered(spark, sf_dir):
+    mart = marts.by_respondents(marts.salary_segments(staged(spark, sf_dir)))
+    return places(mart, marts.respondent_order(mart)).select("place", *marts.SALARY_KEYS)
+
+
+@query
+def sentiment_ordered(spark, sf_dir):
+    mart = marts.by_respondents(marts.ai_sentiment(staged(spark, sf_dir)))
+    return places(mart, marts.respondent_order(mart)).select("place", *marts.SENTIMENT_KEYS)
+
+
 # Sentiment
 
 
+@query
+def avg_if_numeric_long(spark, sf_dir):
+    """Means over texts of up to thirty digits, exactly."""
+    stg = stage(raw_survey(spark, sf_dir, "long_ratings"), tiebreak=())
+    mean = marts.exact_mean_if_numeric(F.col("job_sat")).cast("decimal(38,2)").cast("string")
+    return stg.groupBy("country").agg(mean.alias("avg_job_satisfaction"))
+
+
 @query
 def avg_if_numeric(spark, sf_dir):
     mean = marts.mean_if_numeric(F.col("job_sat")).alias("avg_job_satisfaction")
@@ -297,6 +357,16 @@ def dq_severity(spark, sf_dir):
     return quality.with_severity(quality.run_checks(raw_survey(spark, sf_dir, "odd_years")))
 
 
+@query
+def issues_stored(spark, sf_dir):
+    """The issues table as the check step stores it, but for the time."""
+    out = f"{scratch_dir(spark)}/checked-{uuid.uuid4().hex}"
+    raw = raw_survey(spark, sf_dir).withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
+    write_table(raw.select(*RAW_SCHEMA.names), pipeline.path(out, "raw"))
+    pipeline.check(spark, out)
+    return read_table(spark, pipeline.path(out, "issues"), ISSUES_SCHEMA).drop("logged_at")
+
+
 ORDER_CHECKS = (
     quality.Check("null_customer", "MISSING_DIMENSION", "Orders without customer", where="o_custkey IS NULL"),
     quality.Check("repeated_customer", "DUPLICATE_KEY", "Customers with several orders", key="o_custkey"),
@@ -325,17 +395,30 @@ def test_accepted_values(spark, sf_dir):
     return quality.failing_values(raw_survey(spark, sf_dir), "remote_work", ["Remote"])
 
 
-@query
-def test_results(spark, sf_dir):
-    raw = write_once(raw_survey(spark, sf_dir), "raw")
-    stg = write_once(stage(raw, latest=latest_per_key_stored), "staging")
-    layers = {
+def layers_over(raw: DataFrame, stg: DataFrame, adoption: DataFrame) -> dict[str, DataFrame]:
+    return {
         "raw": raw,
         "staging": stg,
         "languages": marts.languages_exploded(stg),
         "databases": marts.databases_exploded(stg),
         "salary": marts.salary_segments(stg),
-        "adoption": write_once(marts.tech_adoption(stg), "adoption"),
+        "adoption": write_once(adoption, "adoption"),
         "sentiment": marts.ai_sentiment(stg),
     }
-    return quality.run_tests(layers)
+
+
+@query
+def test_results(spark, sf_dir):
+    raw = write_once(raw_survey(spark, sf_dir), "raw")
+    stg = write_once(stage(raw, latest=latest_per_key_stored), "staging")
+    return quality.run_tests(layers_over(raw, stg, marts.tech_adoption(stg)))
+
+
+@query
+def test_results_broken(spark, sf_dir):
+    """Staging without its filter and dedupe, and an adoption mart with a third type: the tests must count that."""
+    raw = write_once(raw_survey(spark, sf_dir), "raw")
+    stg = write_once(stage(raw, latest=lambda df, *_: df), "staging")
+    platform = ("Platform", "platform_have_worked", "platform_want_work")
+    adoption = marts.rank_usage(marts.item_usage(stg, (marts.LANGUAGE, marts.DATABASE, platform)))
+    return quality.run_tests(layers_over(raw, stg, adoption))

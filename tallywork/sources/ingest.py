@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
@@ -14,120 +13,210 @@ from pyspark.sql import functions as F
 
 from tallywork.functions import text
 from tallywork.sources.schemas import CSV_NULLS, SENTINELS, SURVEY_COLUMNS
+from tallywork.sources.tables import write_once
 
 logger = logging.getLogger(__name__)
 
 # Quotes are doubled inside quoted fields.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
-# Files up to this size, one block, are one task's work whichever way they are read.
-WHOLE_FILE_BYTES = 128 * 1024 * 1024
+# A record may begin at most so many bytes before a block that it reaches into; blocks bound it beyond that.
+MAX_RECORD_BYTES = 256 * 1024 * 1024
+
+# One field from its beginning: quoted, with what may follow the closing quote, or unquoted, in which quotes are text.
+# All repetition is possessive, so that no line is tried twice or needs a deep stack.
+_QUOTED_REST = r'[^"]*+(?:""[^"]*+)*+"(?:[^",][^,]*+)?+'
+_FIELD = rf'(?:"{_QUOTED_REST}|[^",][^,]*+)?+'
+_CLOSED = rf"(?s)^{_FIELD}(?:,{_FIELD})*+\z"
+_CLOSING = rf"(?s)^{_QUOTED_REST}(?:,{_FIELD})*+\z"
 
 
 def read_csv(spark: SparkSession, path: str, records: str = "auto") -> DataFrame:
     """Headed CSV, every column as text; the files of one path share one header.
 
-    A quoted field may hold newlines, so a line need not be a record. ``records``:
+    The rows are a matter of the content alone. A field is quoted if it begins with a
+    quote; there, quotes are doubled and newlines are text. In any other field a quote is
+    text. Lines end with a newline, with or without a carriage return before it. Blank
+    lines between records are skipped, short rows are filled up with NULL, and a row with
+    more fields than the header stops the load, as does a quoted field that is never closed.
 
-    - ``"line"``: every line is one; files are split over tasks.
-    - ``"file"``: Spark's multi-line reader, which takes each file whole into one task.
-      Also reads files with single quotes inside unquoted fields.
-    - ``"block"``: records are put together from lines; files are split over tasks.
-    - ``"auto"``: look through the lines first. If each closes the quotes it opens, as
-      ``"line"``; if not, as ``"file"`` where files are small and as ``"block"`` where not.
+    ``records`` only chooses the work: ``"line"`` expects each line to be a record and
+    stops where one is not; ``"block"`` puts records together from lines; ``"auto"`` looks
+    through the lines and does what they need. All split files over tasks.
     """
-    if records not in ("auto", "line", "file", "block"):
-        raise ValueError(f"records must be 'auto', 'line', 'file' or 'block', not {records!r}")
-    if records == "auto":
-        records = _suitable(_lines(spark, path))
-    if records == "block":
-        return _read_blocks(spark, path)
-    reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", records == "file")
-    df = reader.csv(path)
-    # Have Spark compare the headers of all files, which it cannot where it had to name a column itself.
-    unnamed = any(re.fullmatch(r"_c[0-9]+", name) for name in df.columns)
-    return reader.option("enforceSchema", unnamed).schema(df.schema).csv(path)
-
-
-def _suitable(lines: DataFrame) -> str:
-    # The line reader would also end a line at a carriage return of its own.
-    inner_return = F.instr("value", "\r").between(1, F.length("value") - 1)
-    files = lines.groupBy("file", "size").agg(F.sum("odd").alias("odd"), F.max(inner_return).alias("inner_return"))
-    found = files.agg(
-        F.max(F.when(F.col("odd") % 2 == 1, F.col("file"))).alias("unclosed"),
-        F.max((F.col("odd") > 0) | F.col("inner_return")).alias("spans"),
-        F.max("size").alias("size"),
-    ).first()
-    if found.unclosed is not None:
-        raise ValueError(f"a quoted field is never closed in {found.unclosed}; records='file' takes stray quotes")
-    if not found.spans:
-        return "line"
-    return "file" if found.size <= WHOLE_FILE_BYTES else "block"
-
-
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place, and ``odd``: 1 where the line holds an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-        (quotes % 2).alias("odd"),
+    if records not in ("auto", "line", "block"):
+        raise ValueError(f"records must be 'auto', 'line' or 'block', not {records!r}")
+    reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", True)
+    names = [name.removesuffix("\r") for name in reader.csv(path).columns]  # reads the beginning of one file
+    lines = _lines(spark, path, names)
+    if records != "block":
+        simple, why = _each_line_a_record(_blocks(lines))
+        if simple:
+            texts = lines.select("value", F.col("like_header").alias("first"))
+            return _parsed(texts, names)
+        if records == "line":
+            raise ValueError(why)
+    stored = write_once(lines, "csv-lines")
+    blocks = write_once(_placed(_blocks(stored)), "csv-blocks")
+    _stop_at_open_quotes(blocks)
+    return _parsed(_records(stored, blocks), names)
+
+
+def _lines(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """Lines with their place, and whether a field is open after them: if none was before (``out``), and if one was (``into``)."""
+    raw = F.col("value")
+    value = F.when(raw.endswith("\r"), F.left(raw, F.length(raw) - 1)).otherwise(raw)
+    quoted = F.contains("value", F.lit('"'))
+    header = F.lit(",".join(names).replace('"', "").replace("\r", ""))
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+            value.alias("value"),
+        )
+        .withColumn("out", quoted & ~F.col("value").rlike(_CLOSED))
+        .withColumn("into", ~quoted | ~F.col("value").rlike(_CLOSING))
+        .withColumn("like_header", F.translate("value", '"\r', "") == header)
     )
 
 
-def _read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Records that span lines, from files that are read in blocks.
+def _blocks(lines: DataFrame) -> DataFrame:
+    """Per block of a file: the lines that can change whether a field is open, in order, and what they do together."""
+    changes = F.when(F.col("out") | ~F.col("into"), F.struct("line", "out", "into"))
+    start = F.struct(F.lit(False).alias("out"), F.lit(True).alias("into"))
 
-    An odd line opens a quoted field, and the next odd line of the file closes it. So
-    with the number of odd lines before each line known (before its block, and before
-    it inside the block), a record of several lines is the lines from one odd count
-    to the next, and any other line is a record.
-    """
-    lines = _lines(spark, path).drop("size")
+    def after(state: Column, line: Column) -> Column:
+        """One more line: what it makes of either state."""
+        through = lambda was: F.when(was, line["into"]).otherwise(line["out"])
+        return F.struct(through(state["out"]).alias("out"), through(state["into"]).alias("into"))
+
+    return (
+        lines.groupBy("file", "block")
+        .agg(
+            F.sort_array(F.collect_list(changes)).alias("changes"),
+            F.count_if("out").alias("openers"),
+            F.count_if("like_header").alias("headers"),
+            F.min_by("like_header", "line").alias("begins_with_header"),
+            F.min("line").alias("first_line"),
+        )
+        .withColumn("whole", F.aggregate("changes", start, after))
+    )
+
+
+def _each_line_a_record(blocks: DataFrame) -> tuple[bool, str]:
+    """Whether no field spans lines and the only line like a header is each file's first; if not, why."""
+    files = blocks.groupBy("file").agg(
+        F.sum("openers").alias("openers"),
+        F.sum("headers").alias("headers"),
+        F.bool_or((F.col("block") == 0) & F.col("begins_with_header")).alias("headed"),
+    )
+    spanning, unheaded = files.agg(
+        F.max(F.when(F.col("openers") > 0, F.col("file"))),
+        F.max(F.when((F.col("headers") != 1) | ~F.col("headed"), F.col("file"))),
+    ).first()
+    if spanning is not None:
+        return False, f"a record spans lines in {spanning}"
+    return unheaded is None, f"the header is not the first line, and that alone, of {unheaded}"
+
+
+def _placed(blocks: DataFrame) -> DataFrame:
+    """Adds ``base``, whether a field is open where the block begins, and ``opened``, the (block, line) where it was opened."""
+    keeps, turns = F.col("whole.out") < F.col("whole.into"), F.col("whole.out") > F.col("whole.into")
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"))
-    blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    here = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
+    # A block keeps the state, turns it, or sets it; what counts is the last that sets it and the turns since.
+    counted = blocks.withColumn("turned", F.sum(turns.cast("int")).over(here))
+    sets = F.when(~keeps & ~turns, F.struct(F.col("whole.out").alias("state"), "turned"))
+    last = F.last(sets, ignorenulls=True).over(earlier)
+    turned = F.coalesce(F.last("turned").over(earlier), F.lit(0)) - F.coalesce(last["turned"], F.lit(0))
+    base = F.coalesce(last["state"], F.lit(False)) != (turned % 2 == 1)
+    no_line = F.lit(None).cast("bigint")
+
+    def follow(state: Column, line: Column) -> Column:
+        open_after = F.when(state["open"], line["into"]).otherwise(line["out"])
+        opens = ~state["open"] & open_after
+        return F.struct(open_after.alias("open"), F.when(opens, line["line"]).otherwise(state["line"]).alias("line"))
+
+    followed = F.aggregate("changes", F.struct(F.col("base").alias("open"), no_line.alias("line")), follow)
+    opened = F.when(F.col("end.line").isNotNull(), F.struct("block", F.col("end.line").alias("line")))
+    return (
+        counted.withColumn("base", base)
+        .withColumn("end", followed)
+        .withColumn("opened", F.last(opened, ignorenulls=True).over(earlier))
+        .withColumn("is_last", F.col("block") == F.max("block").over(W.partitionBy("file")))
+        .select("file", "block", "base", "opened", "first_line", "is_last", F.col("end.open").alias("open_end"),
+                (F.col("base") | (F.col("openers") > 0)).alias("spans"))
+    )
+
+
+def _stop_at_open_quotes(blocks: DataFrame) -> None:
+    """Before any record is gathered: stop if one is never closed or longer than a record may be."""
+    far = F.col("base") & (F.col("block") - F.col("opened.block") > MAX_RECORD_BYTES)
+    place = F.concat(F.col("file"), F.lit(", in the block from byte "), F.col("opened.block"))
+    unclosed, long = blocks.agg(
+        F.max(F.when(F.col("is_last") & F.col("open_end"), F.col("file"))), F.max(F.when(far, place))
+    ).first()
+    if unclosed is not None:
+        raise ValueError(f"a quoted field is never closed in {unclosed}")
+    if long is not None:
+        raise ValueError(f"a record of more than {MAX_RECORD_BYTES} bytes is opened in {long}")
+
+
+def _records(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(value, first): the text of each record, and whether it is the first of its file.
+
+    In blocks where no field is open across a line, a line is a record and is not shuffled.
+    """
+    placed = lines.join(blocks, ["file", "block"]).withColumn(
+        "first", (F.col("block") == 0) & (F.col("line") == F.col("first_line"))
+    )
     inside = W.partitionBy("file", "block").orderBy("line")
-    above = F.coalesce(F.sum("odd").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    # Both scans cut the files alike unless the cluster changed in between; never drop lines over it.
-    moved = F.raise_error(F.lit("the input was split differently on a second reading")).cast("bigint")
-    placed = lines.join(blocks, ["file", "block"], "left").select(
-        "file",
-        "block",
-        "line",
-        "value",
-        (F.coalesce("base", moved) + above).alias("before"),
-        "odd",
-        ((F.col("block") == 0) & (F.row_number().over(inside) == 1)).alias("first"),
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    turns = F.col("out") & ~F.col("into")
+    sets = F.when(F.col("out") == F.col("into"), F.struct(F.col("out").alias("state"), "turned"))
+    last = F.last(sets, ignorenulls=True).over(upto)
+    after = F.coalesce(last["state"], F.col("base")) != (
+        (F.col("turned") - F.coalesce(last["turned"], F.lit(0))) % 2 == 1
+    )
+    followed = (
+        placed.where("spans")
+        .withColumn("turned", F.sum(turns.cast("int")).over(upto))
+        .withColumn("after", after)
+        .withColumn("before", F.coalesce(F.lag("after").over(inside), F.col("base")))
     )
-    single = (F.col("before") % 2 == 0) & (F.col("odd") == 0)
+    opens = F.when(~F.col("before") & F.col("after"), F.struct("block", "line"))
+    keyed = followed.withColumn("record", F.coalesce(F.last(opens, ignorenulls=True).over(upto), F.col("opened")))
     spanning = (
-        placed.filter(~single)
-        .groupBy("file", F.floor(F.col("before") / 2).alias("record"))
+        keyed.where("before OR after")
+        .groupBy("file", "record")
         .agg(
             F.array_join(F.sort_array(F.collect_list(F.struct("block", "line", "value")))["value"], "\n").alias("value"),
-            F.max("first").alias("first"),
+            F.bool_or("first").alias("first"),
         )
     )
-    texts = placed.filter(single).select("value", "first").unionByName(spanning.select("value", "first"))
-    without_return = F.when(F.col("value").endswith("\r"), F.left("value", F.length("value") - 1))
-    texts = texts.withColumn("value", F.coalesce(without_return, "value")).filter(F.trim("value") != "")
-
-    # A header with a newline inside a field hides from the reader that lines end in \r\n.
-    names = [name.removesuffix("\r") for name in read_csv(spark, path, "file").columns]
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    # A record with more or fewer fields than the header means quotes that are no quotes: stop.
-    options = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST"}
-    records = texts.select("first", F.from_csv("value", schema, options).alias("r"))
-    fields = [F.col(f"r.c{i}") for i in range(len(names))]
+    alone = placed.where("NOT spans").unionByName(keyed.where("NOT before AND NOT after"), allowMissingColumns=True)
+    return alone.select("value", "first").unionByName(spanning.select("value", "first"))
+
+
+def _parsed(texts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The fields of record texts; the first record of each file must be the header."""
+    width = len(names)
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))  # one more than there may be
+    filled = texts.filter(F.btrim("value", F.lit(" \t\r")) != "")
+    parsed = filled.select("first", "value", F.from_csv("value", schema, {**CSV_OPTIONS, "multiLine": "true"}).alias("r"))
+    fields = [F.col(f"r.c{i}") for i in range(width)]
     # Spark names a column whose header is empty by itself.
     same = F.array(*[F.coalesce(f, F.lit(n)) for f, n in zip(fields, names)]) == F.array(*map(F.lit, names))
     other = F.raise_error(F.lit("files of one input differ in their header")).cast("boolean")
-    body = records.filter(F.when(~F.col("first"), True).when(same, False).otherwise(other))
-    return body.select(*[field.alias(name) for field, name in zip(fields, names)])
+    shown = F.concat(F.lit(f"malformed: more than {width} fields in the record "), F.left("value", F.lit(200)))
+    long = F.raise_error(shown).cast("boolean")
+    is_row = F.when(F.col("first"), F.when(same, False).otherwise(other)).otherwise(
+        F.when(F.col(f"r.c{width}").isNotNull(), long).otherwise(True)
+    )
+    return parsed.filter(is_row).select(*[field.alias(name) for field, name in zip(fields, names)])
 
 
 def select_rename(df: DataFrame, mapping: Mapping[str, str] = SURVEY_COLUMNS) -> DataFrame:

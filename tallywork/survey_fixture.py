@@ -67,6 +67,18 @@ LIST_ORDER = ("l_linenumber", "p_type", "p_brand", "l_returnflag", "l_linestatus
 VARIANTS = {
     "base": {},
     "odd_years": {"years_code_pro": f"CASE WHEN {_K} % 101 = 3 THEN 'about 5' ELSE years_code_pro END"},
+    "exponents": {
+        "comp_total": (
+            f"CASE {_K} % 29 WHEN 3 THEN '12e300' WHEN 5 THEN '9999e40' WHEN 7 THEN '1e28' WHEN 11 THEN '1e5' "
+            "ELSE comp_total END"
+        )
+    },
+    "long_ratings": {
+        "job_sat": (
+            f"CASE {_K} % 17 WHEN 3 THEN '1234567890123456789' WHEN 5 THEN '123456789012345678901234567890' "
+            "ELSE job_sat END"
+        )
+    },
     "uncleaned": {
         "country": "'  ' || country || ' '",
         "ai_sent": f"CASE WHEN {_K} % 7 = 3 THEN ' NA' ELSE ai_sent END",

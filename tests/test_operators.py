@@ -1,6 +1,7 @@
 """Dedupe, quantiles and ranks on small tables with known results."""
 
 import random
+import re
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -104,7 +105,7 @@ def test_a_hot_bucket_is_divided(spark):
     row = result.first()
     assert [row[name] for name in QUARTILES] == [pytest.approx(interpolated([i / 1e6 + 1e9 for i in range(1_000_000)], p)) for p in QUARTILES.values()]
     plan = result._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window [") == 3
+    assert re.search(r"windowspecdefinition\(g#\d+, b#\d+L?, r#\d+L?, x#", plan)
 
 
 def test_total_says_how_exact_it_is(spark):
