@@ -25,14 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import CACHE_ENTRIES
+from tallywork.llm.common import CACHE_ENTRIES, slices, worker_state
 
 _NO_LIMIT = 1 << 62
 _NO_IDS = np.zeros(0, dtype=np.int32)
 #: Pieces longer than this are encoded each time instead of being remembered.
 CACHED_PIECE = 48
 #: Pieces remembered in one of two generations.
-PIECES = 300_000
+PIECES = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -192,22 +192,9 @@ def joined(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), ",").cast("binary")
 
 
-_CODERS: dict[tuple, ByteBpe] = {}
-
-
 def _coder(key: tuple, ranks, pattern: str) -> ByteBpe:
-    """One coder per Python worker and vocabulary; ``ranks`` is a broadcast."""
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = ByteBpe(ranks.value, pattern)
-    return _CODERS[key]
-
-
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """A few rows at a time, so that memory follows them and not the batch."""
-    for batch in batches:
-        for begin in range(0, batch.num_rows, rows):
-            yield batch.slice(begin, rows)
+    """One coder per Python worker; ``ranks`` is a broadcast."""
+    return worker_state(key, lambda: ByteBpe(ranks.value, pattern))
 
 
 def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -236,7 +223,7 @@ class Codec:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(key, ranks, pattern)
-            for batch in _slices(batches):
+            for batch in slices(batches):
                 packed = [coder.encode_packed(v) if v else b"" for v in batch.column(text).to_pylist()]
                 ends = np.cumsum([0, *map(len, packed)]) // 4
                 values = np.frombuffer(b"".join(packed), dtype=np.int32)
@@ -252,7 +239,7 @@ class Codec:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = _coder(key, ranks, pattern)
-            for batch in _slices(batches):
+            for batch in slices(batches):
                 lists = [v.values.to_numpy() if v.is_valid else _NO_IDS for v in batch.column(ids)]
                 flat = np.concatenate(lists)
                 ends = np.cumsum([0, *(int(coder.size[x].sum()) for x in lists)], dtype=np.int32)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,24 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
+_STATE: dict[Any, Any] = {}
+
+
+def worker_state(key: Any, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between tasks under ``key``; only the last key's, since workers serve all operators."""
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that a worker's memory follows them and not Arrow's batch."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def free_name(wanted: str, taken: Iterable[str]) -> str:
     """``wanted``, with underscores added until no column has that name (Spark ignores case)."""
     taken = {name.lower() for name in taken}

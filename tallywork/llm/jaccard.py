@@ -30,7 +30,6 @@ null id are not linked, their component is null; an empty table gives an empty r
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from math import ceil
 
 import numpy as np
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import CACHE_ENTRIES, free_name, store
+from tallywork.llm.common import CACHE_ENTRIES, free_name, slices, store, worker_state
 from tallywork.llm.components import components
 
 #: Lists of ids up to so many rows are broadcast; longer ones are joined by shuffle.
@@ -183,14 +182,9 @@ def fold(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
-@cache
-def _bands(percent: int) -> Bands:
-    return Bands(percent)
-
-
-@cache
-def _shingler(n: int) -> Shingler:
-    return Shingler(n)
+def _tools(n: int, percent: int) -> tuple[Shingler, Bands]:
+    """Kept per Python worker: the words seen and the bands made."""
+    return worker_state(("jaccard", n, percent), lambda: (Shingler(n), Bands(percent)))
 
 
 _INDEX = "id {0}, n long, h1 long, h2 long, keys array<long>, gaps array<long>, marked boolean, sketch array<long>"
@@ -202,8 +196,8 @@ def index_sets(docs: DataFrame, text: str, key: str, n: int, percent: int, level
     slim = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, bands = _shingler(n), _bands(percent)
-        for batch in batches:
+        shingles, bands = _tools(n, percent)
+        for batch in slices(batches):
             sizes, h1, h2, keys, gaps, marks, sketches = [], [], [], [], [], [], []
             for value in batch.column("text"):
                 s = shingles(value.as_py())
@@ -227,13 +221,13 @@ def index_sets(docs: DataFrame, text: str, key: str, n: int, percent: int, level
     return slim.mapInArrow(run, _INDEX.format(kind))
 
 
-def sets_of(docs: DataFrame, text: str, key: str, n: int) -> DataFrame:
+def sets_of(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
     """(id, elements): the n-gram hashes of each document."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = _shingler(n)
-        for batch in batches:
+        shingles, _ = _tools(n, percent)
+        for batch in slices(batches):
             found = [shingles(v.as_py()).astype(np.int64) for v in batch.column("text")]
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -310,7 +304,7 @@ def _verified(docs: DataFrame, text: str, key: str, n: int, percent: int, pairs:
     """The pairs (a, b) whose sets reach the threshold."""
     ids = store(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id"), "jaccard-ids")
     chosen = docs.join(_bounded(ids.withColumnRenamed("id", key)), key, "left_semi")
-    sets = store(sets_of(chosen, text, key, n).dropDuplicates(["id"]), "jaccard-sets")
+    sets = store(sets_of(chosen, text, key, n, percent).dropDuplicates(["id"]), "jaccard-sets")
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -382,7 +376,7 @@ def link_documents(
     buckets = contested(sets)
     pairs_of = F.col("members") * (F.col("members") - 1) / 2
     costs = buckets.groupBy(F.shiftrightunsigned("key", 40).alias("segment")).agg(F.sum(pairs_of).alias("cost"))
-    levels = _levels(costs, classes.count(), _bands(percent))
+    levels = _levels(costs, classes.count(), Bands(percent))
     if levels:
         changed = store(index_sets(docs, text, key, n, percent, levels), "jaccard-index")
         sets = represent(changed)

@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywork.llm.common import slices, worker_state
+
 MIN_WORDS = 8
 #: The rest of an item from a third or two thirds on is indexed if it has so many words.
 MIN_PART = 12
@@ -232,9 +234,6 @@ class LeakIndex:
         return [[(i, *m) for i, m in sorted(f.items())] for f in found]
 
 
-_INDEXES: dict[str, LeakIndex] = {}
-
-
 def _ship(spark: SparkSession, block: DataFrame, settings: Settings):
     """The items of one block, at most BLOCK_WORDS words or so, as a broadcast."""
     rows = sorted(((r.key, r.text) for r in block.collect()), key=lambda r: (str(r[0]), r[1]))
@@ -244,18 +243,14 @@ def _ship(spark: SparkSession, block: DataFrame, settings: Settings):
 def _index(shipped) -> LeakIndex:
     """Built once per Python worker and block."""
     name, rows, settings = shipped.value
-    if name not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[name] = LeakIndex(rows, settings)
-    return _INDEXES[name]
+    return worker_state(name, lambda: LeakIndex(rows, settings))
 
 
 def _searched(index: LeakIndex, texts: list[str | None]) -> Iterator[tuple[int, tuple[int, int, int, int]]]:
-    """(position, match) over a batch; a few texts at a time, so that memory follows them and not the batch."""
-    for begin in range(0, len(texts), 256):
-        for n, matches in enumerate(index.search(texts[begin : begin + 256]), begin):
-            for match in matches:
-                yield n, match
+    """(position, match) over some texts."""
+    for n, matches in enumerate(index.search(texts)):
+        for match in matches:
+            yield n, match
 
 
 def _plain(key, whole_number: bool):
@@ -313,7 +308,7 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             index = _index(shipped)
-            for batch in batches:
+            for batch in slices(batches):
                 values = batch.column(text).to_pylist()
                 which, found = [], []
                 for n, (item, distance, first, after) in _searched(index, values):
@@ -348,7 +343,7 @@ def drop_leaking(
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             index = _index(shipped)
-            for batch in batches:
+            for batch in slices(batches):
                 values = batch.column(text).to_pylist()
                 clean = np.ones(len(values), dtype=bool)
                 clean[[n for n, _ in _searched(index, values)]] = False

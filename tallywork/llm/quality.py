@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import WORD, store
+from tallywork.llm.common import WORD, slices, store
 
 WINDOW = 8
 # Fixed value: the characters that count as symbols.
@@ -123,7 +123,7 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = T.StructType([*kept, *(T.StructField(c, T.LongType()) for c in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = np.array([count_text(v.as_py()) for v in batch.column(text)], dtype=np.int64).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f.name) for f in kept), *(pa.array(rows[:, i]) for i in range(len(names)))],

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import CACHE_ENTRIES, WORD
+from tallywork.llm.common import CACHE_ENTRIES, WORD, slices
 
 BUCKETS = 1 << 17
 MAX_DOCS = 2500
@@ -171,7 +171,7 @@ def score(
             whole = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
             return float(whole), [(*places[i], float(p[i])) for i in np.flatnonzero(p >= offending_at)]
 
-        for batch in batches:
+        for batch in slices(batches):
             found = [one(v.as_py()) for v in batch.column(text)]
             spans = [[{"start": a, "end": b, "probability": p} for a, b, p in s] for _, s in found]
             yield pa.RecordBatch.from_arrays(
