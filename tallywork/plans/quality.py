@@ -114,6 +114,15 @@ class TableTest:
     def name(self) -> str:
         return f"{self.kind}.{self.layer}.{self.column}"
 
+    def failures(self) -> Column | None:
+        """The number of failing rows as an aggregate, for the kinds that need no grouping of their own."""
+        column = F.col(self.column)
+        if self.kind == "not_null":
+            return F.count_if(column.isNull())
+        if self.kind == "accepted_values":
+            return F.count_distinct(F.when(~column.isin(*self.values), column))
+        return None
+
     def failing(self, df: DataFrame) -> DataFrame:
         if self.kind == "not_null":
             return failing_nulls(df, self.column)
@@ -145,18 +154,19 @@ SURVEY_TESTS = (
 def run_tests(layers: dict[str, DataFrame], tests: Sequence[TableTest] = SURVEY_TESTS) -> DataFrame:
     """One row per test: test_name, failures (rows its failing query returns), should_warn, should_error.
 
-    The not_null tests of a layer share one scan. Layers that take work to derive
-    should be stored first (``write_once``): the other tests read them again.
+    The not_null and accepted_values tests of a layer share one scan: of the latter, a failing
+    row is a distinct value outside the list. Layers that take work to derive should be
+    stored first (``write_once``): a unique test reads its layer again.
     """
     parts = []
     for layer in dict.fromkeys(t.layer for t in tests):
         df = layers[layer]
-        nulls = [t for t in tests if t.layer == layer and t.kind == "not_null"]
-        if nulls:
-            counts = df.select(*[F.count_if(F.col(t.column).isNull()).alias(t.name) for t in nulls])
-            parts.append(counts.unpivot([], [f"`{t.name}`" for t in nulls], "test_name", "failures"))
+        counted = [(t, failures) for t in tests if t.layer == layer and (failures := t.failures()) is not None]
+        if counted:
+            counts = df.select(*[failures.alias(t.name) for t, failures in counted])
+            parts.append(counts.unpivot([], [f"`{t.name}`" for t, _ in counted], "test_name", "failures"))
         for test in tests:
-            if test.layer == layer and test.kind != "not_null":
+            if test.layer == layer and test.failures() is None:
                 count = F.count(F.lit(1)).alias("failures")
                 parts.append(test.failing(df).select(F.lit(test.name).alias("test_name"), count))
     failed = F.col("failures") != 0

@@ -40,6 +40,7 @@ CSV_NULLS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Names and types of the raw layer and of the issues table.
 RAW_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in SURVEY_COLUMNS.values()]
     + [T.StructField("loaded_at", T.TimestampNTZType())]
