@@ -63,7 +63,7 @@ class Shingler:
         self.n, self.new, self.old = n, {}, {}
 
     def _word(self, word: bytes) -> int:
-        found = self.old.get(word)
+        found = self.new.get(word) or self.old.get(word)
         if found is None:
             found = xxhash.xxh3_64_intdigest(word)
         if len(self.new) >= CACHE_ENTRIES:
@@ -76,16 +76,17 @@ class Shingler:
         words = text.lower().split() if text else []
         if not words:
             return np.zeros(0, dtype=np.uint64)
-        hashes = np.empty(len(words), dtype=np.uint64)
-        for i, w in enumerate(words):
-            h = self.new.get(w)
-            hashes[i] = self._word(w) if h is None else h
+        found = list(map(self.new.get, words))
+        if None in found:
+            found = [self._word(w) if h is None else h for w, h in zip(words, found, strict=True)]
+        hashes = np.fromiter(found, dtype=np.uint64, count=len(words))
         width = min(self.n, len(words))
         with np.errstate(over="ignore"):
             state = np.full(len(words) - width + 1, width, dtype=np.uint64)
             for k in range(width):
                 state = _mix(state * _M1 + hashes[k : len(hashes) - width + k + 1])
-        return np.unique(state)
+        state.sort()
+        return state[np.r_[True, state[1:] != state[:-1]]]
 
 
 class Bands:
