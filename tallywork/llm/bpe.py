@@ -29,6 +29,7 @@ from tallywork.llm.common import CACHE_ENTRIES, slices, worker_state
 
 _NO_LIMIT = 1 << 62
 _NO_IDS = np.zeros(0, dtype=np.int32)
+_IDS = T.ArrayType(T.IntegerType())
 #: Pieces longer than this are encoded each time instead of being remembered.
 CACHED_PIECE = 48
 #: Pieces remembered in one of two generations.
@@ -192,20 +193,18 @@ def joined(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), ",").cast("binary")
 
 
-def _coder(key: tuple, ranks, pattern: str) -> ByteBpe:
-    """One coder per Python worker; ``ranks`` is a broadcast."""
-    return worker_state(key, lambda: ByteBpe(ranks.value, pattern))
+def _encoded(coder: ByteBpe, texts: pa.Array) -> pa.Array:
+    packed = [coder.encode_packed(v) if v else b"" for v in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    values = np.frombuffer(b"".join(packed), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
-def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    kept = [i for i, n in enumerate(batch.schema.names) if n.lower() != name.lower()]
-    return pa.RecordBatch.from_arrays(
-        [*(batch.column(i) for i in kept), values], [*(batch.schema.names[i] for i in kept), name]
-    )
-
-
-def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*(f for f in df.schema.fields if f.name.lower() != name.lower()), T.StructField(name, kind)])
+def _decoded(coder: ByteBpe, lists: pa.Array) -> pa.Array:
+    ids = [v.values.to_numpy() if v.is_valid else _NO_IDS for v in lists]
+    ends = np.cumsum([0, *(int(coder.size[x].sum()) for x in ids)], dtype=np.int32)
+    data = coder.decode_packed(np.concatenate(ids)) if ids else np.zeros(0, np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
 class Codec:
@@ -217,33 +216,34 @@ class Codec:
         self.key = (ranks_path, pattern, len(ranks))
         self.ranks = spark.sparkContext.broadcast(ranks)
 
-    def encode(self, df: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
-        """Adds ``ids``, the token ids of every whole text, as array<int>."""
+    def _run(self, df: DataFrame, work, added: list[tuple[str, T.DataType]]) -> DataFrame:
+        """Adds columns that ``work`` (coder, batch) makes, a few rows at a time."""
         key, ranks, pattern = self.key, self.ranks, self.pattern
+        names = [name for name, _ in added]
+        taken = {name.lower() for name in names}
+        kept = [f for f in df.schema.fields if f.name.lower() not in taken]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            coder = _coder(key, ranks, pattern)
+            coder = worker_state(key, lambda: ByteBpe(ranks.value, pattern))  # one per Python worker
             for batch in slices(batches):
-                packed = [coder.encode_packed(v) if v else b"" for v in batch.column(text).to_pylist()]
-                ends = np.cumsum([0, *map(len, packed)]) // 4
-                values = np.frombuffer(b"".join(packed), dtype=np.int32)
-                yield _with_column(
-                    batch, ids, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-                )
+                columns = [batch.column(f.name) for f in kept]
+                yield pa.RecordBatch.from_arrays([*columns, *work(coder, batch)], [*(f.name for f in kept), *names])
 
-        return df.mapInArrow(run, _schema(df, ids, T.ArrayType(T.IntegerType())))
+        return df.mapInArrow(run, T.StructType([*kept, *(T.StructField(*x) for x in added)]))
+
+    def encode(self, df: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
+        """Adds ``ids``, the token ids of every whole text, as array<int>."""
+        return self._run(df, lambda coder, batch: [_encoded(coder, batch.column(text))], [(ids, _IDS)])
 
     def decode(self, df: DataFrame, ids: str = "ids", out: str = "decoded") -> DataFrame:
         """Adds ``out``, the bytes that the ids stand for; a null list gives no bytes."""
-        key, ranks, pattern = self.key, self.ranks, self.pattern
+        return self._run(df, lambda coder, batch: [_decoded(coder, batch.column(ids))], [(out, T.BinaryType())])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            coder = _coder(key, ranks, pattern)
-            for batch in slices(batches):
-                lists = [v.values.to_numpy() if v.is_valid else _NO_IDS for v in batch.column(ids)]
-                flat = np.concatenate(lists)
-                ends = np.cumsum([0, *(int(coder.size[x].sum()) for x in lists)], dtype=np.int32)
-                found = [None, pa.py_buffer(ends), pa.py_buffer(coder.decode_packed(flat))]
-                yield _with_column(batch, out, pa.Array.from_buffers(pa.binary(), len(lists), found))
+    def round_trip(self, df: DataFrame, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+        """``encode`` and then ``decode`` of the ids, in one Python worker."""
+
+        def work(coder: ByteBpe, batch: pa.RecordBatch) -> list[pa.Array]:
+            encoded = _encoded(coder, batch.column(text))
+            return [encoded, _decoded(coder, encoded)]
 
-        return df.mapInArrow(run, _schema(df, out, T.BinaryType()))
+        return self._run(df, work, [(ids, _IDS), (out, T.BinaryType())])

@@ -284,13 +284,17 @@ def _pairs_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
             columns = [batch.column(c).to_pylist() for c in ("key", "low", "high", "id", "side", "label", "n", "sketch")]
             for k, low, high, *member in zip(*columns, strict=True):
                 if (k, low, high) != at:
-                    out.update(pairs(*held))
+                    for pair in pairs(*held):
+                        out.add(pair)
+                        if len(out) > 50_000:
+                            yield batch_of()
                     at, held = (k, low, high), ([], [], [], [], [])
-                    if len(out) > 50_000:
-                        yield batch_of()
                 for values, value in zip(held, member, strict=True):
                     values.append(value)
-        out.update(pairs(*held))
+        for pair in pairs(*held):
+            out.add(pair)
+            if len(out) > 50_000:
+                yield batch_of()
         if out:
             yield batch_of()
 

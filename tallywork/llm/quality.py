@@ -18,7 +18,6 @@ columns pass through, and those that have the name of a result are replaced.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import WORD, slices, store
+from tallywork.llm.common import WORD, slices, store, worker_state
 
 WINDOW = 8
 # Fixed value: the characters that count as symbols.
@@ -64,9 +63,8 @@ def repeated_words(ids: np.ndarray) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-@functools.cache
-def _kinds() -> np.ndarray:
-    """For every code point, what kinds of character it is; a megabyte, made once per Python worker."""
+def _make_kinds() -> np.ndarray:
+    """For every code point, what kinds of character it is; a megabyte."""
     return np.array(
         [
             c.isalpha() * _LETTER + c.isupper() * _UPPER + c.isdigit() * _DIGIT + (c in SYMBOLS) * _SYMBOL
@@ -79,7 +77,7 @@ def _kinds() -> np.ndarray:
 def character_kinds(text: str) -> tuple[int, int, int, int]:
     """Letters, capitals, digits and symbols in a text."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    counts = np.bincount(_kinds()[codes], minlength=16)
+    counts = np.bincount(worker_state("character kinds", _make_kinds)[codes], minlength=16)
     kind = np.arange(16)
     return tuple(int(counts[(kind & bit) > 0].sum()) for bit in (_LETTER, _UPPER, _DIGIT, _SYMBOL))
 

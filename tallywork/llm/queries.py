@@ -83,7 +83,7 @@ def op5_noisy_or(spark, sf_dir):
 def op6_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    return codec.decode(codec.encode(docs).drop("text")).select(
+    return codec.round_trip(docs).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         sha256_hex(bpe.joined(F.col("ids"))).alias("ids_sha256"),

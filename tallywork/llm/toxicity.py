@@ -20,6 +20,7 @@ labels that are null are ignored; without labels, or with one label only, every
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import CACHE_ENTRIES, WORD, slices
+from tallywork.llm.common import CACHE_ENTRIES, WORD, slices, worker_state
 
 BUCKETS = 1 << 17
 MAX_DOCS = 2500
@@ -134,6 +135,7 @@ def score(
     """Adds the document's probability and its offending sentences, as array of (start, end, probability) in code points."""
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(model.astype(np.float32))
+    name = ("toxicity", uuid.uuid4().hex)
     span = T.StructType(
         [T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("probability", T.DoubleType())]
     )
@@ -144,7 +146,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shipped.value
         bias = float(weights[-1])
-        sums: dict[str, float] = {}
+        sums: dict[str, float] = worker_state(name, dict)
 
         def of_word(w: str) -> float:
             found = sums.get(w)
