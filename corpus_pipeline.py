@@ -53,8 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the whole text, their number, and digests of the ids and of the decoded bytes."""
     codec = bpe.Codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    encoded = codec.encode(docs.select("doc_id", "text")).drop("text")
-    return codec.decode(encoded).select(
+    return codec.round_trip(docs.select("doc_id", "text")).select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
