@@ -30,6 +30,7 @@ null id are not linked, their component is null; an empty table gives an empty r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
@@ -203,9 +204,8 @@ def index_sets(docs: DataFrame, text: str, key: str, n: int, percent: int, level
             for value in batch.column("text"):
                 s = shingles(value.as_py())
                 k, g, m = index_keys(s, bands, levels)
-                with np.errstate(over="ignore"):
-                    h1.append(int(_mix(s ^ _M2).sum(dtype=np.uint64).astype(np.int64)))
-                    h2.append(int(_mix(s ^ _M3).sum(dtype=np.uint64).astype(np.int64)))
+                for sums, x in zip((h1, h2), set_hashes(s), strict=True):
+                    sums.append(x)
                 sizes.append(len(s))
                 keys.append(k)
                 gaps.append(g)
@@ -222,21 +222,28 @@ def index_sets(docs: DataFrame, text: str, key: str, n: int, percent: int, level
     return slim.mapInArrow(run, _INDEX.format(kind))
 
 
-def sets_of(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
-    """(id, elements): the n-gram hashes of each document."""
-    kind = docs.schema[key].dataType.simpleString()
+def sets_of(docs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
+    """(n, h1, h2, elements): the n-gram hashes of each text, known by the same three numbers as in the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, _ = _tools(n, percent)
         for batch in slices(batches):
-            found = [shingles(v.as_py()).astype(np.int64) for v in batch.column("text")]
+            found = [shingles(v.as_py()) for v in batch.column("text")]
+            sums = [set_hashes(s) for s in found]
             ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found) if found else np.zeros(0, np.int64)
+            flat = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
             values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), values], ["id", "elements"])
+            whole = [pa.array(x, pa.int64()) for x in (map(len, found), (x for x, _ in sums), (x for _, x in sums))]
+            yield pa.RecordBatch.from_arrays([*whole, values], ["n", "h1", "h2", "elements"])
+
+    slim = docs.select(F.col(text).cast("binary").alias("text"))
+    return slim.mapInArrow(run, "n long, h1 long, h2 long, elements array<long>")
 
-    slim = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    return slim.mapInArrow(run, f"id {kind}, elements array<long>")
+
+def set_hashes(elements: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set."""
+    with np.errstate(over="ignore"):
+        return tuple(int(_mix(elements ^ salt).sum(dtype=np.uint64).astype(np.int64)) for salt in (_M2, _M3))
 
 
 def _near(sizes: np.ndarray, sketches: list[np.ndarray], i: int, others: np.ndarray, percent: int) -> np.ndarray:
@@ -305,13 +312,47 @@ def _bounded(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _verified(docs: DataFrame, text: str, key: str, n: int, percent: int, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
-    ids = store(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id"), "jaccard-ids")
-    chosen = docs.join(_bounded(ids.withColumnRenamed("id", key)), key, "left_semi")
-    sets = store(sets_of(chosen, text, key, n, percent).dropDuplicates(["id"]), "jaccard-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
+@dataclass(frozen=True)
+class Classes:
+    """The distinct sets: (n, h1, h2, rep, node), where node is the number by which a set is known and rep its smallest id."""
+
+    table: DataFrame
+    collided: DataFrame | None
+
+    @staticmethod
+    def of(indexed: DataFrame) -> Classes:
+        whole = ["n", "h1", "h2"]
+        grouped = indexed.where("n > 0 AND id IS NOT NULL").groupBy(*whole).agg(F.min("id").alias("rep"))
+        table = store(grouped, "jaccard-classes")
+        # h1 tells sets apart but for a few in 10^10; those few are renumbered.
+        collided = store(
+            table.groupBy("h1").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h1"), "jaccard-collided"
+        )
+        found = Classes(table, None if collided.isEmpty() else collided)
+        return Classes(found.numbered(table), found.collided)
+
+    def numbered(self, table: DataFrame) -> DataFrame:
+        """``table`` (with n, h1, h2) with the column node."""
+        if self.collided is None:
+            return table.withColumn("node", F.col("h1"))
+        known = _bounded(self.collided).select(F.col("h1").alias("h1_"))
+        node = F.when(F.col("h1_").isNull(), F.col("h1")).otherwise(F.xxhash64("n", "h1", "h2"))
+        return table.join(known, F.col("h1") == F.col("h1_"), "left").withColumn("node", node).drop("h1_")
+
+
+def _verified(
+    docs: DataFrame, text: str, key: str, n: int, percent: int, classes: Classes, pairs: DataFrame
+) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the threshold."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    reps = store(classes.table.join(nodes, "node", "left_semi").select(F.col("rep").alias(key)).distinct(), "jaccard-reps")
+    chosen = docs.join(_bounded(reps), key, "left_semi")
+    sets = store(
+        classes.numbered(sets_of(chosen, text, n, percent)).select("node", "elements").dropDuplicates(["node"]),
+        "jaccard-sets",
+    )
+    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     return (
         pairs.join(left, "a")
@@ -352,16 +393,12 @@ def link_documents(
 
     Links are those needed to tell the components, at least one per pair of them that touches.
     """
-    spark = docs.sparkSession
     indexed = store(index_sets(docs, text, key, n, percent, {}), "jaccard-index")
-    whole = ["n", "h1", "h2"]
-    classes = store(
-        indexed.where("n > 0 AND id IS NOT NULL").groupBy(*whole).agg(F.min("id").alias("rep")), "jaccard-classes"
-    )
-    one_each = classes.withColumnRenamed("rep", "id")
+    classes = Classes.of(indexed)
 
-    def represent(table: DataFrame) -> DataFrame:
-        return table.join(one_each, ["id", *whole], "left_semi").where(F.size("keys") + F.size("gaps") > 0)
+    def sets_in(table: DataFrame) -> DataFrame:
+        """Every document's entries under the number of its set, so that copies merge map side and nothing is joined."""
+        return classes.numbered(table.where("n > 0 AND id IS NOT NULL")).drop("id").withColumnRenamed("node", "id")
 
     def entries(table: DataFrame) -> DataFrame:
         """(key, id): all index keys, and the gaps of segments in which a marked set has one."""
@@ -371,20 +408,19 @@ def link_documents(
         return own.unionByName(gaps.select("id", "key").join(wanted, "key", "left_semi").select("id", "key"))
 
     def contested(table: DataFrame) -> DataFrame:
-        """Keys of two documents or more; counted map side first."""
+        """Keys of two sets or more; counted map side first."""
         grouped = entries(table).groupBy("key").agg(
             F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("members")
         )
         return store(grouped.where("least < most").select("key", "least", "members"), "jaccard-buckets")
 
-    sets = represent(indexed)
+    sets = sets_in(indexed)
     buckets = contested(sets)
-    pairs_of = F.col("members") * (F.col("members") - 1) / 2
+    pairs_of = F.col("members").cast("double") * (F.col("members") - 1) / 2
     costs = buckets.groupBy(F.shiftrightunsigned("key", 40).alias("segment")).agg(F.sum(pairs_of).alias("cost"))
-    levels = _levels(costs, classes.count(), Bands(percent))
+    levels = _levels(costs, classes.table.count(), Bands(percent))
     if levels:
-        changed = store(index_sets(docs, text, key, n, percent, levels), "jaccard-index")
-        sets = represent(changed)
+        sets = sets_in(store(index_sets(docs, text, key, n, percent, levels), "jaccard-index"))
         buckets = contested(sets)
     members = store(
         entries(sets).join(buckets, "key").select("key", "least", "members", "id").distinct(), "jaccard-members"
@@ -396,8 +432,8 @@ def link_documents(
 
     # First, everyone with the smallest of its buckets.
     star = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    star = _sketched(star, about, percent)
-    links = store(_verified(docs, text, key, n, percent, store(star, "jaccard-pairs")), "jaccard-links")
+    star = store(_sketched(star, about, percent), "jaccard-pairs")
+    links = store(_verified(docs, text, key, n, percent, classes, star), "jaccard-links")
     labels = components(links)
 
     # Then, members of different components within the buckets that still hold several.
@@ -422,17 +458,24 @@ def link_documents(
     )
     dealt = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
     more = store(_pairs_in_blocks(dealt, percent).distinct(), "jaccard-pairs")
-    links = store(
-        links.unionByName(_verified(docs, text, key, n, percent, more)),
-        "jaccard-links",
+    links = store(links.unionByName(_verified(docs, text, key, n, percent, classes, more)), "jaccard-links")
+
+    # From sets back to documents: a component is known by the smallest id of its sets.
+    found = components(links).withColumnRenamed("id", "node")
+    placed = store(
+        classes.table.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "jaccard-placed"
     )
-    final = components(links)
-    reached = classes.join(final, classes["rep"] == final["id"], "left").select(
-        *whole, F.coalesce("component", "rep").alias("component")
+    smallest = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    reached = placed.join(smallest, "component").select("n", "h1", "h2", "component_id")
+    rows = indexed.select("id", "n", "h1", "h2").join(reached, ["n", "h1", "h2"], "left")
+    component = F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id"))
+    named = classes.table.select("node", "rep")
+    between = (
+        links.join(named.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a")
+        .join(named.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     )
-    component = F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component"))
-    rows = indexed.select("id", *whole).join(reached, whole, "left")
-    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")), links
+    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")), between
 
 
 def _sketched(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -190,26 +191,46 @@ def fit_label_model(
     return post[:, 1], table
 
 
-def judge(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
-    """Every column but the text, with the COUNTS, the votes, ``quality`` (posterior), ``base_failed`` and ``kept``."""
+@dataclass(frozen=True)
+class LabelModel:
+    """The posterior probability of good for every vote pattern that occurs."""
+
+    patterns: DataFrame
+    keep_at: float
+
+    def judged(self, voted: DataFrame) -> DataFrame:
+        """Adds ``quality`` (the posterior), ``base_failed`` and ``kept`` to a table with the COUNTS and votes."""
+        failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+        return (
+            voted.join(F.broadcast(self.patterns), [f"vote_{name}" for name in RULES], "left")  # at most 3^rules rows
+            .withColumn("base_failed", failed)
+            .withColumn("kept", ~failed & (F.col("quality") >= F.lit(self.keep_at)))
+        )
+
+
+def fit(voted: DataFrame, keep_at: float = 0.5) -> LabelModel:
+    """Fit the label model to the votes of a whole table."""
     names = [f"vote_{name}" for name in RULES]
-    docs = docs.drop(*{*COUNTS, *names, "quality", "base_failed", "kept"} - {text})
-    voted = store(votes(text_counts(docs, text)), "quality-votes")
     seen = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3^rules rows
-    spark = docs.sparkSession
     patterns = np.array([[r[c] for c in names] for r in seen], dtype=np.int64).reshape(-1, len(names))
     posterior, _ = fit_label_model(patterns, np.array([r.n for r in seen], dtype=float))
     rows = [(*map(int, p), float(q)) for p, q in zip(patterns, posterior, strict=True)]
-    model = spark.createDataFrame(rows, ", ".join(f"{c} tinyint" for c in names) + ", quality double")
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return (
-        voted.join(F.broadcast(model), names, "left")
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("quality") >= F.lit(keep_at)))
-    )
+    kind = ", ".join(f"{c} tinyint" for c in names) + ", quality double"
+    return LabelModel(voted.sparkSession.createDataFrame(rows, kind), keep_at)
+
+
+def judge(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
+    """Every column but the text, with the COUNTS, the votes, ``quality`` (posterior), ``base_failed`` and ``kept``."""
+    docs = docs.drop(*{*COUNTS, *(f"vote_{name}" for name in RULES), "quality", "base_failed", "kept"} - {text})
+    voted = store(votes(text_counts(docs, text)), "quality-votes")
+    return fit(voted, keep_at).judged(voted)
 
 
 def keep_good(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns as they are."""
-    judged = judge(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")), keep_at=keep_at)
-    return judged.where("kept").select("row.*")
+    """The rows of ``docs`` that are kept, with their columns as they are.
+
+    The texts are counted twice, once for the model and once for the verdict, rather than stored with their counts.
+    """
+    model = fit(votes(text_counts(docs.select(F.col(text).alias("text")))), keep_at)
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    return model.judged(votes(text_counts(rows))).where("kept").select("row.*")
