@@ -33,7 +33,7 @@ _IDS = T.ArrayType(T.IntegerType())
 #: Pieces longer than this are encoded each time instead of being remembered.
 CACHED_PIECE = 48
 #: Pieces remembered in one of two generations.
-PIECES = 150_000
+PIECES = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,7 +60,9 @@ class ByteBpe:
             raise ValueError(f"vocabulary has no token for bytes {missing}")
         self.automaton = ahocorasick.Automaton()
         for text, rank in self.rank.items():
-            self.automaton.add_word(text, (rank, len(text) - 1))
+            if len(text) > 1:  # a byte's own token is known without a search
+                self.automaton.add_word(text, (rank, len(text) - 1))
+        self.byte = [self.rank[chr(b)] for b in range(256)]
         self.automaton.make_automaton()
         self.shorter = [self._longest_prefix(text) for text in self.text]
         self.halves = [(rank, rank) for rank in range(most)]
@@ -118,14 +120,15 @@ class ByteBpe:
         found = self.fits[left << 32 | right] = self._compatible(left, right)
         return found
 
-    def encode_piece(self, piece: str) -> list[int]:
-        """Token ids of one piece, its bytes given as Latin-1 characters."""
+    def encode_piece(self, raw: bytes) -> list[int]:
+        """Token ids of one piece, given as UTF-8."""
+        piece = raw.decode("latin-1")
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
         size = len(piece)
-        longest = [0] * size
-        for end, (rank, before) in self.automaton.iter(piece):
+        longest = [*map(self.byte.__getitem__, raw)]
+        for end, (rank, before) in self.automaton.iter(piece) if self.automaton else ():
             longest[end - before] = rank  # matches come by their ends, so the last one from a place is the longest
         open_at = bytearray(b"\x01" * (size + 1))
         done: list[int] = []
@@ -157,7 +160,7 @@ class ByteBpe:
         """Encode a piece and remember it; two generations of memory, so that common pieces stay."""
         found = self.known.get(piece) or self.earlier.get(piece)
         if found is None:
-            found = array("i", self.encode_piece(piece.encode("utf-8").decode("latin-1"))).tobytes()
+            found = array("i", self.encode_piece(piece.encode())).tobytes()
         if len(piece) <= CACHED_PIECE:
             if len(self.known) >= PIECES:
                 self.earlier, self.known = self.known, {}

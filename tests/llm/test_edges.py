@@ -176,6 +176,28 @@ def test_bpe_round_trip(spark, docs):
     assert bag((r.doc_id, bytes(r.decoded).decode()) for r in rows) == bag((r[0], r[1] or "") for r in ROWS)
 
 
+def test_bpe_equals_the_library_on_odd_pieces():
+    import base64
+    import random
+
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = bpe.read_ranks(path)
+    assert ranks == {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    coder = bpe.ByteBpe(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    random.seed(1)
+    letters = [chr(c) for c in [*range(1, 400), 0x4E2D, 0x1F600, 0x200B, 0x3042]]
+    texts = ["", "a" * 5000 + "ab" * 5000, " " * 3000, "\n\n\t x"]
+    texts += ["".join(random.choices(letters if k % 2 else "abcdeinorst ABCéß", k=random.randrange(40))) for k in range(4000)]
+    for text in texts:
+        ids = library.encode_ordinary(text)
+        assert coder.encode(text) == ids and coder.decode(ids) == text.encode()
+    only_bytes = bpe.ByteBpe({bytes([b]): b for b in range(256)}, public_tokenizers.PATTERN)
+    assert only_bytes.encode("é a") == list("é a".encode())
+
+
 def test_jaccard(spark, docs):
     rows, _ = jaccard.link_documents(docs, n=3, percent=90)
     want = brute.components([(r[0], r[1]) for r in ROWS if r[0] is not None], 3, 90)
