@@ -255,6 +255,50 @@ def test_allocation_keeps_every_link():
             assert apart <= len(np.setxor1d(base, other))
 
 
+def test_allocated_segments_give_the_same_components(spark, monkeypatch):
+    """With segments left out and raised in every band, the whole join still equals brute force."""
+    import random
+
+    random.seed(3)
+    rows, d = [], 0
+    for size in (15, 40, 120):
+        for _ in range(5):
+            base = [f"w{random.randrange(300)}" for _ in range(size)]
+            for _ in range(4):
+                copy = list(base)
+                for _ in range(random.randrange(0, 3)):
+                    copy[random.randrange(len(copy))] = f"w{random.randrange(300)}"
+                rows.append((d, " ".join(copy)))
+                d += 1
+
+    def chosen(counts, n_sets, bands):
+        assert all(r.cost > 0 for r in counts.collect())
+        bands.band(500)
+        return {f + k: v for f, m in zip(bands.first, bands.segments, strict=True) if m for k, v in ((0, -1), (m - 1, 1))}
+
+    monkeypatch.setattr(jaccard, "_levels", chosen)
+    got, _ = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), n=1, percent=80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 1, 80)
+
+
+def test_costs_decide_the_allocation(spark):
+    bands = jaccard.Bands(90)
+    band = bands.band(300)
+    first, m = bands.first[band], bands.segments[band]
+    costs = spark.createDataFrame([(first + 2, 1e9), (first + 3, 5.0)], "segment long, cost double")
+    levels = jaccard._levels(costs, 1000, jaccard.Bands(90))
+    assert levels[first + 2] == -1 and sorted(levels.values()) == [-1, 1] and set(levels) <= set(range(first, first + m))
+    assert jaccard._levels(costs.where("cost < 10"), 1000, jaccard.Bands(90)) == {}
+
+
+def test_sets_with_one_hash_in_common_are_told_apart(spark):
+    index = spark.createDataFrame([(1, 5, 7, 1), (2, 5, 7, 2), (3, 5, 8, 3), (4, 5, 7, 1)], "id long, n long, h1 long, h2 long")
+    classes = jaccard.Classes.of(index)
+    rows = classes.table.collect()
+    assert len(rows) == 3 and len({r.node for r in rows}) == 3 and {r.rep for r in rows} == {1, 2, 3}
+    assert {r.id: r.node for r in classes.numbered(index).collect()}[4] == next(r.node for r in rows if r.rep == 1)
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 100), (7, 7)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
