@@ -53,7 +53,11 @@ _word_spans = re.compile(r"\w+").finditer
 
 
 def words_of(text: str | None) -> list[str]:
-    return _words(text.lower()) if text else []
+    """The lower-cased words. Where a letter changes its length, words are cut first, so that borders stay as in the text."""
+    if not text:
+        return []
+    low = text.lower()
+    return _words(low) if len(low) == len(text) else [w.lower() for w in _words(text)]
 
 
 def edit_search(pattern: list[int], stretch: list[int]) -> tuple[int, int]:
@@ -258,7 +262,7 @@ def _plain(key, whole_number: bool):
 
 
 def _char_span(text: str, first: int, after: int) -> tuple[int, int]:
-    """Words to code points. Words are found in the text as it is; lower case changes no word border."""
+    """Words to code points."""
     start = end = 0
     for k, m in enumerate(_word_spans(text)):
         if k == first:

@@ -387,6 +387,13 @@ def test_leaks(spark, docs):
     assert leaks.drop_leaking(docs, items.limit(0)).count() == len(ROWS)
 
 
+def test_spans_of_leaks_where_lower_case_is_longer(spark):
+    text = "İstanbul İİ " + LEAK + " İ end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = leaks.find_leaks(docs, spark.createDataFrame([(1, LEAK)], "item_id int, text string"), ["doc_id"]).collect()
+    assert text[row.start : row.end] == LEAK
+
+
 def test_leaks_reach_their_recall():
     import random
 
