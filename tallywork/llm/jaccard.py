@@ -17,7 +17,7 @@ everything; bands have a few segments to spare for that. A set that has too many
 gaps is marked, and only the gaps of marked sets are indexed, for all sets.
 
 No group is gathered or expanded into its pairs. Exact copies are one class. In each index
-bucket all members are first compared with the smallest one only; verified links give
+bucket all members are first compared with one pivot only; verified links give
 components; then only members of different components are compared, in blocks of bounded
 size inside a task, behind a lower bound of the difference from parity sketches. Every
 surviving pair is verified on the n-gram sets (64-bit hashes of the n-grams).
@@ -408,11 +408,18 @@ def link_documents(
         return own.unionByName(gaps.select("id", "key").join(wanted, "key", "left_semi").select("id", "key"))
 
     def contested(table: DataFrame) -> DataFrame:
-        """Keys of two sets or more; counted map side first."""
+        """Keys of two sets or more, each with a pivot; counted map side first.
+
+        The pivot is the least member in an order of the key's own, so that the many buckets of
+        a large group of similar sets have many pivots, and a set that one of them misses meets others.
+        """
+        mask = F.xxhash64("key")
+        place = F.col("id").bitwiseXOR(mask)
         grouped = entries(table).groupBy("key").agg(
-            F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("members")
+            F.min(place).alias("least"), F.max(place).alias("most"), F.count(F.lit(1)).alias("members")
         )
-        return store(grouped.where("least < most").select("key", "least", "members"), "jaccard-buckets")
+        found = grouped.where("least < most").select("key", F.col("least").bitwiseXOR(mask).alias("pivot"), "members")
+        return store(found, "jaccard-buckets")
 
     sets = sets_in(indexed)
     buckets = contested(sets)
@@ -423,15 +430,16 @@ def link_documents(
         sets = sets_in(store(index_sets(docs, text, key, n, percent, levels), "jaccard-index"))
         buckets = contested(sets)
     members = store(
-        entries(sets).join(buckets, "key").select("key", "least", "members", "id").distinct(), "jaccard-members"
+        entries(sets).join(buckets, "key").select("key", "pivot", "members", "id").distinct(), "jaccard-members"
     )
     about = store(
         sets.select("id", "n", "sketch").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]),
         "jaccard-about",
     )
 
-    # First, everyone with the smallest of its buckets.
-    star = members.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    # First, everyone with the pivots of its buckets.
+    star = members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
+    star = star.distinct()
     star = store(_sketched(star, about, percent), "jaccard-pairs")
     links = store(_verified(docs, text, key, n, percent, classes, star), "jaccard-links")
     labels = components(links)
