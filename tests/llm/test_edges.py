@@ -76,11 +76,9 @@ OPERATORS = {
     "sharding": lambda spark, d: sharding.shard_documents(d, shards=3),
     "lines": lambda spark, d: lines.remove_boilerplate(d, min_sites=3),
     "quality": lambda spark, d: quality.judge(d),
-    "keep_good": lambda spark, d: quality.keep_good(d),
     "toxicity": lambda spark, d: toxicity.score(d, toxicity.train([PROSE, "you idiot"] * 20, [0, 1] * 20)),
     "bpe": lambda spark, d: codec(spark).decode(codec(spark).encode(d)),
     "jaccard": lambda spark, d: jaccard.link_documents(d)[0],
-    "keep_one": lambda spark, d: jaccard.keep_one(d),
     "secrets": lambda spark, d: secrets.scan(d, ["doc_id"])[0],
     "leaks": lambda spark, d: leaks.find_leaks(d, spark.createDataFrame(ITEMS, "item_id int, text string"), ["doc_id"]),
     "drop_leaking": lambda spark, d: leaks.drop_leaking(d, spark.createDataFrame(ITEMS, "item_id int, text string")),
