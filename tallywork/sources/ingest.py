@@ -188,17 +188,18 @@ def _records(lines: DataFrame, blocks: DataFrame) -> DataFrame:
         .withColumn("before", F.coalesce(F.lag("after").over(inside), F.col("base")))
     )
     opens = F.when(~F.col("before") & F.col("after"), F.struct("block", "line"))
-    keyed = followed.withColumn("record", F.coalesce(F.last(opens, ignorenulls=True).over(upto), F.col("opened")))
-    spanning = (
-        keyed.where("before OR after")
+    own = F.when(~F.col("before") & ~F.col("after"), F.struct("block", "line"))
+    record = F.coalesce(own, F.last(opens, ignorenulls=True).over(upto), F.col("opened"))
+    gathered = (
+        followed.withColumn("record", record)
         .groupBy("file", "record")
         .agg(
             F.array_join(F.sort_array(F.collect_list(F.struct("block", "line", "value")))["value"], "\n").alias("value"),
             F.bool_or("first").alias("first"),
         )
     )
-    alone = placed.where("NOT spans").unionByName(keyed.where("NOT before AND NOT after"), allowMissingColumns=True)
-    return alone.select("value", "first").unionByName(spanning.select("value", "first"))
+    alone = placed.where("NOT spans").select("value", "first")
+    return alone.unionByName(gathered.select("value", "first"))
 
 
 def _parsed(texts: DataFrame, names: Sequence[str]) -> DataFrame:
