@@ -33,7 +33,7 @@ _IDS = T.ArrayType(T.IntegerType())
 #: Pieces longer than this are encoded each time instead of being remembered.
 CACHED_PIECE = 48
 #: Pieces remembered in one of two generations.
-PIECES = 400_000
+PIECES = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
