@@ -20,7 +20,8 @@ No group is gathered or expanded into its pairs. Exact copies are one class. In
 bucket all members are first compared with one pivot only; verified links give
 components; then only members of different components are compared, in blocks of bounded
 size inside a task, behind a lower bound of the difference from parity sketches. Every
-surviving pair is verified on the n-gram sets (64-bit hashes of the n-grams).
+surviving pair is verified on the n-gram sets (64-bit hashes of the n-grams). The complete
+mode compares and verifies all members of a bucket in such blocks, whatever their component.
 
 Defined cases: null or empty texts have no n-grams and are linked with nothing; a text of
 fewer words than n has one n-gram, all of it; repeated rows are one document; rows with a
@@ -387,11 +388,13 @@ def _levels(counts: DataFrame, n_sets: int, bands: Bands) -> dict[int, int]:
 
 
 def link_documents(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3, percent: int = 90
+    docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3, percent: int = 90, complete: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(key, n_shingles, component_id) of every row, and the verified links (a, b) between different texts.
 
-    Links are those needed to tell the components, at least one per pair of them that touches.
+    Links are those needed to tell the components, at least one per pair of them that touches. With ``complete`` they
+    are all pairs of different sets that reach the threshold, each set under its smallest id, and the rows have
+    n_links too: how many other documents, known by id and set, are similar, copies among them.
     """
     indexed = store(index_sets(docs, text, key, n, percent, {}), "jaccard-index")
     classes = Classes.of(indexed)
@@ -437,20 +440,21 @@ def link_documents(
         "jaccard-about",
     )
 
-    # First, everyone with the pivots of its buckets.
-    star = members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
-    star = star.distinct()
-    star = store(_sketched(star, about, percent), "jaccard-pairs")
-    links = store(_verified(docs, text, key, n, percent, classes, star), "jaccard-links")
-    labels = components(links)
-
-    # Then, members of different components within the buckets that still hold several.
-    labelled = (
-        members.select("key", "members", "id")
-        .join(about, "id")
-        .join(labels, "id", "left")
-        .select("key", "members", "id", "n", "sketch", F.coalesce("component", "id").alias("label"))
-    )
+    about_members = members.select("key", "members", "id").join(about, "id")
+    if complete:
+        # Everyone with everyone in the same bucket.
+        links, labelled = None, about_members.withColumn("label", F.col("id"))
+    else:
+        # First, everyone with the pivots of its buckets.
+        star = members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
+        star = star.distinct()
+        star = store(_sketched(star, about, percent), "jaccard-pairs")
+        links = store(_verified(docs, text, key, n, percent, classes, star), "jaccard-links")
+        # Then, members of different components within the buckets that still hold several.
+        labelled = (
+            about_members.join(components(links), "id", "left")
+            .select("key", "members", "id", "n", "sketch", F.coalesce("component", "id").alias("label"))
+        )
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     side = F.pmod(F.hash("id"), F.col("blocks"))
@@ -466,7 +470,8 @@ def link_documents(
     )
     dealt = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
     more = store(_pairs_in_blocks(dealt, percent).distinct(), "jaccard-pairs")
-    links = store(links.unionByName(_verified(docs, text, key, n, percent, classes, more)), "jaccard-links")
+    verified = _verified(docs, text, key, n, percent, classes, more)
+    links = store(verified if links is None else links.unionByName(verified), "jaccard-links")
 
     # From sets back to documents: a component is known by the smallest id of its sets.
     found = components(links).withColumnRenamed("id", "node")
@@ -483,7 +488,28 @@ def link_documents(
         .join(named.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b")
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     )
-    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")), between
+    wanted = [F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")]
+    if complete:
+        rows = rows.join(_link_counts(indexed, classes, links), ["n", "h1", "h2"], "left")
+        wanted.append(F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
+    return rows.select(*wanted), between
+
+
+def _link_counts(indexed: DataFrame, classes: Classes, links: DataFrame) -> DataFrame:
+    """(n, h1, h2, n_links): the other documents of each set, and those of the sets linked to it."""
+    whole = ["n", "h1", "h2"]
+    documents = indexed.where("n > 0 AND id IS NOT NULL").select("id", *whole).distinct()
+    sizes = classes.table.join(documents.groupBy(*whole).agg(F.count(F.lit(1)).alias("size")), whole).select(
+        "node", *whole, "size"
+    )
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = (
+        both.join(sizes.select(F.col("node").alias("b"), "size"), "b")
+        .groupBy(F.col("a").alias("node"))
+        .agg(F.sum("size").alias("linked"))
+    )
+    n_links = F.col("size") - 1 + F.coalesce("linked", F.lit(0))
+    return sizes.join(linked, "node", "left").select(*whole, n_links.alias("n_links"))
 
 
 def _sketched(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:

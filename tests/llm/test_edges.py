@@ -231,6 +231,44 @@ def test_jaccard_equals_brute_force(spark, n, percent):
         assert 100 * len(x & y) >= percent * len(x | y)
 
 
+def test_complete_links_are_all_links(spark, monkeypatch):
+    """Every pair of different sets, also within a component and across blocks; copies count through their set."""
+    import random
+
+    random.seed(8)
+    rows, d = [], 0
+    for size in (30, 60, 120):
+        for _ in range(4):
+            base = [f"w{random.randrange(500)}" for _ in range(size)]
+            for k in range(8):
+                copy = list(base)
+                copy[k * 3] = f"x{k}"
+                rows += [(d + i, " ".join(copy)) for i in range(1 + k % 2)]
+                d += 2
+    rows += [(d, ""), (rows[0][0], rows[0][1]), (None, rows[0][1])]
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got, links = jaccard.link_documents(table, n=1, percent=80, complete=True)
+    sets = {i: brute.shingles(t, 1) for i, t in rows if i is not None}
+    rep = {}
+    for i in sorted(sets):
+        rep.setdefault(sets[i], i)
+
+    def similar(x, y):
+        return bool(x and y) and 100 * len(x & y) >= 80 * len(x | y)
+
+    want = {(a, b) for x, a in rep.items() for y, b in rep.items() if a < b and similar(x, y)}
+    assert len(want) > 300
+    assert bag(map(tuple, links.collect())) == bag(want)
+    alike = brute.components([r for r in rows if r[0] is not None], 1, 80)
+    for r in got.collect():
+        if r.doc_id is None:
+            assert r.n_links is None
+        else:
+            assert (r.n_shingles, r.component_id) == alike[r.doc_id]
+            assert r.n_links == sum(i != r.doc_id and similar(sets[r.doc_id], s) for i, s in sets.items())
+
+
 def test_allocation_keeps_every_link():
     """Leaving out segments and raising others loses no pair that plain indexing finds."""
     import numpy as np
