@@ -7,10 +7,10 @@ step again after an edit, so their walks agree at most steps: edit distance has
 Hamming distance, and hashing a few sampled steps (bit sampling) finds neighbours.
 
 Every benchmark item is indexed from its beginning and from a third and two thirds of
-it, in a size class by the words from there on; a walk for a class is as long as it takes
-to pass a window of that size. Each word of each document starts a window; the walk from
-there serves all classes. ``walks`` independent walks with ``tables`` samples of ``sampled``
-steps each are tried, which sets the recall. What collides is verified exactly: the
+it, a long one at every half window, in a size class by the words from there on, up to
+LONGEST; a walk for a class is as long as it takes to pass a window of that size. Each
+word of each document starts a window. Independent walks with several samples of a few
+steps each are tried, as many as the class needs (EFFORT), which sets the recall. What collides is verified exactly: the
 least edit distance between the item and any stretch of the document near the window,
 at most ``rate`` times the item's words.
 
@@ -46,7 +46,11 @@ MIN_WORDS = 8
 MIN_PART = 12
 BLOCK_WORDS = 1_000_000
 CHUNK = 8192
-MAX_STEPS = 208
+#: Windows are never longer than this class size: longer items are indexed at every half window instead.
+LONGEST = 40
+#: By class size, how many times the walks and the tables of the settings are tried, and how many steps fewer are sampled:
+#: the edits that a short item may have leave a walk fewer steps that agree. Set by the recall measured at the full rate.
+EFFORT = {8: (4, 1, 1), 12: (2.5, 1, 1), 18: (2, 0.6, 1), 27: (2, 0.5, 1), 40: (2, 0.5, 1)}
 
 _words = re.compile(r"\w+").findall
 _word_spans = re.compile(r"\w+").finditer
@@ -106,31 +110,39 @@ class LeakIndex:
         words = [words_of(text) for _, text in items]
         self.number: dict[str, int] = {}
         self.items = [[self.number.setdefault(w, len(self.number) + 1) for w in ws] for ws in words]
+        self.kinds = [frozenset(item) for item in self.items]
         random = np.random.default_rng(settings.seed)
         # Number 0 is any word that no item has, the last one the end of a sequence.
         self.end = len(self.number) + 1
         entries: dict[int, list[tuple[int, int]]] = {}
         for i, item in enumerate(self.items):
             if len(item) >= MIN_WORDS:
-                for offset in sorted({0, len(item) // 3, 2 * len(item) // 3}):
-                    if offset == 0 or len(item) - offset >= MIN_PART:
-                        entries.setdefault(self._class(len(item) - offset), []).append((i, offset))
+                for offset in self._offsets(len(item)):
+                    entries.setdefault(self._class(len(item) - offset), []).append((i, offset))
         self.classes = sorted(entries)
-        # Words without any item that a window may have: for whole items as many as a match may have edits.
+        # Words without any item that a window may have: for whole items as many as a match may have edits, and for
+        # windows of longer ones half as many again as their share.
         self.allowed = {
-            c: max(self._most(c if offset else len(self.items[i])) for i, offset in entries[c]) for c in self.classes
+            c: max(self._most(c if offset else min(len(self.items[i]), c * 3 // 2)) for i, offset in entries[c])
+            for c in self.classes
         }
         self.steps = max((self._steps(c) for c in self.classes), default=0)
-        self.moves = random.integers(0, 2, size=(settings.walks, self.steps, self.end + 1), dtype=np.int32)
+        #: By walk, as many steps as the classes that take it need.
+        self.moves = []
+        for walk in range(max((self._walks(c) for c in self.classes), default=0)):
+            steps = max(self._steps(c) for c in self.classes if walk < self._walks(c))
+            self.moves.append(random.integers(0, 2, size=(steps, self.end + 1), dtype=np.int8))
         #: By class and walk: sampled steps, their factors, a bit per key, the entries by key, the sorted keys.
         self.tables: dict[tuple[int, int], list[tuple]] = {}
         for c in self.classes:
-            for walk in range(settings.walks):
+            for walk in range(self._walks(c)):
                 seen = self._walk_entries(walk, entries[c], self._steps(c))
-                self.tables[c, walk] = [self._table(random, c, seen, entries[c]) for _ in range(settings.tables)]
+                self.tables[c, walk] = [
+                    self._table(random, c, seen, entries[c]) for _ in range(max(1, round(settings.tables * EFFORT[c][1])))
+                ]
 
     def _table(self, random: np.random.Generator, c: int, seen: np.ndarray, entries: list[tuple[int, int]]) -> tuple:
-        steps = self._sample(random, self._steps(c))
+        steps = self._sample(random, self._steps(c), max(1, self.settings.sampled - EFFORT[c][2]))
         factor = random.integers(1, 1 << 62, size=len(steps), dtype=np.int64) | 1
         keys = (seen[steps].astype(np.int64) * factor[:, None]).sum(axis=0)
         at: dict[int, list[tuple[int, int]]] = {}
@@ -147,17 +159,28 @@ class LeakIndex:
     def _class(size: int) -> int:
         """The largest class size not above ``size``: classes grow by half from MIN_WORDS."""
         c = MIN_WORDS
-        while (following := c * 3 // 2) <= size:
+        while (following := c * 3 // 2) <= min(size, LONGEST):
             c = following
         return c
 
+    @staticmethod
+    def _offsets(size: int) -> list[int]:
+        """Where an item's windows begin: thirds, or every half window if it is long."""
+        if size < 2 * LONGEST:
+            starts = {size // 3, 2 * size // 3}
+        else:
+            starts = {*range(0, size - LONGEST + 1, LONGEST // 2), size - LONGEST}
+        return sorted({0} | {s for s in starts if size - s >= MIN_PART})
+
     @staticmethod
     def _steps(size: int) -> int:
-        return min(int(1.6 * size), MAX_STEPS)
+        return int(1.6 * size)
+
+    def _walks(self, c: int) -> int:
+        return max(1, round(self.settings.walks * EFFORT[c][0]))
 
-    def _sample(self, random: np.random.Generator, steps: int) -> np.ndarray:
-        """Sampled steps, one from each part of a random half or more of the walk."""
-        k = self.settings.sampled
+    def _sample(self, random: np.random.Generator, steps: int, k: int) -> np.ndarray:
+        """``k`` sampled steps, one from each part of a random half or more of the walk."""
         width = int(random.integers(max(k, steps // 2), steps + 1))
         first = int(random.integers(0, steps - width + 1))
         edges = first + np.arange(k + 1) * width // k
@@ -167,7 +190,7 @@ class LeakIndex:
         flat, starts = [], []
         for i, offset in entries:
             starts.append(len(flat))
-            flat += self.items[i][offset:] + [self.end] * (steps + 1)
+            flat += self.items[i][offset : offset + steps + 1] + [self.end] * (steps + 1)
         return self._walk(walk, np.array(flat, dtype=np.int32), np.array(starts, dtype=np.int64), steps)
 
     def _walk(self, walk: int, ids: np.ndarray, starts: np.ndarray, steps: int) -> np.ndarray:
@@ -176,7 +199,7 @@ class LeakIndex:
         at = starts.astype(np.int64)
         for j in range(steps):
             np.take(ids, at, out=out[j], mode="clip")
-            at += self.moves[walk, j][out[j]]
+            at += self.moves[walk][j][out[j]]
         return out
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -188,7 +211,7 @@ class LeakIndex:
             places = np.flatnonzero(within <= self.allowed[c])
             for begin in range(0, len(places), CHUNK):
                 part = places[begin : begin + CHUNK]
-                for walk in range(self.settings.walks):
+                for walk in range(self._walks(c)):
                     seen = self._walk(walk, padded, part, self._steps(c))
                     for steps, factor, bits, at, keys in self.tables[c, walk]:
                         key = seen[steps[0]] * factor[0]
@@ -200,12 +223,21 @@ class LeakIndex:
                                 for entry in at[int(key[h])]:
                                     yield (int(part[h]), *entry)
 
+    def _group(self, place: int, item: int, offset: int) -> int:
+        """Beginnings of an item that lie within as many words as it may have edits are verified as one."""
+        return (place - offset) // max(1, self._most(len(self.items[item])))
+
     def verify(self, doc: np.ndarray, place: int, item: int, offset: int) -> tuple[int, int, int] | None:
         """(distance, first word, word after) of the best match of an item near a place in one document; None if too far."""
         pattern = self.items[item]
         most = self._most(len(pattern))
-        low = max(0, place - offset - 2 * most)
-        stretch = doc[low : place - offset + len(pattern) + 2 * most].tolist()
+        # All places of one group look at the same stretch.
+        first = self._group(place, item, offset) * max(1, most)
+        low = max(0, first - 2 * most)
+        stretch = doc[low : max(0, first + len(pattern) + 3 * most)].tolist()
+        # Each word that the stretch lacks takes an edit.
+        if len(self.kinds[item].difference(stretch)) > most:
+            return None
         distance, end = edit_search(pattern, stretch)
         if distance > most:
             return None
@@ -226,9 +258,10 @@ class LeakIndex:
         for place, item, offset in self.candidates(ids):
             n = int(np.searchsorted(starts, place, side="right")) - 1
             local = place - int(starts[n])
-            if (n, item, local - offset) in tried:
+            group = (n, item, self._group(local, item, offset))
+            if group in tried:
                 continue
-            tried.add((n, item, local - offset))
+            tried.add(group)
             old = found[n].get(item)
             if old is not None and old[0] == 0:
                 continue

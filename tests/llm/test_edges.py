@@ -450,6 +450,24 @@ def test_leaks_reach_their_recall():
     assert sum(w in f for w, f in zip(want, found, strict=True)) >= 0.9 * len(want)
 
 
+@pytest.mark.parametrize(("length", "trials"), [(10, 300), (15, 300), (20, 300), (30, 200), (40, 200), (80, 100), (200, 60), (500, 30), (1000, 15)])
+def test_recall_by_length_at_the_full_rate(length, trials):
+    import random
+
+    random.seed(length)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(random.choices(vocabulary, k=length))) for i in range(trials)]
+    index = leaks.LeakIndex(items, leaks.Settings())
+    found = 0
+    for i, item in items:
+        words = item.split()
+        for p in sorted(random.sample(range(length), length // 5), reverse=True):
+            words[p : p + 1] = random.choice([[], [random.choice(vocabulary)], [words[p], random.choice(vocabulary)]])
+        text = " ".join(random.choices(vocabulary, k=40) + words + random.choices(vocabulary, k=40))
+        found += i in {m[0] for m in index.search([text])[0]}
+    assert found >= 0.95 * trials
+
+
 def test_stages_take_odd_documents(spark, docs, clashing, empty):
     sf_dir = "/root/testdata/sf0.001"
     for name, stage in corpus_pipeline.STAGES:
