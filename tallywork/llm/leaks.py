@@ -22,7 +22,8 @@ once, so a benchmark of any size is whole; documents are not shuffled, and a doc
 searched in one task whatever it shares with others.
 
 Defined cases: null and empty texts hold no passage; items of fewer than MIN_WORDS words
-are not searched, since any text has them; repeated items are each found; repeated rows
+are found without loss beside the index, by parts of which one must be whole, so those of one to four words as they are;
+items without words are in no text; in scripts without blanks each character is a word; repeated items are each found; repeated rows
 give equal rows; an empty benchmark or table gives an empty result.
 """
 
@@ -52,8 +53,22 @@ LONGEST = 40
 #: the edits that a short item may have leave a walk fewer steps that agree. Set by the recall measured at the full rate.
 EFFORT = {8: (4, 1, 1), 12: (2.5, 1, 1), 18: (2, 0.6, 1), 27: (2, 0.5, 1), 40: (2, 0.5, 1)}
 
-_words = re.compile(r"\w+").findall
-_word_spans = re.compile(r"\w+").finditer
+#: Scripts written without blanks (Thai, Lao, Burmese, Khmer, kana, Han), as first and last code points.
+_UNSPACED = [(0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+             (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+_python_ranges = "".join(f"{chr(a)}-{chr(b)}" for a, b in _UNSPACED)
+_java_ranges = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _UNSPACED)
+
+# Only to size blocks of items.
+_JAVA_WORD = rf"(?U)[{_java_ranges}]|[\w&&[^{_java_ranges}]]+"
+_plain_word = re.compile(r"\w+")
+_any_word = re.compile(rf"[^\W{_python_ranges}]+|(?=\w)[{_python_ranges}]")
+_beyond = re.compile("[\u0e00-\u17ff\u3040-\U0003ffff]").search
+
+
+def _pattern(text: str) -> re.Pattern:
+    """A word is a run of word characters, or a single one in a script without blanks."""
+    return _plain_word if text.isascii() or not _beyond(text) else _any_word
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,7 +76,8 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     low = text.lower()
-    return _words(low) if len(low) == len(text) else [w.lower() for w in _words(text)]
+    cut = _pattern(text).findall
+    return cut(low) if len(low) == len(text) else [w.lower() for w in cut(text)]
 
 
 def edit_search(pattern: list[int], stretch: list[int]) -> tuple[int, int]:
@@ -119,6 +135,8 @@ class LeakIndex:
             if len(item) >= MIN_WORDS:
                 for offset in self._offsets(len(item)):
                     entries.setdefault(self._class(len(item) - offset), []).append((i, offset))
+        #: By length, the parts of short items: their factors, the entries by key, the sorted keys.
+        self.parts = self._part_tables(np.random.default_rng(settings.seed + 1))
         self.classes = sorted(entries)
         # Words without any item that a window may have: for whole items as many as a match may have edits, and for
         # windows of longer ones half as many again as their share.
@@ -152,6 +170,35 @@ class LeakIndex:
         bits[(keys >> 44) & 0x3FFFF] = True
         return steps, factor, bits, at, np.array(sorted(at), dtype=np.int64)
 
+    def _part_tables(self, random: np.random.Generator) -> dict[int, tuple]:
+        """Items of fewer than MIN_WORDS words, in one part more than a match may have edits: one of them is found as it is."""
+        pieces: dict[int, list[tuple[int, int]]] = {}
+        for i, item in enumerate(self.items):
+            if 0 < len(item) < MIN_WORDS:
+                n = min(self._most(len(item)) + 1, len(item))
+                edges = [len(item) * k // n for k in range(n + 1)]
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    pieces.setdefault(b - a, []).append((i, a))
+        tables = {}
+        for size, entries in sorted(pieces.items()):
+            factor = random.integers(1, 1 << 62, size=size, dtype=np.int64) | 1
+            at: dict[int, list[tuple[int, int]]] = {}
+            for i, a in entries:
+                key = int((np.array(self.items[i][a : a + size], dtype=np.int64) * factor).sum())
+                at.setdefault(key, []).append((i, a))
+            tables[size] = factor, at, np.array(sorted(at), dtype=np.int64)
+        return tables
+
+    def _short_candidates(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(place, item, offset) of the parts of short items."""
+        for size, (factor, at, keys) in self.parts.items():
+            key = np.zeros(max(0, len(ids) - size + 1), dtype=np.int64)
+            for k, f in enumerate(factor):
+                key += ids[k : k + len(key)] * f
+            for h in np.flatnonzero(np.isin(key, keys)).tolist():
+                for entry in at[int(key[h])]:
+                    yield (h, *entry)
+
     def _most(self, size: int) -> int:
         return int(self.settings.rate * size)
 
@@ -204,6 +251,9 @@ class LeakIndex:
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(place, item, offset) of colliding windows of a long sequence, which may hold several documents."""
+        yield from self._short_candidates(ids)
+        if not self.classes:
+            return
         padded = np.concatenate([ids, np.full(max(self.steps, *self.classes) + 1, self.end, dtype=np.int32)])
         foreign = np.concatenate([[0], np.cumsum(padded == 0, dtype=np.int32)])
         for c in self.classes:
@@ -250,7 +300,7 @@ class LeakIndex:
         docs = [np.array([get(w, 0) for w in words_of(t)], dtype=np.int32) for t in texts]
         gap = np.array([self.end], dtype=np.int32)
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        if not docs or not self.classes:
+        if not docs or not (self.classes or self.parts):
             return [[] for _ in texts]
         ids = np.concatenate([x for d in docs for x in (d, gap)])
         starts = np.cumsum([0] + [len(d) + 1 for d in docs])
@@ -297,7 +347,7 @@ def _plain(key, whole_number: bool):
 def _char_span(text: str, first: int, after: int) -> tuple[int, int]:
     """Words to code points."""
     start = end = 0
-    for k, m in enumerate(_word_spans(text)):
+    for k, m in enumerate(_pattern(text).finditer(text)):
         if k == first:
             start = m.start()
         if k == after - 1:
@@ -308,7 +358,7 @@ def _char_span(text: str, first: int, after: int) -> tuple[int, int]:
 
 def _item_blocks(items: DataFrame, key: str, text: str) -> list[DataFrame]:
     """The items in blocks of BLOCK_WORDS words or so, by hash."""
-    size = items.agg(F.coalesce(F.sum(F.regexp_count(F.lower(F.col(text)), F.lit(r"\w+"))), F.lit(0))).first()[0]
+    size = items.agg(F.coalesce(F.sum(F.regexp_count(F.lower(F.col(text)), F.lit(_JAVA_WORD))), F.lit(0))).first()[0]
     n = -(-2 * int(size) // BLOCK_WORDS) if size > BLOCK_WORDS else 1
     chosen = items.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     return [chosen.where(F.pmod(F.xxhash64("key", "text"), F.lit(n)) == b) for b in range(n)]

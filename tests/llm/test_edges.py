@@ -468,6 +468,26 @@ def test_recall_by_length_at_the_full_rate(length, trials):
     assert found >= 0.95 * trials
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    han = "我们昨天在河边看见一只小船慢慢地向北方驶去"
+    given = [(1, "Blue whale"), (2, "one two three four five six seven"), (3, han), (4, "红船"), (5, "word"), (6, "?!")]
+    items = spark.createDataFrame(given, "item_id int, text string")
+    texts = [
+        (1, "a BLUE, whale swims"), (2, "blue sea, whale"), (3, "zero one two three changed five six seven"), (4, "one two five six seven"),
+        (5, f"他说{han[:8]}大{han[9:]}。"), (6, "红色的船"), (7, "那红船"), (8, "one two three four five six seven eight"),
+        (9, "two three four five six seven"), (10, "swordfish"), (11, "whale blue"), (12, "word"), (13, None), (14, ""),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = leaks.find_leaks(docs, items, ["doc_id"]).collect()
+    got = {(r.doc_id, r.item_id, r.distance) for r in rows}
+    assert got == {(1, 1, 0), (3, 2, 1), (5, 3, 1), (7, 4, 0), (8, 2, 0), (9, 2, 1), (12, 5, 0)}
+    (whale,) = [r for r in rows if r.doc_id == 1]
+    assert texts[0][1][whale.start : whale.end] == "BLUE, whale"
+    (boat,) = [r for r in rows if r.doc_id == 7]
+    assert texts[6][1][boat.start : boat.end] == "红船"
+    assert {r.doc_id for r in leaks.drop_leaking(docs, items).collect()} == {2, 4, 6, 10, 11, 13, 14}
+
+
 def test_stages_take_odd_documents(spark, docs, clashing, empty):
     sf_dir = "/root/testdata/sf0.001"
     for name, stage in corpus_pipeline.STAGES:
