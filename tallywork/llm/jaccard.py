@@ -396,6 +396,14 @@ def link_documents(
     are all pairs of different sets that reach the threshold, each set under its smallest id, and the rows have
     n_links too: how many other documents, known by id and set, are similar, copies among them.
     """
+    rows, links = _linked(docs, text, key, n, percent, complete)
+    return rows.drop("h1", "h2"), links
+
+
+def _linked(
+    docs: DataFrame, text: str, key: str, n: int, percent: int, complete: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``link_documents``, with the two hashes of each row's set."""
     indexed = store(index_sets(docs, text, key, n, percent, {}), "jaccard-index")
     classes = Classes.of(indexed)
 
@@ -488,7 +496,7 @@ def link_documents(
         .join(named.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b")
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     )
-    wanted = [F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")]
+    wanted = [F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), "h1", "h2"]
     if complete:
         rows = rows.join(_link_counts(indexed, classes, links), ["n", "h1", "h2"], "left")
         wanted.append(F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))
@@ -533,20 +541,44 @@ def _sketched(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _with_sets(docs: DataFrame, text: str, n: int, percent: int, names: list[str]) -> DataFrame:
+    """``docs`` with the size and the two hashes of each row's set, in columns of these names."""
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(name, T.LongType()) for name in names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, _ = _tools(n, percent)
+        for batch in slices(batches):
+            found = [shingles(v.as_py()) for v in batch.column(text).cast(pa.binary())]
+            whole = [(len(s), *set_hashes(s)) for s in found]
+            added = [pa.array([w[i] for w in whole], pa.int64()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3, percent: int = 90) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Of repeated rows one stays."""
-    rows, _ = link_documents(docs, text, key, n, percent)
+    """``docs`` with one document of each component: the one with the smallest id. Of repeated rows one stays.
+
+    Rows with an id that occurs again are judged each by its own text.
+    """
+    rows, _ = _linked(docs, text, key, n, percent)
     rows = store(rows, "jaccard-rows")
-    others = store(rows.where(F.col(key) != F.col("component_id")).select(key).distinct(), "jaccard-others")
-    kept = docs.join(_bounded(others), key, "left_anti").select(*docs.columns)
+    others = store(
+        rows.where(F.col(key) != F.col("component_id")).select(key, "n_shingles", "h1", "h2").distinct(), "jaccard-others"
+    )
     again = store(
         rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key),
         "jaccard-again",
     )
     if again.isEmpty():
-        return kept
+        return docs.join(_bounded(others.select(key)), key, "left_anti").select(*docs.columns)
+    once = docs.join(_bounded(again), key, "left_anti").join(_bounded(others.select(key).distinct()), key, "left_anti")
     # Rows with an id that occurs again: one of each text. The row number is limited before the shuffle.
+    whole = [free_name(name, docs.columns) for name in ("n__", "h1__", "h2__")]
+    gone = others.join(_bounded(again), key, "left_semi").toDF(key, *whole)
+    repeated = _with_sets(docs.join(_bounded(again), key, "left_semi").select(*docs.columns), text, n, percent, whole)
+    left = repeated.join(_bounded(gone), [key, *whole], "left_anti")
     place = free_name("place", docs.columns)
     order = Window.partitionBy(key, F.xxhash64(text)).orderBy(F.lit(0))
-    first = kept.join(_bounded(again), key, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
-    return kept.join(_bounded(again), key, "left_anti").unionByName(first.drop(place)).select(*docs.columns)
+    first = left.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return once.select(*docs.columns).unionByName(first.select(*docs.columns))

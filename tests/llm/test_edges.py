@@ -269,6 +269,12 @@ def test_complete_links_are_all_links(spark, monkeypatch):
             assert r.n_links == sum(i != r.doc_id and similar(sets[r.doc_id], s) for i, s in sets.items())
 
 
+def test_a_repeated_id_loses_only_its_copies(spark):
+    rows = [(3, PROSE), (5, PROSE), (5, OTHER), (5, OTHER), (6, LEAK), (7, OTHER), (8, ""), (8, LEAK), (None, PROSE)]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag(map(tuple, kept)) == bag([(3, PROSE), (5, OTHER), (6, LEAK), (8, ""), (None, PROSE)])
+
+
 def test_allocation_keeps_every_link():
     """Leaving out segments and raising others loses no pair that plain indexing finds."""
     import numpy as np
