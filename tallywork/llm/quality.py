@@ -111,7 +111,7 @@ def count_text(text: str | None) -> tuple[int, ...]:
         int((ids[1:] == ids[:-1]).sum()),
         len(number),
         sum(map(bool, map(_symbol, words))) if symbols else 0,
-        sum(map(str.isupper, words)) if 5 * capitals > letters else 0,
+        sum(map(str.isupper, words)) if capitals else 0,
     )
 
 

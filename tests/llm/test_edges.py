@@ -154,6 +154,13 @@ def test_base_counts(text):
     assert quality.count_text(text)[:5] == brute.base_counts(text)
 
 
+def test_upper_words_count_however_few_capitals(spark):
+    text = " ".join(["A", "internationalisation"] * 20 + ["B"] * 5)
+    (row,) = quality.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert (row.n_upper_words, row.vote_shouted_words) == (25, -1)
+    assert quality.count_text("ab CD Ef")[-1] == 1 and quality.count_text("ab cd")[-1] == 0
+
+
 def test_toxicity_finds_the_sentence(spark):
     clean = [f"Sentence {i} is calm. Nothing here offends anyone at all. Number {i}." for i in range(60)]
     toxic = [t + f" You are a moron {i}. All is well." for i, t in enumerate(clean)]
