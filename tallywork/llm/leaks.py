@@ -166,8 +166,9 @@ class LeakIndex:
         at: dict[int, list[tuple[int, int]]] = {}
         for key, entry in zip(keys.tolist(), entries, strict=True):
             at.setdefault(key, []).append(entry)
-        bits = np.zeros(1 << 18, dtype=bool)
-        bits[(keys >> 44) & 0x3FFFF] = True
+        # By a few bits of the key, 64 for each entry or so, whether it can be one of the keys.
+        bits = np.zeros(min(1 << 18, max(1 << 12, 1 << (64 * len(entries)).bit_length())), dtype=bool)
+        bits[(keys >> 44) & (len(bits) - 1)] = True
         return steps, factor, bits, at, np.array(sorted(at), dtype=np.int64)
 
     def _part_tables(self, random: np.random.Generator) -> dict[int, tuple]:
@@ -267,7 +268,7 @@ class LeakIndex:
                         key = seen[steps[0]] * factor[0]
                         for s, f in zip(steps[1:], factor[1:], strict=True):
                             key += seen[s] * f
-                        hit = np.flatnonzero(bits[(key >> 44) & 0x3FFFF])
+                        hit = np.flatnonzero(bits[(key >> 44) & (len(bits) - 1)])
                         if len(hit):
                             for h in hit[np.isin(key[hit], keys)].tolist():
                                 for entry in at[int(key[h])]:
