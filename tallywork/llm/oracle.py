@@ -2,12 +2,14 @@
 
 Left out, and tested against brute force, round trips or held-out labels instead: vector
 packing (op1), fitted models (op3, op4, op5), byte-level BPE (op6), edit distance to the
-stretches of a text (op10), and the pipeline, which needs two of them.
+stretches of a text (op10), XXH64 fingerprints (op11), and the pipeline, which needs two of them.
 """
 
 from __future__ import annotations
 
+from tallywork.llm.divergence import ADDED, MIN_DOCS, SCALE, TOP
 from tallywork.llm.lines import MIN_SITES
+from tallywork.llm.merkle import FANOUT, FIELDS
 from tallywork.llm.secrets import BASE_RULES, RULES
 
 # A line's text without outer blanks, the sites of each such line, and the document that keeps it.
@@ -105,9 +107,105 @@ _LEDGER = (
     + ", sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts LEFT JOIN listed USING (row_id)"
 )
 
+def _share(n: str, total: str) -> str:
+    return f"CASE WHEN kept > 0 THEN 1 + ({SCALE}::HUGEINT * ({n} + {ADDED})) // ({total} + {ADDED} * kept) ELSE 0 END"
+
+
+_AUDIT = f"""
+WITH docs AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+found AS (
+    SELECT row_id, lang, source,
+           unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM docs),
+terms AS (
+    SELECT lang, term, count(*) AS lang_n FROM found GROUP BY lang, term HAVING count(DISTINCT row_id) >= {MIN_DOCS}),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN terms USING (lang, term) GROUP BY ALL),
+langs AS (
+    SELECT d.lang, count(t.term) AS kept, coalesce(sum(lang_n), 0) AS lang_total
+    FROM (SELECT DISTINCT lang FROM docs) d LEFT JOIN terms t USING (lang) GROUP BY d.lang),
+sources AS (
+    SELECT d.lang, d.source, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) d LEFT JOIN counts c USING (lang, source) GROUP BY d.lang, d.source),
+full_grid AS (
+    SELECT s.lang, s.source, t.term, coalesce(c.n, 0) AS n,
+           {_share("coalesce(c.n, 0)", "total")} AS p, {_share("lang_n", "lang_total")} AS q
+    FROM sources s JOIN langs USING (lang) JOIN terms t USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, 'pair' AS part, 0::HUGEINT AS value
+    FROM sources a JOIN sources b USING (lang) WHERE a.source <> b.source
+    UNION ALL
+    SELECT a.lang, a.source, b.source, 'pair', ((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)
+    FROM full_grid a JOIN full_grid b USING (lang, term) WHERE a.source <> b.source),
+items AS (
+    SELECT lang, source, part, item, sum(value) AS value FROM pairs GROUP BY ALL
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM full_grid WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM items QUALIFY part = 'pair' OR rank <= {TOP}
+"""
+
+# CRC-32 of the decimal id, bit by bit, with the polynomial in reversed form.
+_CRC32 = """xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, z: xor(d >> 1, (d & 1) * 3988292384))))"""
+
+
+def _leaf(text: str) -> str:
+    """A leaf's digest, with another text in the place of its own."""
+    fields = [text if field == "text" else field for field in FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+
+_MANIFEST = f"""
+WITH RECURSIVE rows_ AS (
+    SELECT row_number() OVER () AS row_id, doc_id, coalesce('=' || source, '-') AS g,
+           {_leaf("text")} AS leaf,
+           CASE WHEN {_CRC32} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS tampered
+    FROM documents),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS place,
+           count(*) OVER (PARTITION BY g) AS n FROM rows_),
+tree AS (
+    SELECT g, 0 AS level, place, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT g, level + 1, place // {FANOUT}, (n + {FANOUT} - 1) // {FANOUT}, sha256(string_agg(h, '' ORDER BY place)) FROM tree WHERE n > 1
+    GROUP BY g, level, place // {FANOUT}, n),
+tops AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown AS (
+    SELECT 0 AS level, place, n, h FROM tops
+    UNION ALL
+    SELECT level + 1, place // {FANOUT}, (n + {FANOUT} - 1) // {FANOUT}, sha256(string_agg(h, '' ORDER BY place)) FROM crown WHERE n > 1
+    GROUP BY level, place // {FANOUT}, n),
+steps AS (
+    SELECT a.g, a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l,
+           coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+    FROM tree a JOIN tree b ON a.g = b.g AND a.level = b.level AND a.place // {FANOUT} = b.place // {FANOUT} WHERE a.n > 1 GROUP BY ALL),
+crown_steps AS (
+    SELECT a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS l,
+           coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS r
+    FROM crown a JOIN crown b ON a.level = b.level AND a.place // {FANOUT} = b.place // {FANOUT} WHERE a.n > 1 GROUP BY ALL),
+climb AS (
+    SELECT row_id, g, 0 AS level, place, coalesce(tampered, leaf) AS h, '' AS proof FROM leaves
+    UNION ALL
+    SELECT c.row_id, c.g, c.level + 1, c.place // {FANOUT}, sha256(l || c.h || r), proof || l || r
+    FROM climb c JOIN steps s ON c.g = s.g AND c.level = s.level AND c.place = s.place),
+reached AS (
+    SELECT row_id, 0 AS level, t.place, c.h, proof FROM climb c JOIN tops t USING (g)
+    WHERE (g, level) IN (SELECT g, max(level) FROM tree GROUP BY g)
+    UNION ALL
+    SELECT c.row_id, c.level + 1, c.place // {FANOUT}, sha256(l || c.h || r), proof || l || r
+    FROM reached c JOIN crown_steps s ON c.level = s.level AND c.place = s.place),
+root AS (SELECT level, h FROM crown WHERE n = 1)
+SELECT doc_id, leaf, t.h AS subroot, root.h AS root, sha256(proof) AS proof_sha256, r.h AS folded_root, r.h = root.h AS verified
+FROM leaves JOIN tops t USING (g) JOIN reached r USING (row_id) JOIN root ON r.level = root.level
+"""
+
 ORACLE: dict[str, str] = {
     "op2_site_spread": _SITE_SPREAD,
     "op7_universe_partition": _JACCARD,
     "op8_prefix_targets": _PREFIX_TARGETS,
     "op9_blob_ledger": _LEDGER,
+    "op12_length_bucketed_audit": _AUDIT,
+    "op13_slot_pivot_manifest": _MANIFEST,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import bpe, chat, jaccard, leaks, lines, quality, secrets, sharding, toxicity, urls
+from tallywork.llm import bpe, chat, divergence, jaccard, leaks, lines, merkle, quality, secrets, sharding, simhash, toxicity, urls
 from tallywork.llm.common import reach_workers, sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,18 @@ def op7_universe_partition(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows, _ = jaccard.link_documents(docs, n=3, percent=90)
     return rows
+
+
+@query
+def op11_tiled_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, radius=3)
+
+
+@query
+def op12_length_bucketed_audit(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query
+def op13_slot_pivot_manifest(spark, sf_dir):
+    return merkle.prove_documents(table(spark, sf_dir, "documents"))

@@ -4,6 +4,8 @@ import collections
 import hashlib
 import re
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASSIGN = r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KINDS = [("assign", ASSIGN, 1, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16)]
@@ -113,3 +115,45 @@ def url_rule(host, path, rules):
     return max(fitting)[1:] if fitting else (None, None)
 
 
+
+
+def simhash(text, words=3):
+    found = [w.encode() for w in WORD.findall(text or "")]
+    found = [bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in found]
+    grams = [b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))] if found else []
+    hashes = [xxhash.xxh64_intdigest(g, seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_components(rows, radius=3):
+    """One (id, fingerprint, component) for each of the rows (id, text)."""
+    prints = [simhash(t) for _, t in rows]
+    root = {p: p for p in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in root:
+        for b in root:
+            if (a ^ b).bit_count() <= radius:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    smallest = {}
+    for (d, _), p in zip(rows, prints, strict=True):
+        if d is not None:
+            smallest[find(p)] = min(d, smallest.get(find(p), d))
+    return [(d, f"{p:016x}", smallest.get(find(p))) for (d, _), p in zip(rows, prints, strict=True)]
+
+
+def term_counts(rows):
+    """{(lang, source, term): [occurrences, documents]} of rows (lang, source, text)."""
+    counts = collections.defaultdict(lambda: [0, 0])
+    for lang, source, text in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low)
+        for term, n in collections.Counter(found).items():
+            counts[lang or "", source or "", term][0] += n
+            counts[lang or "", source or "", term][1] += 1
+    return {k: tuple(v) for k, v in counts.items()}

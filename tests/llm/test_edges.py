@@ -13,7 +13,21 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
-from tallywork.llm import bpe, chat, jaccard, leaks, lines, quality, secrets, sharding, toxicity, urls  # noqa: E402
+from tallywork.llm import (  # noqa: E402
+    bpe,
+    chat,
+    divergence,
+    jaccard,
+    leaks,
+    lines,
+    merkle,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+)
 from tallywork.llm.components import components  # noqa: E402
 
 PROSE = "the quick brown fox jumps over the lazy dog and then it walks home through a quiet forest near the river bank."
@@ -42,7 +56,8 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use themselves.
 CLASHES = (
     "id key size shard slot line site sites first n n_words kept quality base_failed vote_symbols ids decoded score offending host path "
-    "rule verdict block_probability blob spans content component_id a b label place row n_lines n_removed bad__ whole__ id__ text_crc32"
+    "rule verdict block_probability blob spans content component_id a b label place row n_lines n_removed bad__ whole__ id__ text_crc32 "
+    "print fingerprint tile block prints term docs rank value part item p q g h leaf tampered root subroot c0 _at _part _salt"
 ).split()
 
 
@@ -81,6 +96,9 @@ OPERATORS = {
     "jaccard": lambda spark, d: jaccard.link_documents(d)[0],
     "secrets": lambda spark, d: secrets.scan(d, ["doc_id"])[0],
     "leaks": lambda spark, d: leaks.find_leaks(d, spark.createDataFrame(ITEMS, "item_id int, text string"), ["doc_id"]),
+    "simhash": lambda spark, d: simhash.near_duplicates(d),
+    "divergence": lambda spark, d: divergence.audit(d, min_docs=2),
+    "merkle": lambda spark, d: merkle.prove_documents(d),
     "drop_leaking": lambda spark, d: leaks.drop_leaking(d, spark.createDataFrame(ITEMS, "item_id int, text string")),
 }
 

@@ -49,7 +49,7 @@ def rows_of(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -179,3 +179,9 @@ def test_pipeline_equals_brute_force(spark, duck, docs, coding):
     for d, ids in want.items():
         assert got[d].ids == ids
         assert got[d].decoded_sha256 == brute.sha(texts[d])
+
+
+def test_op11_equals_brute_force(spark, docs):
+    rows = rows_of(spark, "op11_tiled_simhash")
+    want = brute.simhash_components([(d, t) for d, t, _ in docs])
+    assert collections.Counter(map(tuple, rows)) == collections.Counter(want)
