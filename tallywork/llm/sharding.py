@@ -1,19 +1,22 @@
 """Shards balanced in bytes, tokens and rows at once, by vector bin packing.
 
 Rows with equal texts form a group and stay together as far as the balance allows. A
-group has a vector (bytes, tokens, rows). Groups are placed one after the other, the
-heaviest first, each in the shard whose residual capacity has the highest dot product
-with the group's vector, among the shards that still have room for its bytes.
+group has a vector (bytes, tokens, rows). Groups are placed one after the other, the one with
+the largest share of a shard in any dimension first, each in the shard whose residual capacity
+has the highest dot product with the group's vector, among the shards that have room for it in
+all three dimensions; if none has, in the one that it overfills least. What is
+left uneven by then is evened out by exchanges: two shards swap an item each, or one gives
+one away, as long as that lowers the sum of squared deviations, in which bytes weigh most.
 
 What is placed is bounded, whatever the corpus: a group that is heavier than a shard
 divided by ``fine`` is an item of its own (there are fewer than shards * fine of them),
-the others are bundled by a hash of the text into shards * fine bundles, and a group
-heavier than a whole shard is split by row into pieces of half a shard, since no placement
-could balance it whole. Only the items' sums come to the driver; rows never do. The
-last, lightest items fill the gaps, so bytes differ by about one part in ``fine``.
+the others are bundled by a hash of the text into shards * fine bundles, which are placed like
+groups, and a group heavier than a whole shard is split by row into pieces of half a shard, since no
+placement could balance it whole. Only the items' sums come to the driver; rows never do.
 
 Slots are counted per piece of an item, so no task numbers more rows than
-``slot_rows`` or so, however many rows a shard has.
+``slot_rows`` or so, however many rows a shard has. Pieces and parts are dealt by row, so
+rows that all have one key and one text are split as well.
 
 Defined cases: a null text has size 8 and no tokens, and forms one group with the other
 null texts; repeated rows are placed and numbered one by one; an empty table gives an
@@ -29,25 +32,68 @@ from pyspark.sql import functions as F
 from tallywork.llm.common import WORD, store, utf8_bytes
 
 ROW_BYTES = 8
+#: In exchanges: the weight of a deviation in bytes, tokens and rows, the gain below which none is made, and how many
+#: there are at most for each shard; pairs of items are looked at in blocks of so many rows.
+DIMENSION_WEIGHTS, LEAST_GAIN, EXCHANGES, PAIR_ROWS = (5.0, 1.0, 1.0), 1e-12, 50, 512
 OUTPUT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def dot_product_packing(items: np.ndarray, shards: int) -> np.ndarray:
-    """A shard for each row of ``items`` (bytes, tokens, rows), which come heaviest first."""
+    """A shard for each row of ``items`` (bytes, tokens, rows)."""
     total = items.sum(axis=0)
-    scale = np.where(total > 0, total / shards, 1.0)  # capacity of a shard in each dimension
+    shares = items / np.where(total > 0, total / shards, 1.0)  # of the capacity of a shard
     load = np.zeros((shards, items.shape[1]))
     placed = np.zeros(len(items), dtype=np.int64)
-    for i, item in enumerate(items / scale):
-        residual = 1.0 - load
-        room = residual[:, 0] >= item[0]
+    for i in np.argsort(-shares.max(axis=1, initial=0), kind="stable"):
+        item, residual = shares[i], 1.0 - load
+        room = (residual >= item).all(axis=1)
         if room.any():
-            fit = np.where(room, residual @ item, -np.inf)
-            best = int(fit.argmax())
+            best = int(np.where(room, residual @ item, -np.inf).argmax())
         else:
-            best = int(residual[:, 0].argmax())
+            best = int((load + item).max(axis=1).argmin())
         load[best] += item
         placed[i] = best
+    return exchanged(shares, placed, shards)
+
+
+def exchanged(shares: np.ndarray, placed: np.ndarray, shards: int, weights: tuple[float, ...] = DIMENSION_WEIGHTS) -> np.ndarray:
+    """The placement after exchanges between the most uneven shards and those that are uneven the other way.
+
+    At most EXCHANGES for each shard; an exchange looks at all pairs of items of two shards, in blocks.
+    """
+    shares, placed = shares * weights, placed.copy()
+    sums = [np.bincount(placed, weights=shares[:, k], minlength=shards) for k in range(shares.shape[1])]
+    off = np.stack(sums, axis=1) - shares.sum(axis=0) / shards
+
+    def exchange(a: int, b: int) -> bool:
+        """The best exchange between two shards, if any lowers the squares."""
+        of_a, of_b = np.flatnonzero(placed == a), np.flatnonzero(placed == b)
+        gives, takes = (np.vstack([shares[of], np.zeros(shares.shape[1])]) for of in (of_a, of_b))  # zeros: nothing
+        apart = off[a] - off[b]
+        # Moving d from a to b changes the sum of squares by 2 |d|^2 - 2 d (off[a] - off[b]), with d = give - take.
+        cost_b = (takes * takes).sum(axis=1) + takes @ apart
+        least, best = -LEAST_GAIN, None
+        for begin in range(0, len(gives), PAIR_ROWS):
+            part = gives[begin : begin + PAIR_ROWS]
+            change = ((part * part).sum(axis=1) - part @ apart)[:, None] + cost_b - 2 * part @ takes.T
+            at = int(change.argmin())
+            if change.flat[at] < least:
+                least, best = change.flat[at], (begin + at // len(takes), at % len(takes))
+        if best is None:
+            return False
+        i, j = best
+        off[a] -= gives[i] - takes[j]
+        off[b] += gives[i] - takes[j]
+        if i < len(of_a):
+            placed[of_a[i]] = b
+        if j < len(of_b):
+            placed[of_b[j]] = a
+        return True
+
+    for _ in range(EXCHANGES * shards):
+        uneven = np.argsort(-(off * off).sum(axis=1), kind="stable")[:3]
+        if not any(exchange(a, b) for a in uneven for b in np.argsort(off @ off[a], kind="stable")[:4] if a != b):
+            break
     return placed
 
 
@@ -68,7 +114,7 @@ def shard_documents(
             F.coalesce(F.crc32(value.cast("binary")), F.lit(0)).cast("long").alias("crc"),
             F.coalesce(F.regexp_count(value, F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
             F.xxhash64(value).alias("content"),
-            F.hash(F.col(key)).alias("salt"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shard-rows",
     )
@@ -98,10 +144,9 @@ def shard_documents(
         "size",
         "crc",
         "tokens",
-        "salt",
+        "row",
         F.when(F.col("pieces").isNull(), F.pmod("content", F.lit(bundles)))
-        .otherwise(F.lit(bundles) + F.pmod(F.xxhash64("content", "size", "crc"), F.lit(1 << 40)) * 64
-                   + F.pmod(F.xxhash64("key", F.lit(1)), F.col("pieces")))
+        .otherwise(F.xxhash64("content", "size", "crc", F.pmod(F.xxhash64("row"), F.col("pieces"))))
         .alias("item"),
     )
     sums = (
@@ -117,7 +162,7 @@ def shard_documents(
         "item long, shard int, parts int",
     )
     chunked = located.join(F.broadcast(plan), "item").select(
-        "key", "size", "crc", "shard", "item", F.pmod("salt", F.col("parts")).alias("part")
+        "key", "size", "crc", "row", "shard", "item", F.pmod(F.xxhash64("row", F.lit(1)), F.col("parts")).alias("part")
     )
     chunk = ["shard", "item", "part"]
     # Counts per chunk come to one window per shard: as many rows as the shard has chunks.
@@ -127,7 +172,7 @@ def shard_documents(
         .agg(F.count(F.lit(1)).alias("n"))
         .select(*chunk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
     )
-    within = Window.partitionBy(*chunk).orderBy("key", "crc", "size")
+    within = Window.partitionBy(*chunk).orderBy("key", "crc", "size", "row")
     return (
         chunked.withColumn("place", F.row_number().over(within))
         .join(offsets, chunk)
