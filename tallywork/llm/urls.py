@@ -62,10 +62,10 @@ def features(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
 
     def grams(text: Column, mark: str, n: int) -> Column:
         marked = F.concat(F.lit("^"), text, F.lit("$"))
-        starts = F.sequence(F.lit(1), F.greatest(F.char_length(marked) - (n - 1), F.lit(1)))
-        return F.transform(
-            starts, lambda i: F.pmod(F.xxhash64(F.lit(mark), F.substr(marked, i, F.lit(n))), F.lit(buckets)).cast("int")
-        )
+        # One pass for any length; a gram never begins inside a character of two UTF-16 units.
+        every = F.regexp_extract_all(marked, F.lit(rf"(?s)(?=([^\x{{D800}}-\x{{DFFF}}].{{{n - 1}}}))"), F.lit(1))
+        found = F.when(F.char_length(marked) < n, F.array(marked)).otherwise(every)
+        return F.transform(found, lambda g: F.pmod(F.xxhash64(F.lit(mark), g), F.lit(buckets)).cast("int"))
 
     return F.array_distinct(F.concat(*(grams(c, m, n) for c, m in ((host, "h"), (path, "p")) for n in GRAMS)))
 
