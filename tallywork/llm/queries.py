@@ -103,8 +103,12 @@ def op8_prefix_targets(spark, sf_dir):
 
 @query
 def op9_blob_ledger(spark, sf_dir):
+    """Two steps of the ledger: the base rules, then five more as a version of their own, which scans no base rule again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found, _ = secrets.scan(docs, ["doc_id"])
+    _, ledger = secrets.scan(docs, ["doc_id"], rules=secrets.BASE_RULES, rules_version=secrets.BASE_VERSION)
+    found, _ = secrets.scan(
+        docs, ["doc_id"], "text", ledger, secrets.MORE_RULES, secrets.MORE_VERSION, with_versions=(secrets.BASE_VERSION,)
+    )
     base = [rule.kind for rule in secrets.BASE_RULES]
     of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return found.select(

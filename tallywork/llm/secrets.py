@@ -2,14 +2,15 @@
 
 Every version of every path is addressed by the SHA-256 of its whole content. A ledger
 says which (blob, rules version) pairs have been scanned and what was found. A scan
-reads one row per blob that the ledger lacks for the wanted rules, appends what it
-found, and joins all findings of the blobs back to every path that has them. Copies are
-therefore scanned once, and a new version of the rules scans all blobs once more.
+reads one row per blob that the ledger lacks for the wanted rules, gives back what it
+found as rows to append to the ledger, and joins all findings of the blobs back to every path that
+has them. Copies are therefore scanned once, and a new set of rules scans all blobs once more, for these
+rules only: findings of several versions are read from the ledger together.
 
 Spans come from Spark's own regular expressions: the matches of a pattern and the gaps
-between them alternate, so running sums of their lengths are the places, in code points,
-end exclusive. A match can be dropped only after it was found (its group too short), so
-that it still uses up its text.
+between them alternate, so running sums of their lengths, a window over the matches of one rule in one
+blob, are the places, in code points, end exclusive. A match can be dropped only after it
+was found (its group too short), so that it still uses up its text.
 
 Defined cases: null content is the empty blob; repeated rows get the same findings
 each; an empty table gives an empty result; rules without a match give empty lists;
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.llm.common import store
@@ -56,14 +57,14 @@ MORE_RULES = (
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{20,}"),
 )
 RULES = BASE_RULES + MORE_RULES
-RULES_VERSION = "base3+more5"
+BASE_VERSION, MORE_VERSION, RULES_VERSION = "base3", "more5", "base3+more5"
 LEDGER = "blob string, rules string, spans array<struct<kind:string,start:long,end:long>>"
 
 _NO_SPANS = "CAST(array() AS array<struct<kind:string,start:long,end:long>>)"
 
 
-def rule_spans(text: Column, rule: Rule) -> Column:
-    """All spans of one rule in a text, as an array of (kind, start, end)."""
+def _lengths(text: Column, rule: Rule) -> Column:
+    """For each match of a rule the code points of the gap before it, of the match, and of the part that counts."""
     pattern = F.lit(rule.pattern)
     gaps = F.split(text, rule.pattern, -1)
     found = F.arrays_zip(
@@ -71,31 +72,33 @@ def rule_spans(text: Column, rule: Rule) -> Column:
         F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("part"),
     )
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.expr(_NO_SPANS).alias("spans"))
+    lengths = F.transform(found, lambda x: F.struct(*(F.char_length(x[c]).cast("long").alias(c) for c in ("gap", "hit", "part"))))
+    return F.when(F.regexp_like(text, pattern), lengths)
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["hit"])
-        span = F.struct(F.lit(rule.kind).alias("kind"), start.cast("long").alias("start"), end.cast("long").alias("end"))
-        return F.struct(
-            end.cast("long").alias("at"),
-            F.when(F.char_length(x["part"]) >= rule.least, F.concat(state["spans"], F.array(span)))
-            .otherwise(state["spans"])
-            .alias("spans"),
-        )
 
-    spans = F.aggregate(found, empty, step)["spans"]
-    return F.when(F.regexp_like(text, pattern), spans).otherwise(F.expr(_NO_SPANS))
+def blob_spans(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, spans) of the blobs (blob, content) with findings: by start, then by the order of the rules, then by end.
 
-
-def text_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    return F.concat(*(rule_spans(text, rule) for rule in rules))
+    Work and memory grow with the matches: each is a row, and only those of one rule in one blob are summed up in order.
+    """
+    per_rule = F.array(*(F.struct(F.lit(i).alias("rule"), _lengths(F.col("content"), rule).alias("hits")) for i, rule in enumerate(rules)))
+    with_hits = blobs.select("blob", F.explode(F.filter(per_rule, lambda r: r["hits"].isNotNull())).alias("r"))
+    hits = with_hits.select("blob", "r.rule", F.posexplode("r.hits").alias("number", "hit"))
+    upto = Window.partitionBy("blob", "rule").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("hit.gap") + F.col("hit.hit")).over(upto)
+    least = F.element_at(F.array(*(F.lit(rule.least) for rule in rules)), F.col("rule") + 1)
+    kind = F.array(*(F.lit(rule.kind) for rule in rules))
+    placed = hits.withColumn("end", end).where(F.col("hit.part") >= least)
+    span = F.struct((F.col("end") - F.col("hit.hit")).alias("start"), "rule", "end")
+    listed = placed.groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("found"))  # the findings of one text
+    named = lambda s: F.struct(F.get(kind, s["rule"]).alias("kind"), s["start"], s["end"])
+    return listed.select("blob", F.transform("found", named).alias("spans"))
 
 
 def ordered(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """By start, then by the order of the rules, then by end."""
-    place = F.create_map(*(x for i, rule in enumerate(rules) for x in (F.lit(rule.kind), F.lit(i))))
-    keyed = F.transform(spans, lambda s: F.struct(s["start"], place[s["kind"]].alias("rule"), s["end"], s["kind"].alias("kind")))
+    kinds = F.array(*(F.lit(rule.kind) for rule in rules))
+    keyed = F.transform(spans, lambda s: F.struct(s["start"], F.array_position(kinds, s["kind"]).alias("rule"), s["end"], s["kind"].alias("kind")))
     return F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"], s["start"], s["end"]))
 
 
@@ -115,14 +118,16 @@ def scan(
     ledger: DataFrame | None = None,
     rules: tuple[Rule, ...] = RULES,
     rules_version: str = RULES_VERSION,
+    with_versions: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """All paths with their findings, and the new rows for the ledger (LEDGER), already stored.
 
-    ``path`` names the columns that tell versions apart.
+    ``path`` names the columns that tell versions apart. Findings of the rules versions ``with_versions``, which
+    the ledger has from earlier scans, are listed together with those of ``rules_version``.
     """
     spark = versions.sparkSession
-    seen = spark.createDataFrame([], LEDGER) if ledger is None else ledger
-    seen = seen.where(F.col("rules") == rules_version)
+    known = spark.createDataFrame([], LEDGER) if ledger is None else ledger
+    seen = known.where(F.col("rules") == rules_version)
     paths = store(address(versions, path, content), "secret-paths")
     # One row per blob: any of its paths will do, so the smallest. Counted map side first, however many copies.
     one = paths.groupBy("blob").agg(F.min(F.struct(*path)).alias("at"))
@@ -134,15 +139,20 @@ def scan(
     chosen = F.col("blob") == F.col("blob_")
     for i, c in enumerate(path):
         chosen &= F.col(c).eqNullSafe(F.col(f"at_{i}"))
+    once = read.join(unseen, chosen, "left_semi").select("blob", "content").dropDuplicates(["blob"])
+    found = blob_spans(once, rules)
     new = store(
-        read.join(unseen, chosen, "left_semi")
-        .select("blob", F.lit(rules_version).alias("rules"), text_spans(F.col("content"), rules).alias("spans"))
-        .dropDuplicates(["blob", "rules"]),
+        unseen.select(F.col("blob_").alias("blob"))
+        .join(found, "blob", "left")
+        .select("blob", F.lit(rules_version).alias("rules"), F.coalesce("spans", F.expr(_NO_SPANS)).alias("spans")),
         "secret-ledger",
     )
-    found = seen.unionByName(new).where(F.size("spans") > 0).select("blob", ordered(F.col("spans"), rules).alias("spans"))
+    wanted = known.where(F.col("rules").isin(rules_version, *with_versions)).unionByName(new).where(F.size("spans") > 0)
+    if with_versions:
+        listed = wanted.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a row for each version
+        wanted = listed.select("blob", ordered(F.col("spans")).alias("spans"))
     # Blobs with findings are joined to all their paths; a blob with very many copies is split by adaptive execution.
-    everywhere = paths.join(found, "blob", "left").select(
+    everywhere = paths.join(wanted.select("blob", "spans"), "blob", "left").select(
         *path, "blob", F.coalesce("spans", F.expr(_NO_SPANS)).alias("spans")
     )
     return everywhere, new
