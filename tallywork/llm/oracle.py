@@ -8,12 +8,16 @@ stretches of a text (op10), XXH64 fingerprints (op11), and the pipeline, which n
 from __future__ import annotations
 
 from tallywork.llm.divergence import ADDED, MIN_DOCS, SCALE, TOP
-from tallywork.llm.lines import MIN_SITES
+from tallywork.llm.lines import SPREADS
 from tallywork.llm.merkle import FANOUT, FIELDS
 from tallywork.llm.secrets import BASE_RULES, RULES
 
 # A line's text without outer blanks, the sites of each such line, and the document that keeps it.
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LIMIT = "CASE " + " ".join(
+    f"WHEN n_words >= {s.words} THEN least(greatest({s.least}, ceil(round({s.share} * n_sites, 6))), {s.most})"
+    for s in sorted(SPREADS, key=lambda s: -s.words)
+) + " END"
 _SITE_SPREAD = f"""
 WITH numbered AS (SELECT *, row_number() OVER () AS row_id FROM documents),
 lines AS (
@@ -21,9 +25,12 @@ lines AS (
            generate_subscripts(string_split(text, chr(10)), 1) AS place
     FROM numbered),
 keyed AS (SELECT *, trim(line, {_BLANKS}) AS words FROM lines),
-shared AS (
-    SELECT words, min(doc_id) AS first FROM keyed WHERE words <> ''
-    GROUP BY words HAVING count(DISTINCT site) >= {MIN_SITES}),
+spread AS (
+    SELECT words, min(doc_id) AS first, count(DISTINCT site) AS sites,
+           len(regexp_extract_all(words, '[^\\x20\\x09-\\x0D]+')) AS n_words,
+           (SELECT count(DISTINCT coalesce(source, '')) FROM documents) AS n_sites
+    FROM keyed WHERE words <> '' GROUP BY words),
+shared AS (SELECT words, first FROM spread WHERE sites >= {_LIMIT}),
 marked AS (SELECT k.*, s.words IS NOT NULL AND s.first <> k.doc_id AS gone FROM keyed k LEFT JOIN shared s USING (words)),
 joined AS (
     SELECT row_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,

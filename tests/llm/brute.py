@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 import xxhash
@@ -66,9 +67,10 @@ def components(rows, n, percent):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-def without_boilerplate(rows, min_sites):
-    """rows of (id, text, site); the cleaned texts in the same order."""
+def without_boilerplate(rows, spreads):
+    """rows of (id, text, site); the cleaned texts in the same order. spreads: (words, share, least, most)."""
     blanks = " \t\n\x0b\x0c\r"
+    n_sites = len({site or "" for _, _, site in rows})
     sites, first = collections.defaultdict(set), {}
     for d, text, site in rows:
         for line in (text or "").split("\n"):
@@ -77,7 +79,12 @@ def without_boilerplate(rows, min_sites):
                 sites[key].add(site or "")
                 if d is not None:
                     first[key] = min(d, first.get(key, d))
-    shared = {k for k, s in sites.items() if len(s) >= min_sites and k in first}
+
+    def limit(key):
+        _, share, least, most = max(s for s in spreads if s[0] <= len(WORD.findall(key)))
+        return min(max(least, math.ceil(round(share * n_sites, 6))), most)
+
+    shared = {k for k, s in sites.items() if len(s) >= limit(k) and k in first}
     return [
         None
         if text is None

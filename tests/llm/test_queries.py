@@ -122,6 +122,28 @@ def test_op5_holds_out_a_third(spark, duck):
     assert sum(clean) <= 0.05 * len(clean)
 
 
+def test_op5_finds_held_out_toxic_documents(spark):
+    """On the larger given table, where the labelled sample is large enough to learn from."""
+    folder = "/root/testdata/sf0.1"
+    rows = {r.doc_id: r for r in QUERIES["op5_noisy_or"](spark, folder).where("held_out").collect()}
+    labels = duckdb.sql(f"SELECT doc_id, toxic FROM read_parquet('{folder}/labels.parquet')").fetchall()
+    held = [(rows[d], toxic) for d, toxic in labels if d in rows and toxic is not None]
+    found = [r.predicted for r, toxic in held if toxic == 1]
+    flagged = [r.predicted for r, toxic in held if toxic == 0]
+    assert sum(found) >= 0.9 * len(found) and sum(flagged) <= 0.01 * len(flagged)
+
+
+def test_op1_is_even_in_all_dimensions_on_the_larger_table(spark):
+    folder = "/root/testdata/sf0.1"
+    tokens = dict(duckdb.sql(f"SELECT doc_id, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) FROM read_parquet('{folder}/documents.parquet')").fetchall())
+    sums = collections.defaultdict(lambda: [0, 0, 0])
+    for r in QUERIES["op1_vector_packing"](spark, folder).collect():
+        for k, v in enumerate((r["size"], tokens[r.doc_id], 1)):
+            sums[r.shard][k] += v
+    spread = [(max(v) - min(v)) / (sum(v) / 24) for v in zip(*sums.values(), strict=True)]
+    assert spread[0] <= 0.001 and spread[1] <= 0.01 and spread[2] <= 0.01
+
+
 def test_op6_equals_the_tokenizer_library(spark, docs, coding):
     rows = {r.doc_id: r for r in rows_of(spark, "op6_byte_bpe")}
     assert len(rows) == len(docs)
@@ -156,7 +178,7 @@ def test_pipeline_equals_brute_force(spark, duck, docs, coding):
     """Each stage on what its predecessor kept, against plain Python; the quality stage against its own query."""
     kept = {r.doc_id for r in rows_of(spark, "op4_weak_supervision") if r.kept}
     rows = [(d, t, s) for d, t, s in docs if d in kept]
-    cleaned = brute.without_boilerplate(rows, 10)
+    cleaned = brute.without_boilerplate(rows, [(s.words, s.share, s.least, s.most) for s in corpus_pipeline.LINE_SPREADS])
     texts = {
         d: new for (d, old, _), new in zip(rows, cleaned, strict=True) if new.strip(" \t\n\x0b\x0c\r") or new == old
     }
