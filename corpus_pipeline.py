@@ -21,6 +21,8 @@ from tallywork.llm.common import free_name, reach_workers, sha256_hex, store, ta
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Near-duplicates: five words, and a Jaccard similarity of 80 in the hundred or more.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+#: Long passages go from ten sites on only: those that copies of a document share must stay for the near-duplicate stage to see.
+LINE_SPREADS = (lines.Spread(1, 0.4, 3, 10), lines.Spread(50, 1.0, 10, 10))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sites stay in one document only; documents of which nothing else is left go."""
     counts = (free_name("n_lines", docs.columns), free_name("n_removed", docs.columns))
-    cleaned = lines.remove_boilerplate(docs, counts=counts)
+    cleaned = lines.remove_boilerplate(docs, spreads=LINE_SPREADS, counts=counts)
     emptied = (F.col(counts[1]) > 0) & (F.btrim(F.col("text"), F.lit(lines.BLANKS)) == "")
     kept = cleaned.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
