@@ -18,8 +18,9 @@ gaps is marked, and only the gaps of marked sets are indexed, for all sets.
 
 No group is gathered or expanded into its pairs. Exact copies are one class. In each index
 bucket all members are first compared with one pivot only; verified links give
-components; then only members of different components are compared, in blocks of bounded
-size inside a task, behind a lower bound of the difference from parity sketches. Every
+components; then only members of different components are compared, those outside a bucket's most
+frequent component with all, in blocks of bounded size inside a task, behind a lower bound of the difference from
+parity sketches. Every
 surviving pair is verified on the n-gram sets (64-bit hashes of the n-grams). The complete
 mode compares and verifies all members of a bucket in such blocks, whatever their component.
 
@@ -463,14 +464,27 @@ def _linked(
             about_members.join(components(links), "id", "left")
             .select("key", "members", "id", "n", "sketch", F.coalesce("component", "id").alias("label"))
         )
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    side = F.pmod(F.hash("id"), F.col("blocks"))
+    # In a bucket the members of its most frequent label are compared with all others, not with each other.
+    per_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    open_keys = (
+        per_label.groupBy("key")
+        .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
+        .where(F.col("all") > F.col("top.c"))
+        .select(
+            "key",
+            F.col("top.label").alias("most"),
+            F.ceil(F.col("top.c") / F.lit(BLOCK)).cast("int").alias("most_blocks"),
+            F.ceil((F.col("all") - F.col("top.c")) / F.lit(BLOCK)).cast("int").alias("blocks"),
+        )
+    )
+    # Blocks of the most frequent label have negative numbers, those of the others count from 0.
+    is_most = F.col("label") == F.col("most")
+    side = F.when(is_most, -1 - F.pmod(F.hash("id"), F.col("most_blocks"))).otherwise(F.pmod(F.hash("id"), F.col("blocks")))
+    begin = F.when(is_most, 0).otherwise(-F.col("most_blocks"))
     rest = (
-        labelled.join(open_keys, "key", "left_semi")
-        .withColumn("blocks", blocks)
+        labelled.join(open_keys, "key")
         .withColumn("side", side)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("other", F.explode(F.sequence(begin, F.col("blocks") - 1)))
         .select(
             "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
             "id", "side", "label", "n", "sketch",

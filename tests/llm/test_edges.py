@@ -405,6 +405,25 @@ def test_complete_links_are_all_links(spark, monkeypatch):
             assert r.n_links == sum(i != r.doc_id and similar(sets[r.doc_id], s) for i, s in sets.items())
 
 
+@pytest.mark.parametrize("star", [True, False])
+def test_strays_of_a_bucket_meet_its_most_frequent_component(spark, monkeypatch, star):
+    """Blocks of three members; without the star, every component is found by the blocks alone."""
+    rng = random.Random(9)
+    rows = []
+    for size in (20, 40, 80):
+        base = [f"w{rng.randrange(900)}" for _ in range(size)]
+        for k in range(30):
+            copy = list(base)
+            for at in rng.sample(range(size), rng.randint(0, size // 8)):
+                copy[at] = f"x{k}-{at}"
+            rows.append((len(rows), " ".join(copy)))
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    if not star:
+        monkeypatch.setattr(jaccard, "_sketched", lambda pairs, *_: pairs.limit(5))
+    got, _ = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), n=1, percent=80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 1, 80)
+
+
 def test_a_repeated_id_loses_only_its_copies(spark):
     rows = [(3, PROSE), (5, PROSE), (5, OTHER), (5, OTHER), (6, LEAK), (7, OTHER), (8, ""), (8, LEAK), (None, PROSE)]
     kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
