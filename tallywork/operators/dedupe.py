@@ -8,12 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallywork.sources.tables import write_once
-
-# Largest key list sent to every executor, and what a key costs there beside its text.
-BROADCAST_BYTES = 64 * 1024 * 1024
-BYTES_PER_KEY = 64
-
 
 def latest_per_key(df: DataFrame, key: str, order: str, tiebreak: Sequence[str] | None = None) -> DataFrame:
     """One row per non-null key: the one with the greatest ``order``, NULLs last.
@@ -25,34 +19,10 @@ def latest_per_key(df: DataFrame, key: str, order: str, tiebreak: Sequence[str]
 
     Spark limits the row number before the shuffle as well (WindowGroupLimit), so a
     task sends at most one row per key and a hot key costs no more than any other.
+    A table stored in buckets of the key (``sources.snapshots``) is not shuffled at all.
     """
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in (key, order)]
     window = W.partitionBy(key).orderBy(F.col(order).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak])
     ranked = df.filter(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(window))
     return ranked.filter(F.col("_rn") == 1).drop("_rn")
-
-
-def latest_per_key_stored(
-    df: DataFrame,
-    key: str,
-    order: str,
-    tiebreak: Sequence[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """``latest_per_key`` for a stored table, in which few keys repeat as a rule.
-
-    A first pass over the key column alone finds the repeated keys. If their list is
-    small, rows with other keys pass without a shuffle and only the repeated ones are
-    compared; if it is larger than ``broadcast_bytes``, all rows go the usual way.
-    """
-    keyed = df.filter(F.col(key).isNotNull())
-    counts = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = write_once(counts.filter(F.col("_n") > 1).select(key), "repeated-keys")
-    size = F.sum(F.octet_length(F.col(key).cast("string")) + BYTES_PER_KEY)
-    if (repeated.select(size).first()[0] or 0) > broadcast_bytes:
-        return latest_per_key(df, key, order, tiebreak)
-    repeated = F.broadcast(repeated)
-    once = keyed.join(repeated, key, "left_anti").select(df.columns)
-    again = keyed.join(repeated, key, "left_semi").select(df.columns)
-    return once.unionByName(latest_per_key(again, key, order, tiebreak))

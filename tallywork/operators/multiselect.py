@@ -40,6 +40,13 @@ def explode_multiselect(
     return items.select(*keep, item, flag.alias("wants_to_continue"))
 
 
+def items_with_flags(have: Column, want: Column, item: str) -> Column:
+    """What ``explode_multiselect`` makes rows of, as an array in its row: (item, wants_to_continue) by substring."""
+    items = F.filter(F.transform(F.split(have, ";"), F.trim), lambda x: x != "")
+    wanted = F.lower(want)
+    return F.transform(items, lambda x: F.struct(x.alias(item), mentions(wanted, x).alias("wants_to_continue")))
+
+
 def _tidy(c: Column) -> Column:
     """Text without spaces around its items; text that has none is left alone unread by the regex."""
     spaced = c.contains("; ") | c.contains(" ;")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources.ingest import load_raw, timestamp
-from tallywork.sources.schemas import ISSUES_SCHEMA, RAW_SCHEMA
-from tallywork.sources.tables import read_table, remove, swap_in, write_beside, write_table
+from tallywork.sources.schemas import ISSUES_SCHEMA
+from tallywork.sources.snapshots import Draft, Snapshot, TableSet
+from tallywork.sources.tables import scratch_of_run
 
 LAYERS = {
     "raw": "raw/survey_responses",
@@ -23,21 +26,77 @@ LAYERS = {
     "losses": "quality/cast_losses",
     "tests": "quality/test_results",
 }
+KEY = "response_id"
 
 
-def path(out: str, layer: str) -> str:
-    return f"{out.rstrip('/')}/{LAYERS[layer]}"
+def tables(spark: SparkSession, out: str) -> TableSet:
+    return TableSet(spark, out, LAYERS)
+
+
+def table(spark: SparkSession, out: str, layer: str) -> DataFrame:
+    """A layer as of now; later refreshes do not change what it reads."""
+    return tables(spark, out).current().read(layer)
 
 
 def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def layers_of(snapshot: Snapshot) -> dict[str, DataFrame]:
+    """Every layer under test, the exploded ones as views."""
+    stored = {name: snapshot.read(name) for name in ("raw", "staging", "salary", "adoption", "sentiment")}
+    views = {
+        "languages": marts.languages_exploded(stored["staging"]),
+        "databases": marts.databases_exploded(stored["staging"]),
+    }
+    return stored | views
+
+
+def layers(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    return layers_of(tables(spark, out).current())
+
+
+def write_raw(draft: Draft, raw: DataFrame) -> DataFrame:
+    """The raw layer in buckets of its key; the row checks and tests are counted on the way."""
+    counts = quality.check_counts(quality.SURVEY_CHECKS) | quality.test_counts("raw")
+    return draft.write("raw", raw, counts, key=KEY)
+
+
+def write_issues(draft: Draft, at: datetime) -> None:
+    raw = draft.read("raw")
+    report = quality.run_checks(raw, observed=draft.now().observed("raw")).withColumn("logged_at", timestamp(at))
+    draft.write("issues", report.select(*ISSUES_SCHEMA.names))
+    draft.write("losses", cast_losses(raw))
+
+
+def write_staging(draft: Draft, on_error: str) -> DataFrame:
+    """Staging in buckets of its key, which come from those of the raw layer without a shuffle of its own.
+
+    The tests of the exploded layers, which are views of staging, are counted here as well.
+    """
+    return draft.write("staging", stage(draft.read("raw"), on_error), quality.test_counts("staging"), key=KEY, arranged=True)
+
+
+def write_marts(draft: Draft, on_error: str) -> None:
+    stg = draft.read("staging")
+    draft.write("salary", marts.salary_segments(stg), quality.test_counts("salary"))
+    draft.write("adoption", marts.tech_adoption(stg), quality.test_counts("adoption"))
+    draft.write("sentiment", marts.ai_sentiment(stg, on_error=on_error), quality.test_counts("sentiment"))
+
+
+def write_tests(draft: Draft) -> None:
+    snapshot = draft.now()
+    observed = {k: n for layer in quality.WRITTEN_WITH if layer in snapshot for k, n in snapshot.observed(layer).items()}
+    draft.write("tests", quality.run_tests(layers_of(snapshot), observed=observed))
+
+
 def ingest(
     spark: SparkSession, src: str | Sequence[str], out: str, at: datetime | None = None, records: str = "auto"
 ) -> DataFrame:
     """Full refresh of the raw layer; every row carries the same load time."""
-    return write_table(load_raw(spark, src, at or now(), records), path(out, "raw"))
+    with scratch_of_run(spark), tables(spark, out).draft() as draft:
+        write_raw(draft, load_raw(spark, src, at or now(), records))
+    return draft.read("raw")
 
 
 def check(spark: SparkSession, out: str, at: datetime | None = None) -> DataFrame:
@@ -45,58 +104,28 @@ def check(spark: SparkSession, out: str, at: datetime | None = None) -> DataFram
 
     Beside it, the number of texts that staging will turn into NULL, per column.
     """
-    raw = read_table(spark, path(out, "raw"), RAW_SCHEMA)
-    report = quality.run_checks(raw).withColumn("logged_at", timestamp(at or now()))
-    write_table(report.select(*ISSUES_SCHEMA.names), path(out, "issues"))
-    write_table(cast_losses(raw), path(out, "losses"))
-    return quality.with_severity(read_table(spark, path(out, "issues"), ISSUES_SCHEMA))
+    with tables(spark, out).draft() as draft:
+        write_issues(draft, at or now())
+    return quality.with_severity(draft.read("issues"))
 
 
 def build(spark: SparkSession, out: str, on_error: str = "null") -> dict[str, DataFrame]:
     """Staging and the marts.
 
-    Staging is written once, since four consumers read it; the exploded layers stay
-    views over it.
-
-    All tables are written first and put in place together, so a build that fails half-way
-    changes none of them.
+    Staging is written once, since four consumers read it; the exploded layers stay views over
+    it. All tables become current together, so a build that fails half-way changes none of them.
     """
-    raw = read_table(spark, path(out, "raw"), RAW_SCHEMA)
-    made: dict[str, str] = {}
-    try:
-        rows = stage(raw, on_error)
-        made["staging"] = write_beside(rows, path(out, "staging"))
-        stg = read_table(spark, made["staging"], rows.schema)
-        built = {
-            "salary": marts.salary_segments(stg),
-            "adoption": marts.tech_adoption(stg),
-            "sentiment": marts.ai_sentiment(stg, on_error=on_error),
-        }
-        for name, mart in built.items():
-            made[name] = write_beside(mart, path(out, name))
-    except Exception:
-        for new in made.values():
-            remove(spark, new)
-        raise
-    for name, new in made.items():
-        swap_in(spark, new, path(out, name))
-    schemas = {"staging": rows.schema} | {name: mart.schema for name, mart in built.items()}
-    return {name: read_table(spark, path(out, name), schema) for name, schema in schemas.items()}
-
-
-def layers(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Every layer under test, the exploded ones as views."""
-    stored = {name: read_table(spark, path(out, name)) for name in ("raw", "staging", "salary", "adoption", "sentiment")}
-    views = {
-        "languages": marts.languages_exploded(stored["staging"]),
-        "databases": marts.databases_exploded(stored["staging"]),
-    }
-    return stored | views
+    with scratch_of_run(spark), tables(spark, out).draft() as draft:
+        write_staging(draft, on_error)
+        write_marts(draft, on_error)
+    return {name: draft.read(name) for name in ("staging", "salary", "adoption", "sentiment")}
 
 
 def test(spark: SparkSession, out: str) -> DataFrame:
     """Run the declared tests and store their results."""
-    return write_table(quality.run_tests(layers(spark, out)), path(out, "tests"))
+    with tables(spark, out).draft() as draft:
+        write_tests(draft)
+    return draft.read("tests")
 
 
 def run(
@@ -107,8 +136,29 @@ def run(
     records: str = "auto",
     on_error: str = "null",
 ) -> dict[str, DataFrame]:
-    """Load, check, build, test, in that order; returns every stored table."""
-    at = at or now()
-    tables = {"raw": ingest(spark, src, out, at, records), "issues": check(spark, out, at)}
-    tables["losses"] = read_table(spark, path(out, "losses"))
-    return tables | build(spark, out, on_error) | {"tests": test(spark, out)}
+    """Load, check, build, test, in that order; returns every stored table.
+
+    All tables of a run become current together at its end. A run that died is gone on with by the next
+    one over the same files with the same parameters: steps that were complete are not repeated, and the
+    load time is that of the first try. Files are told apart by name, length and time.
+    """
+    paths = [src] if isinstance(src, str) else list(src)
+    draft = tables(spark, out).draft(resume=True)
+    parameters: Mapping[str, str] = {
+        "files": draft.tables.files.fingerprint(paths),
+        "paths": json.dumps(paths),
+        "at": at.isoformat() if at else "",
+        "records": records,
+        "on_error": on_error,
+    }
+    key = hashlib.sha256(json.dumps(parameters, sort_keys=True).encode()).hexdigest()
+    moment = datetime.fromisoformat(draft.recall("at", key, (at or now()).isoformat()))
+    with scratch_of_run(spark):
+        draft.step("ingest", key, lambda: write_raw(draft, load_raw(spark, src, moment, records)))
+        draft.step("check", key, lambda: write_issues(draft, moment))
+        draft.step("staging", key, lambda: write_staging(draft, on_error))
+        draft.step("marts", key, lambda: write_marts(draft, on_error))
+        draft.step("test", key, lambda: write_tests(draft))
+        snapshot = draft.commit()
+    found = {name: snapshot.read(name) for name in LAYERS}
+    return found | {"issues": quality.with_severity(found["issues"])}

@@ -1,14 +1,21 @@
-"""Quality counts on the raw layer and declarative tests on every layer."""
+"""Quality counts on the raw layer and declarative tests on every layer.
+
+Counts of single rows need no scan of their own: ``check_counts`` and ``test_counts`` are aggregates to be
+observed while a layer is written, and ``run_checks`` and ``run_tests`` take what was observed.
+Only repeated keys, and values outside a list once there are any, are looked for in the layer.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.operators.multiselect import items_with_flags
+from tallywork.plans import marts
 from tallywork.plans.staging import YEARS_PHRASES
 
 AUDIT = "AUDIT"
@@ -56,15 +63,29 @@ def _where(check: Check) -> Column:
     return F.expr(check.where) if check.where else F.lit(True)
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check] = SURVEY_CHECKS) -> DataFrame:
+def check_counts(checks: Sequence[Check] = SURVEY_CHECKS) -> dict[str, Column]:
+    """The row checks as aggregates, by check name."""
+    return {c.name: F.count_if(_where(c)) for c in checks if c.key is None}
+
+
+def _known(df: DataFrame, counts: Mapping[str, int], name: str, count: str) -> DataFrame:
+    return df.sparkSession.createDataFrame(list(counts.items()), f"{name} string, {count} long")
+
+
+def run_checks(
+    df: DataFrame, checks: Sequence[Check] = SURVEY_CHECKS, observed: Mapping[str, int] | None = None
+) -> DataFrame:
     """One row per check: check_name, issue_type, row_count, details.
 
-    All row conditions are counted in one scan. Only a repeated-key check shuffles,
-    and only its key column: equal keys, NULL among them, are counted before they
-    are sent, so a key held by a third of the rows is one row per task.
+    Row conditions are taken from ``observed`` (by check name) or counted, all in one scan. Only a repeated-key
+    check groups, and reads its key column alone: on a layer in buckets of the key nothing is shuffled, else
+    equal keys, NULL among them, are counted before they are sent, so a hot key is one row per task.
     """
     parts = []
-    counted = [c for c in checks if c.key is None]
+    known = {c.name: observed[c.name] for c in checks if c.key is None and c.name in (observed or {})}
+    if known:
+        parts.append(_known(df, known, "check_name", "row_count"))
+    counted = [c for c in checks if c.key is None and c.name not in known]
     if counted:
         counts = df.select(*[F.count_if(_where(c)).alias(c.name) for c in counted])
         parts.append(counts.unpivot([], [f"`{c.name}`" for c in counted], "check_name", "row_count"))
@@ -151,21 +172,61 @@ SURVEY_TESTS = (
 )
 
 
-def run_tests(layers: dict[str, DataFrame], tests: Sequence[TableTest] = SURVEY_TESTS) -> DataFrame:
+# The stored layer with which a layer is written: the exploded ones are views of staging.
+EXPLODED = {"languages": marts.LANGUAGE[1:] + ("language",), "databases": marts.DATABASE[1:] + ("database_name",)}
+WRITTEN_WITH = ("raw", "staging", "salary", "adoption", "sentiment")
+
+
+def test_counts(layer: str, tests: Sequence[TableTest] = SURVEY_TESTS) -> dict[str, Column]:
+    """The not_null and accepted_values tests of a layer, and of the views over it, as aggregates, by test name.
+
+    They count failing rows. Of accepted values that is more than the distinct values that such a test
+    reports, but it is 0 for both or for neither.
+    """
+
+    def bad(test: TableTest, column: Column) -> Column:
+        return column.isNull() if test.kind == "not_null" else ~column.isin(*test.values)
+
+    counts = {}
+    for test in tests:
+        if test.kind == "unique":
+            continue
+        if test.layer == layer:
+            counts[test.name] = F.count_if(bad(test, F.col(test.column)))
+        elif layer == "staging" and test.layer in EXPLODED:
+            have, want, item = EXPLODED[test.layer]
+            items = items_with_flags(F.col(have), F.col(want), item)
+            if test.column in (item, "wants_to_continue"):
+                rows = F.size(F.filter(items, lambda x: bad(test, x[test.column])))
+            else:
+                rows = F.when(bad(test, F.col(test.column)), F.size(items))
+            counts[test.name] = F.sum(F.coalesce(rows, F.lit(0)))
+    return counts
+
+
+def run_tests(
+    layers: dict[str, DataFrame], tests: Sequence[TableTest] = SURVEY_TESTS, observed: Mapping[str, int] | None = None
+) -> DataFrame:
     """One row per test: test_name, failures (rows its failing query returns), should_warn, should_error.
 
-    The not_null and accepted_values tests of a layer share one scan: of the latter, a failing
-    row is a distinct value outside the list. Layers that take work to derive should be
-    stored first (``write_once``): a unique test reads its layer again.
+    Tests whose count was ``observed`` (``test_counts``, by test name) read nothing, but for
+    accepted values of which some are outside the list: those are looked up. The other not_null and
+    accepted_values tests of a layer share one scan: of the latter, a failing row is a distinct value outside
+    the list. Layers that take work to derive should be stored first: a unique test reads its layer again.
     """
+    seen = observed or {}
+    known = {t.name: seen[t.name] for t in tests if t.name in seen and (t.kind == "not_null" or seen[t.name] == 0)}
     parts = []
-    for layer in dict.fromkeys(t.layer for t in tests):
+    if known:
+        parts.append(_known(next(iter(layers.values())), known, "test_name", "failures"))
+    left = [t for t in tests if t.name not in known]
+    for layer in dict.fromkeys(t.layer for t in left):
         df = layers[layer]
-        counted = [(t, failures) for t in tests if t.layer == layer and (failures := t.failures()) is not None]
+        counted = [(t, failures) for t in left if t.layer == layer and (failures := t.failures()) is not None]
         if counted:
             counts = df.select(*[failures.alias(t.name) for t, failures in counted])
             parts.append(counts.unpivot([], [f"`{t.name}`" for t, _ in counted], "test_name", "failures"))
-        for test in tests:
+        for test in left:
             if test.layer == layer and test.failures() is None:
                 count = F.count(F.lit(1)).alias("failures")
                 parts.append(test.failing(df).select(F.lit(test.name).alias("test_name"), count))

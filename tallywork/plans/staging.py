@@ -37,7 +37,7 @@ def stage(
 ) -> DataFrame:
     """The staging layer. See ``latest_per_key`` for ``tiebreak``, ``to_decimal`` for ``on_error``.
 
-    ``latest`` is the way duplicates are removed; ``latest_per_key_stored`` suits a stored raw layer.
+    ``latest`` is the way duplicates are removed.
     """
     rows = latest(raw, "response_id", "loaded_at", tiebreak)
     numbers = {

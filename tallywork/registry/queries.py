@@ -6,7 +6,6 @@ Each takes (spark, sf_dir). The survey queries read the raw layer of
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,13 +14,14 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band
 from tallywork.operators import multiselect
-from tallywork.operators.dedupe import latest_per_key, latest_per_key_stored
+from tallywork.operators.dedupe import latest_per_key
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, pipeline, quality
 from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources import ingest
-from tallywork.sources.schemas import ISSUES_SCHEMA, RAW_SCHEMA, SURVEY_COLUMNS
-from tallywork.sources.tables import read_table, scratch_dir, write_once, write_table
+from tallywork.sources.schemas import RAW_SCHEMA, SURVEY_COLUMNS
+from tallywork.sources.snapshots import TableSet
+from tallywork.sources.tables import scratch_path, write_once, write_table
 from tallywork.survey_fixture import raw_survey, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,14 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(raw_survey(spark, sf_dir), tiebreak=())
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The rows, stored in buckets of a key."""
+    tables = TableSet(df.sparkSession, scratch_path(df.sparkSession, name))
+    with tables.draft() as draft:
+        draft.write(name, df, key=key)
+    return draft.read(name)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimal columns as doubles, the type in which SQL engines agree."""
     return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else c for c, t in df.dtypes])
@@ -67,7 +75,7 @@ def clean_documents(spark, sf_dir):
 
 def written_as_csv(df: DataFrame, name: str) -> str:
     """A folder of CSV files, each with a header, in the shared folder."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_path(df.sparkSession, name)}/csv"
     keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     df.write.options(**ingest.CSV_OPTIONS, **keep_blanks).option("header", True).csv(path)
     return path
@@ -109,7 +117,7 @@ def raw_profile(spark, sf_dir):
 @query
 def replaced_table(spark, sf_dir):
     """A stored table after a full refresh."""
-    path = f"{scratch_dir(spark)}/refreshed-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "refreshed")
     write_table(raw_survey(spark, sf_dir, "uncleaned").select("response_id", "country"), path)
     return write_table(raw_survey(spark, sf_dir).select("response_id", "country"), path)
 
@@ -124,8 +132,8 @@ def stg_dedup(spark, sf_dir):
 
 @query
 def stg_dedup_stored(spark, sf_dir):
-    """The same rows from a stored table, in which only repeated keys are shuffled."""
-    return latest_per_key_stored(write_once(raw_survey(spark, sf_dir), "raw"), "response_id", "loaded_at")
+    """The same rows from a table stored in buckets of the key: nothing is shuffled any more."""
+    return latest_per_key(bucketed(raw_survey(spark, sf_dir), "raw", "response_id"), "response_id", "loaded_at", ())
 
 
 @query
@@ -360,11 +368,12 @@ def dq_severity(spark, sf_dir):
 @query
 def issues_stored(spark, sf_dir):
     """The issues table as the check step stores it, but for the time."""
-    out = f"{scratch_dir(spark)}/checked-{uuid.uuid4().hex}"
+    out = scratch_path(spark, "checked")
     raw = raw_survey(spark, sf_dir).withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
-    write_table(raw.select(*RAW_SCHEMA.names), pipeline.path(out, "raw"))
+    with pipeline.tables(spark, out).draft() as draft:
+        pipeline.write_raw(draft, raw.select(*RAW_SCHEMA.names))
     pipeline.check(spark, out)
-    return read_table(spark, pipeline.path(out, "issues"), ISSUES_SCHEMA).drop("logged_at")
+    return pipeline.table(spark, out, "issues").drop("logged_at")
 
 
 ORDER_CHECKS = (
@@ -410,7 +419,7 @@ def layers_over(raw: DataFrame, stg: DataFrame, adoption: DataFrame) -> dict[str
 @query
 def test_results(spark, sf_dir):
     raw = write_once(raw_survey(spark, sf_dir), "raw")
-    stg = write_once(stage(raw, latest=latest_per_key_stored), "staging")
+    stg = write_once(stage(raw), "staging")
     return quality.run_tests(layers_over(raw, stg, marts.tech_adoption(stg)))
 
 

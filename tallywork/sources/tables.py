@@ -2,72 +2,81 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallywork.sources.files import Files
+from tallywork.sources.snapshots import MANIFESTS, TableSet
+
+_TABLE = "table"
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A parquet table; with a schema given, no file footer is read to plan the scan."""
+    """A table as last written by ``write_table``, or plain parquet; with a schema given, no file footer is read to plan it."""
+    if Files(spark).exists(f"{path.rstrip('/')}/{MANIFESTS}"):
+        return TableSet(spark, path).current().read(_TABLE)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's view of a path: its file system, and a maker of paths."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path`` and return it as stored; a job that fails leaves the old one, readers keep theirs."""
+    with TableSet(df.sparkSession, path).draft() as draft:
+        draft.write(_TABLE, df)
+    return draft.read(_TABLE)
 
 
-def write_beside(df: DataFrame, path: str) -> str:
-    """Write a table next to ``path`` and return where; what is at ``path`` stays as it is."""
-    new = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
-    try:
-        df.write.parquet(new)
-    except Exception:
-        remove(df.sparkSession, new)
-        raise
-    return new
-
-
-def swap_in(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished table in the place of the one at ``path``, which is removed last."""
-    files, make = _files(spark, path)
-    old = f"{path.rstrip('/')}__old-{uuid.uuid4().hex}"
-    files.mkdirs(make(path).getParent())
-    had_one = files.exists(make(path))
-    if had_one and not files.rename(make(path), make(old)):
-        raise OSError(f"cannot move {path} away")
-    if not files.rename(make(new), make(path)):
-        if had_one:
-            files.rename(make(old), make(path))
-        raise OSError(f"cannot move {new} to {path}")
-    if had_one:
-        files.delete(make(old), True)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    files, make = _files(spark, path)
-    files.delete(make(path), True)
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder for intermediate results: the one that spark.checkpoint.dir names, which all executors must share.
+
+    In local mode, where there is one machine, it may be unset; the folder is then in the warehouse.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` and return it as stored; a job that fails leaves the old one."""
-    swap_in(df.sparkSession, write_beside(df, path), path)
-    return read_table(df.sparkSession, path, df.schema)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for intermediate results, removed when the application ends."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    Files(spark).make_folder(path)
+    Files(spark).remove_on_exit(path)
+    return path
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; if unset, a folder in the warehouse, which is shared too."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+_written: ContextVar[list[str] | None] = ContextVar("scratch tables of the run", default=None)
+
+
+@contextmanager
+def scratch_of_run(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``write_once`` wrote inside it; for runs whose results are stored by then."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        for path in paths or ():
+            Files(spark).remove(path)
 
 
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several consumers read to the shared folder, and read it from there.
 
-    Unlike a cache, it is not recomputed by each consumer when executors are lost.
+    Unlike a cache, it is not recomputed by each consumer when executors are lost. It is removed at the
+    end of the run (``scratch_of_run``) or of the application, since lazy results may read it until then.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return read_table(df.sparkSession, path, df.schema)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("append").parquet(path)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallywork.__main__ import main
 from tallywork.plans import marts, pipeline
 from tallywork.sources.schemas import ISSUES_SCHEMA, SURVEY_COLUMNS
-from tallywork.sources.tables import scratch_dir, write_table
+from tallywork.sources.tables import scratch_dir
 
 AT = datetime(2024, 7, 1)
 
@@ -51,7 +51,7 @@ def test_run(spark, tmp_path, runs):
     assert issues["total_rows_loaded"] == (n + 1, "info")
     assert issues["duplicate_response_id"] == (1, "warn")
     assert issues["null_comp_total"] == (1, "warn")
-    stored = spark.read.parquet(pipeline.path(str(tmp_path / "out"), "issues"))
+    stored = pipeline.table(spark, str(tmp_path / "out"), "issues")
     assert stored.columns == ISSUES_SCHEMA.names and {r.logged_at for r in stored.collect()} == {AT}
 
     adoption = {r.tech_name: r for r in marts.tech_adoption_ordered(tables["adoption"]).collect()}
@@ -71,7 +71,7 @@ def test_steps_run_alone_and_bad_numbers_can_stop_the_build(spark, tmp_path):
         f.write("900,,,,,about 5" + ",NA" * 17 + "\n")
     pipeline.ingest(spark, source, out, AT)
     assert pipeline.check(spark, out, AT).count() == 6
-    losses = spark.read.parquet(pipeline.path(out, "losses")).collect()
+    losses = pipeline.table(spark, out, "losses").collect()
     counted = {"years_code": 1, "years_code_pro": 0, "comp_total": 0, "job_sat": 0}
     assert {r.column_name: r.row_count for r in losses} == counted
     with pytest.raises(Exception, match="not a number"):
@@ -95,8 +95,9 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
 def test_failing_tests_fail_the_command(spark, tmp_path, monkeypatch, capsys):
     out = str(tmp_path / "out")
     pipeline.run(spark, survey(tmp_path / "s.csv", 120), out, AT)
-    adoption = spark.read.parquet(pipeline.path(out, "adoption")).withColumn("tech_type", F.lit("Platform"))
-    write_table(adoption, pipeline.path(out, "adoption"))
+    adoption = pipeline.table(spark, out, "adoption").withColumn("tech_type", F.lit("Platform"))
+    with pipeline.tables(spark, out).draft() as draft:
+        draft.write("adoption", adoption)
     monkeypatch.setattr("sys.argv", ["tallywork", "test", out])
     assert main() == 1
     assert "accepted_values.adoption.tech_type" in capsys.readouterr().out
@@ -106,20 +107,23 @@ def test_a_failed_refresh_keeps_the_old_tables(spark, tmp_path):
     out = str(tmp_path / "out")
     source = survey(tmp_path / "s.csv", 120)
     pipeline.run(spark, source, out, AT)
-    before = {name: sorted(map(str, spark.read.parquet(pipeline.path(out, name)).collect())) for name in pipeline.LAYERS}
+    before = {name: sorted(map(str, pipeline.table(spark, out, name).collect())) for name in pipeline.LAYERS}
     broken = F.when(F.col("id") < 5, F.col("id")).otherwise(F.raise_error(F.lit("lost half-way")).cast("long"))
     for layer in ("raw", "issues"):  # a load and a check that stop while they write
         with pytest.raises(Exception, match="lost half-way"):
-            write_table(spark.range(10).select(broken.alias("x")), pipeline.path(out, layer))
-    bad = spark.read.parquet(pipeline.path(out, "raw"))
+            with pipeline.tables(spark, out).draft() as draft:
+                draft.write(layer, spark.range(10).select(broken.alias("x")))
+    bad = pipeline.table(spark, out, "raw")
     bad = bad.withColumn("job_sat", F.when(F.col("response_id") == "7", "9" * 40).otherwise(F.col("job_sat")))
-    write_table(bad, pipeline.path(out, "raw"))
+    with pipeline.tables(spark, out).draft() as draft:
+        draft.write("raw", bad)
     with pytest.raises(Exception, match="not a number"):  # staging is written by then, the last mart stops
         pipeline.build(spark, out, on_error="fail")
     for name in set(pipeline.LAYERS) - {"raw"}:
-        assert sorted(map(str, spark.read.parquet(pipeline.path(out, name)).collect())) == before[name]
-    left = [p.name for p in (tmp_path / "out").rglob("*") if "__new-" in p.name or "__old-" in p.name]
-    assert left == []
+        assert sorted(map(str, pipeline.table(spark, out, name).collect())) == before[name]
+    # No version is left that no snapshot names.
+    named = {v.path for s in pipeline.tables(spark, out).snapshots() for v in s.tables.values()}
+    assert {str(p.relative_to(out)) for p in (tmp_path / "out").rglob("v-*")} == named
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):

@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-from tallywork.operators.dedupe import latest_per_key_stored
+from tallywork.operators.dedupe import latest_per_key
 from tallywork.operators.quantiles import group_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import stage
-from tallywork.registry.queries import QUERIES
+from tallywork.registry.queries import QUERIES, bucketed
 from tallywork.sources.ingest import read_csv
 from tallywork.sources.tables import write_table
 from tallywork.survey_fixture import raw_survey
@@ -51,12 +51,21 @@ def test_dedupe_carries_only_the_columns_read(raw):
     assert [c.split("#")[0] for c in columns.split(",")] == ["response_id", "comp_total", "loaded_at"]
 
 
-def test_dedupe_of_a_stored_table_shuffles_only_repeated_keys(raw):
-    plan = executed(stage(raw, latest=latest_per_key_stored))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "LeftAnti" in plan
-    shuffled = plan[plan.index("Exchange hashpartitioning") :]
-    assert "LeftSemi" in shuffled
+def test_tables_in_buckets_of_the_key_need_no_shuffle_by_it(spark, raw):
+    stored = bucketed(raw, "raw", "response_id")
+    for df in (
+        stage(stored),
+        latest_per_key(stored, "response_id", "loaded_at"),
+        quality.failing_duplicates(stored, "response_id"),
+        stored.groupBy("response_id").count().where("count > 1"),
+    ):
+        plan = executed(df)
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    # The counts of a check or a test meet in one row, the groups before that do not move.
+    for df in (quality.run_checks(stored, [quality.survey_check("duplicate_response_id")]),
+               quality.run_tests({"staging": stored}, [quality.TableTest("staging", "response_id", "unique")])):
+        assert "Exchange hashpartitioning" not in executed(df)
+    assert sorted(map(str, stage(stored).collect())) == sorted(map(str, stage(raw).collect()))
 
 
 def test_adoption_reads_four_columns_once_and_counts_before_the_shuffle(stg):
