@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from typing import Any
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.sources.tables import read_table, scratch_dir
+from tallywork.sources.tables import write_once
 
 # Fixed value: a word is a run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,15 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and go on from the written rows.
-
-    Cuts the lineage: a lost executor costs a task, never the work before this table.
-    """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return read_table(df.sparkSession, path, df.schema)
-
+#: Write an intermediate result to the shared folder and go on from the written rows. That cuts the lineage: a lost
+#: executor costs a task, never the work before this table.
+store = write_once
 
 _STATE: dict[Any, Any] = {}
 

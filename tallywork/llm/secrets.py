@@ -150,7 +150,8 @@ def scan(
     wanted = known.where(F.col("rules").isin(rules_version, *with_versions)).unionByName(new).where(F.size("spans") > 0)
     if with_versions:
         listed = wanted.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a row for each version
-        wanted = listed.select("blob", ordered(F.col("spans")).alias("spans"))
+        # Written, so that the join below shuffles plain rows, of which adaptive execution can split a blob with many paths.
+        wanted = store(listed.select("blob", ordered(F.col("spans")).alias("spans")), "secret-findings")
     # Blobs with findings are joined to all their paths; a blob with very many copies is split by adaptive execution.
     everywhere = paths.join(wanted.select("blob", "spans"), "blob", "left").select(
         *path, "blob", F.coalesce("spans", F.expr(_NO_SPANS)).alias("spans")
