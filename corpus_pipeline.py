@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.llm import bpe, jaccard, leaks, lines, quality
-from tallywork.llm.common import free_name, reach_workers, sha256_hex, store, table
+from tallywork.llm.common import free_name, reach_workers, sha256_hex, table
+from tallywork.sources.files import Files
+from tallywork.sources.tables import scratch_of_run, scratch_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Near-duplicates: five words, and a Jaccard similarity of 80 in the hundred or more.
@@ -77,9 +79,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each stored before the next one reads it."""
+    """All stages over the documents, each stored before the next one reads it; what a stage needed goes when it is done."""
     reach_workers(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_of_run(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.mode("append").parquet(path)
+        if before:
+            Files(spark).remove(before)
+        docs, before = spark.read.schema(made.schema).parquet(path), path
     return docs
