@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywork.operators.dedupe import latest_per_key
-from tallywork.operators.quantiles import group_quantiles
+from tallywork.operators import quantiles
+from tallywork.operators.quantiles import group_quantiles, sketched_quantiles
 from tallywork.operators.ranking import rank_descending
 from tallywork.plans import marts
 from tallywork.registry.queries import bucketed
@@ -17,6 +18,14 @@ from tallywork.registry.queries import bucketed
 QUARTILES = marts.QUARTILES
 
 
+def narrowing(df, keys, value, probs, min_count=1):
+    """Small sketches and few values inside, so that brackets are narrowed several times."""
+    return sketched_quantiles(df, keys, value, probs, min_count, k=200, inside_values=40)
+
+
+WAYS = pytest.mark.parametrize("way", [group_quantiles, sketched_quantiles, narrowing])
+
+
 def interpolated(values, p):
     values = sorted(values)
     position = p * (len(values) - 1)
@@ -52,8 +61,9 @@ def test_buckets_give_the_same_rows_also_with_a_hot_key(spark):
     assert Counter(map(tuple, got.collect())) == expected
 
 
+@WAYS
 @pytest.mark.parametrize("dtype", ["decimal(18,10)", "double", "bigint"])
-def test_quantiles_against_sorting(spark, dtype):
+def test_quantiles_against_sorting(spark, dtype, way):
     rng = random.Random(5)
     rows = []
     for i in range(6000):
@@ -70,7 +80,7 @@ def test_quantiles_against_sorting(spark, dtype):
             value = rng.randint(0, 10**7)
         rows.append((key, i % 3 or None, value))
     df = spark.createDataFrame(rows, "k string, m int, value bigint").withColumn("value", F.col("value").cast(dtype))
-    got = group_quantiles(df, ["k", "m"], "value", QUARTILES | {"p0": 0.0, "p100": 1.0}).collect()
+    got = way(df, ["k", "m"], "value", QUARTILES | {"p0": 0.0, "p100": 1.0}).collect()
     groups = defaultdict(list)
     for k, m, v in rows:
         if v is not None:
@@ -110,22 +120,51 @@ def test_total_says_how_exact_it_is(spark):
         assert str(row.total) == total
 
 
-def test_quantiles_with_nan_and_infinities(spark):
+@WAYS
+def test_quantiles_with_nan_and_infinities(spark, way):
     inf, nan = float("inf"), float("nan")
     df = spark.createDataFrame([("g", v) for v in (1.0, inf, -inf, nan, 3.0)], "k string, v double")
-    row = group_quantiles(df, ["k"], "v", {"low": 0.0, "mid": 0.5, "high": 0.75}).first()
+    row = way(df, ["k"], "v", {"low": 0.0, "mid": 0.5, "high": 0.75}).first()
     assert (row.n, row.low, row.mid, row.high) == (5, -inf, 3.0, inf)
 
 
-def test_total_of_big_integers_does_not_overflow(spark):
+@WAYS
+def test_quantiles_of_many_nans_and_infinities(spark, way):
+    odd = "CASE id % 4 WHEN 0 THEN double('nan') WHEN 1 THEN double('inf') WHEN 2 THEN -double('inf') ELSE double(id) END"
+    df = spark.range(8000).selectExpr("'g' AS k", f"{odd} AS v")
+    row = way(df, ["k"], "v", {"a": 0.1, "b": 0.3, "c": 0.6, "d": 0.7, "e": 0.9}).first()
+    # Each quarter: below all numbers, the numbers 3, 7, ... in order, above them, and NaN at last.
+    assert (row.a, row.c, row.d) == (-float("inf"), float("inf"), float("inf")) and row.e != row.e
+    assert row.b == pytest.approx(3 + 4 * (0.3 * 7999 - 2000))
+
+
+def test_a_quantile_outside_its_bracket_stops_the_query(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MARGIN", -40.0)  # brackets on the wrong side of their rank
+    df = spark.range(20_000).selectExpr("'g' AS k", "id AS v")
+    with pytest.raises(Exception, match="outside the bracket"):
+        sketched_quantiles(df, ["k"], "v", QUARTILES).collect()
+
+
+def test_sketched_quantiles_of_values_in_any_order(spark):
+    """A third of all rows one value, the rest distinct, in sorted, reversed and mixed order, in one hot group and many small ones."""
+    value = "if(id % 3 = 0, 777.0D, double(id) * 1.5)"
+    df = spark.range(90_000).selectExpr("if(id % 9 < 8, 'hot', concat('g', id % 900)) AS k", f"{value} AS v")
+    want = {tuple(r) for r in group_quantiles(df, ["k"], "v", QUARTILES).collect()}
+    for ordered in (df.orderBy("v"), df.orderBy(F.desc("v")), df.repartition(11), df.coalesce(1)):
+        assert {tuple(r) for r in sketched_quantiles(ordered, ["k"], "v", QUARTILES).collect()} == want
+
+
+@WAYS
+def test_total_of_big_integers_does_not_overflow(spark, way):
     df = spark.createDataFrame([("g", 2**62), ("g", 2**62), ("g", 5)], "k string, v long")
-    assert group_quantiles(df, ["k"], "v", QUARTILES).first().total == 2**63 + 5
+    assert way(df, ["k"], "v", QUARTILES).first().total == 2**63 + 5
 
 
-def test_small_groups_are_left_out_on_request(spark):
+@WAYS
+def test_small_groups_are_left_out_on_request(spark, way):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
-    assert [r.k for r in group_quantiles(df, ["k"], "v", QUARTILES, min_count=2).collect()] == ["a"]
-    assert group_quantiles(df.filter("v > 5"), ["k"], "v", QUARTILES).count() == 0
+    assert [r.k for r in way(df, ["k"], "v", QUARTILES, min_count=2).collect()] == ["a"]
+    assert way(df.filter("v > 5"), ["k"], "v", QUARTILES).count() == 0
 
 
 def test_rank_shares_and_skips(spark):
