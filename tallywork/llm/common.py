@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from typing import Any
@@ -16,7 +18,7 @@ from tallywork.sources.tables import write_once
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Code that runs in Spark's Python workers never holds more than about so many entries in a cache.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -35,6 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: executor costs a task, never the work before this table.
 store = write_once
 
+def release_memory() -> None:
+    """Give what was freed back to the machine: a worker lives on between tasks, beside others and the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 _STATE: dict[Any, Any] = {}
 
 
@@ -42,15 +53,17 @@ def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     """What a Python worker keeps between tasks under ``key``; only the last key's, since workers serve all operators."""
     if key not in _STATE:
         _STATE.clear()
+        release_memory()
         _STATE[key] = make()
     return _STATE[key]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """A few rows at a time, so that a worker's memory follows them and not Arrow's batch."""
+    """A few rows at a time, so that a worker's memory follows them and not Arrow's batch; the memory goes back at the end."""
     for batch in batches:
         for begin in range(0, batch.num_rows, rows):
             yield batch.slice(begin, rows)
+    release_memory()
 
 
 def free_name(wanted: str, taken: Iterable[str]) -> str:
