@@ -22,6 +22,8 @@ CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 # A record may begin at most so many bytes before a block that it reaches into; blocks bound it beyond that.
 MAX_RECORD_BYTES = 256 * 1024 * 1024
+# Lines of a block: what a task of one file split has read is cut into blocks of so many, also where a file cannot be split.
+BLOCK_LINES = 65_536
 
 # One field from its beginning: quoted, with what may follow the closing quote, or unquoted, in which quotes are text.
 # All repetition is possessive, so that no line is tried twice or needs a deep stack.
@@ -41,29 +43,35 @@ def read_csv(spark: SparkSession, path: str, records: str = "auto") -> DataFrame
     more fields than the header stops the load, as does a quoted field that is never closed.
 
     ``records`` only chooses the work: ``"line"`` expects each line to be a record and
-    stops where one is not; ``"block"`` puts records together from lines; ``"auto"`` looks
-    through the lines and does what they need. All split files over tasks.
+    stops where one is not; ``"block"`` puts records together from lines; ``"auto"`` does
+    what the lines need. All split files over tasks.
+
+    The source is read once: its lines are stored, each with what it does to the question whether a quoted field
+    is open, from either state. What the lines need is known from those marks alone, and rows are made of the
+    stored lines, so a slow or compressed source costs one reading whatever it holds.
     """
     if records not in ("auto", "line", "block"):
         raise ValueError(f"records must be 'auto', 'line' or 'block', not {records!r}")
     reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", True)
     names = [name.removesuffix("\r") for name in reader.csv(path).columns]  # reads the beginning of one file
-    lines = _lines(spark, path, names)
+    stored = write_once(_lines(spark, path, names), "csv-lines")
+    blocks = write_once(_blocks(stored.drop("value")), "csv-blocks")
     if records != "block":
-        simple, why = _each_line_a_record(_blocks(lines))
+        simple, why = _each_line_a_record(blocks)
         if simple:
-            texts = lines.select("value", F.col("like_header").alias("first"))
-            return _parsed(texts, names)
+            return _parsed(stored.select("value", F.col("like_header").alias("first")), names)
         if records == "line":
             raise ValueError(why)
-    stored = write_once(lines, "csv-lines")
-    blocks = write_once(_placed(_blocks(stored)), "csv-blocks")
+    blocks = write_once(_placed(blocks), "csv-blocks")
     _stop_at_open_quotes(blocks)
     return _parsed(_records(stored, blocks), names)
 
 
 def _lines(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """Lines with their place, and whether a field is open after them: if none was before (``out``), and if one was (``into``)."""
+    """Lines with their place, and whether a field is open after them: if none was before (``out``), and if one was (``into``).
+
+    A block is a number of lines that one task has read in a row, (start, part): its split of the file, and its place there.
+    """
     raw = F.col("value")
     value = F.when(raw.endswith("\r"), F.left(raw, F.length(raw) - 1)).otherwise(raw)
     quoted = F.contains("value", F.lit('"'))
@@ -73,10 +81,13 @@ def _lines(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
+            F.col("_metadata.file_block_start").alias("start"),
             F.monotonically_increasing_id().alias("line"),
             value.alias("value"),
         )
+        .withColumn("block", F.struct("start", F.floor(F.col("line") / BLOCK_LINES).alias("part")))
+        .drop("start")
+        .withColumn("bytes", F.octet_length("value"))
         .withColumn("out", quoted & ~F.col("value").rlike(_CLOSED))
         .withColumn("into", ~quoted | ~F.col("value").rlike(_CLOSING))
         .withColumn("like_header", F.translate("value", '"\r', "") == header)
@@ -101,6 +112,7 @@ def _blocks(lines: DataFrame) -> DataFrame:
             F.count_if("like_header").alias("headers"),
             F.min_by("like_header", "line").alias("begins_with_header"),
             F.min("line").alias("first_line"),
+            F.sum(F.col("bytes") + 1).alias("bytes"),
         )
         .withColumn("whole", F.aggregate("changes", start, after))
     )
@@ -111,7 +123,7 @@ def _each_line_a_record(blocks: DataFrame) -> tuple[bool, str]:
     files = blocks.groupBy("file").agg(
         F.sum("openers").alias("openers"),
         F.sum("headers").alias("headers"),
-        F.bool_or((F.col("block") == 0) & F.col("begins_with_header")).alias("headed"),
+        F.min_by("begins_with_header", "block").alias("headed"),
     )
     spanning, unheaded = files.agg(
         F.max(F.when(F.col("openers") > 0, F.col("file"))),
@@ -123,7 +135,10 @@ def _each_line_a_record(blocks: DataFrame) -> tuple[bool, str]:
 
 
 def _placed(blocks: DataFrame) -> DataFrame:
-    """Adds ``base``, whether a field is open where the block begins, and ``opened``, the (block, line) where it was opened."""
+    """Adds ``base``, whether a field is open where the block begins, and ``opened``, the (block, line) where it was opened.
+
+    ``far`` says how many bytes before this block the block begins in which that was.
+    """
     keeps, turns = F.col("whole.out") < F.col("whole.into"), F.col("whole.out") > F.col("whole.into")
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     here = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -142,20 +157,25 @@ def _placed(blocks: DataFrame) -> DataFrame:
 
     followed = F.aggregate("changes", F.struct(F.col("base").alias("open"), no_line.alias("line")), follow)
     opened = F.when(F.col("end.line").isNotNull(), F.struct("block", F.col("end.line").alias("line")))
+    begin = F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
     return (
         counted.withColumn("base", base)
         .withColumn("end", followed)
+        .withColumn("begin", begin)
         .withColumn("opened", F.last(opened, ignorenulls=True).over(earlier))
+        .withColumn("opened_at", F.last(F.when(opened.isNotNull(), F.col("begin")), ignorenulls=True).over(earlier))
+        .withColumn("is_first", F.col("block") == F.min("block").over(W.partitionBy("file")))
         .withColumn("is_last", F.col("block") == F.max("block").over(W.partitionBy("file")))
-        .select("file", "block", "base", "opened", "first_line", "is_last", F.col("end.open").alias("open_end"),
+        .select("file", "block", "base", "opened", "first_line", "is_first", "is_last", "opened_at",
+                (F.col("begin") - F.col("opened_at")).alias("far"), F.col("end.open").alias("open_end"),
                 (F.col("base") | (F.col("openers") > 0)).alias("spans"))
     )
 
 
 def _stop_at_open_quotes(blocks: DataFrame) -> None:
     """Before any record is gathered: stop if one is never closed or longer than a record may be."""
-    far = F.col("base") & (F.col("block") - F.col("opened.block") > MAX_RECORD_BYTES)
-    place = F.concat(F.col("file"), F.lit(", in the block from byte "), F.col("opened.block"))
+    far = F.col("base") & (F.col("far") > MAX_RECORD_BYTES)
+    place = F.concat(F.col("file"), F.lit(", in the block from byte "), F.col("opened_at"))
     unclosed, long = blocks.agg(
         F.max(F.when(F.col("is_last") & F.col("open_end"), F.col("file"))), F.max(F.when(far, place))
     ).first()
@@ -171,7 +191,7 @@ def _records(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     In blocks where no field is open across a line, a line is a record and is not shuffled.
     """
     placed = lines.join(blocks, ["file", "block"]).withColumn(
-        "first", (F.col("block") == 0) & (F.col("line") == F.col("first_line"))
+        "first", F.col("is_first") & (F.col("line") == F.col("first_line"))
     )
     inside = W.partitionBy("file", "block").orderBy("line")
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)

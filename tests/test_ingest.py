@@ -1,6 +1,8 @@
 """CSV input: quoting, newlines, null tokens, missing columns, one load time."""
 
 import csv
+import gzip
+import io
 import random
 from datetime import datetime, timedelta, timezone
 
@@ -194,6 +196,49 @@ def test_a_record_without_end_is_named_before_it_is_gathered(spark, tmp_path, sm
         ingest.read_csv(spark, str(path))
 
 
+@pytest.mark.parametrize("records", ["auto", "line", "block"])
+@pytest.mark.parametrize("spanning", [False, True])
+def test_the_source_is_read_once(spark, tmp_path, monkeypatch, records, spanning):
+    """The lines come from one scan that is stored; what follows does not need the source any more."""
+    if spanning and records == "line":
+        pytest.skip("stops")
+    path = tmp_path / "a.csv"
+    path.write_text("Id,Text\n" + "".join(f'{i},"{chr(10) if spanning else "x"}"\n' for i in range(500)))
+    written, whole = [], ingest.write_once
+
+    def noted(df, name):
+        written.append(df._jdf.queryExecution().executedPlan().toString().count("FileScan text"))
+        return whole(df, name)
+
+    monkeypatch.setattr(ingest, "write_once", noted)
+    df = ingest.read_csv(spark, str(path), records)
+    assert sum(written) == 1 and "FileScan text" not in df._jdf.queryExecution().executedPlan().toString()
+    path.unlink()
+    assert df.count() == 500
+
+
+@pytest.mark.parametrize("lines", [1, 7, 1000])
+def test_a_compressed_file_has_blocks_of_bounded_size(spark, tmp_path, monkeypatch, lines):
+    """It cannot be split, but its lines are cut into blocks, which are put together like those of any other file."""
+    rng = random.Random(5)
+    rows = [[str(i), "".join(rng.choices(["a", ",", '"', "\n", " "], k=rng.randint(1, 12))) + "."] for i in range(300)]
+    text = io.StringIO()
+    writer = csv.writer(text, lineterminator="\n")
+    writer.writerow(["Id", "Text"])
+    writer.writerows(rows)
+    path = tmp_path / "a.csv.gz"
+    path.write_bytes(gzip.compress(text.getvalue().encode()))
+    monkeypatch.setattr(ingest, "BLOCK_LINES", lines)
+    assert sorted(map(list, ingest.read_csv(spark, str(path)).collect())) == sorted(rows)
+    blocks = ingest._blocks(ingest._lines(spark, str(path), ["Id", "Text"]))
+    assert blocks.agg(F.max(F.size("changes"))).first()[0] <= lines
+    monkeypatch.setattr(ingest, "MAX_RECORD_BYTES", 100)
+    path.write_bytes(gzip.compress(("Id,Text\n1,\"open\n" + "2,x\n" * 3000 + '3,"y\n').encode()))
+    if lines < 1000:
+        with pytest.raises(ValueError, match="a record of more than 100 bytes"):
+            ingest.read_csv(spark, str(path))
+
+
 def test_unknown_way(spark):
     with pytest.raises(ValueError):
         ingest.read_csv(spark, "x", "magic")
