@@ -266,6 +266,30 @@ _THREE_TYPES = _MARTS.replace(
     "), adoption AS", f" UNION ALL {usage('platform', 'platform', 'Platform')}), adoption AS", 1
 )
 
+# A whole run loads the cleaned texts at one time, so equal keys are told apart by their texts alone.
+_TEXTS = tuple(SURVEY_COLUMNS.values())
+_TIDY = f"SELECT {', '.join(cleaned(c) for c in _TEXTS)}, TIMESTAMP '2024-07-01 00:00:00' AS loaded_at FROM raw"
+_RUN = f", tidy AS ({_TIDY})" + _STAGING.replace(
+    "SELECT * FROM raw WHERE response_id IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY loaded_at DESC NULLS LAST) = 1",
+    "SELECT * FROM tidy WHERE response_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY "
+    + ", ".join(f"{c} NULLS LAST" for c in _TEXTS if c != "response_id")
+    + ") = 1",
+)
+_RUN_LAYERS = " UNION ALL ".join(
+    [
+        *(
+            f"SELECT '{name}' AS name, count(*) AS n FROM {table}"
+            for name, table in (
+                ("raw", "tidy"), ("staging", "stg"), ("languages", "language"), ("databases", "database"),
+                ("salary", "salary"), ("adoption", "adoption"), ("sentiment", "sentiment"),
+            )
+        ),
+        "VALUES ('issues', 6), ('losses', 4), ('tests', 13)",
+        f"SELECT test_name, failures FROM ({_TESTS.replace('FROM raw ', 'FROM tidy ')}) tests",
+    ]
+)
+
 
 ORACLE: dict[str, str] = {
     "select_rename": (
@@ -355,6 +379,9 @@ ORACLE: dict[str, str] = {
         "SELECT tech_type, tech_name, total_users, usage_rank FROM adoption", ctes=_ADOPTION_CTES
     ),
     "tech_adoption": from_staging("SELECT * FROM adoption", ctes=_ADOPTION_CTES),
+    "sql_adoption": from_staging("SELECT * FROM adoption", ctes=_ADOPTION_CTES),
+    "whole_run": f"{raw_survey_ctes('uncleaned')}{_RUN}{_ADOPTION_CTES} SELECT * FROM adoption",
+    "whole_run_layers": f"{raw_survey_ctes('uncleaned')}{_RUN}{_MARTS} {_RUN_LAYERS}",
     "avg_if_numeric": from_staging(f"SELECT country, {_JOB_SAT} FROM stg GROUP BY country"),
     "ai_sentiment": from_staging(_SENTIMENT),
     "avg_if_numeric_long": from_staging(

@@ -16,7 +16,7 @@ from tallywork.functions.numeric import band
 from tallywork.operators import multiselect
 from tallywork.operators.dedupe import latest_per_key
 from tallywork.operators.quantiles import group_quantiles
-from tallywork.plans import marts, pipeline, quality
+from tallywork.plans import catalog, marts, pipeline, quality
 from tallywork.plans.staging import cast_losses, stage
 from tallywork.sources import ingest
 from tallywork.sources.schemas import RAW_SCHEMA, SURVEY_COLUMNS
@@ -285,6 +285,59 @@ def tech_adoption(spark, sf_dir):
     return marts.tech_adoption(staged(spark, sf_dir))
 
 
+ADOPTION_SQL = """
+WITH used AS (
+    SELECT language AS tech_name, 'Language' AS tech_type, response_id, wants_to_continue FROM {languages}
+    UNION ALL
+    SELECT database_name, 'Database', response_id, wants_to_continue FROM {databases}),
+counted AS (
+    SELECT tech_name, tech_type, count(DISTINCT response_id) AS total_users,
+           count_if(wants_to_continue) AS want_to_continue_count,
+           cast(round(cast(100 * count_if(wants_to_continue) AS decimal(38, 4)) / count(DISTINCT response_id), 1) AS double)
+               AS retention_rate_pct
+    FROM used GROUP BY tech_name, tech_type)
+SELECT *, cast(rank() OVER (PARTITION BY tech_type ORDER BY total_users DESC) AS bigint) AS usage_rank
+FROM counted WHERE total_users >= 100
+"""
+
+
+def published(spark: SparkSession, out: str) -> dict[str, str]:
+    """Names of the layers below ``out`` in databases of their own."""
+    return catalog.publish(spark, out, f"{out.rstrip('/').rsplit('/', 1)[-1].replace('-', '_')}_")
+
+
+@query
+def sql_adoption(spark, sf_dir):
+    """The adoption mart written in SQL over the catalog's names."""
+    out = scratch_path(spark, "sql")
+    with pipeline.tables(spark, out).draft() as draft:
+        draft.write("staging", staged(spark, sf_dir), key="response_id")
+    return spark.sql(ADOPTION_SQL.format(**published(spark, out)))
+
+
+def run_from_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The whole run, from CSV files of the survey to test results; where its tables are."""
+    answers = raw_survey(spark, sf_dir, "uncleaned")
+    source = answers.select(*[F.col(raw).alias(name) for name, raw in SURVEY_COLUMNS.items()])
+    out = scratch_path(spark, "run")
+    pipeline.run(spark, written_as_csv(source, "survey"), out, datetime(2024, 7, 1))
+    return out
+
+
+@query
+def whole_run(spark, sf_dir):
+    """The adoption mart that a whole run has stored."""
+    return spark.table(published(spark, run_from_csv(spark, sf_dir))["adoption"])
+
+
+@query
+def whole_run_layers(spark, sf_dir):
+    """Every layer of a whole run by its rows, and the tests by their failures."""
+    names = published(spark, run_from_csv(spark, sf_dir))
+    rows = [f"SELECT '{layer}' AS name, count(*) AS n FROM {names[layer]}" for layer in names]
+    return spark.sql(" UNION ALL ".join([*rows, f"SELECT test_name, failures FROM {names['tests']}"]))
+
+
 def places(ordered: DataFrame, order: list) -> DataFrame:
     """The rows with their place in the display order; a mart is a report, so its rows may meet."""
     return ordered.withColumn("place", F.row_number().over(Window.orderBy(*order)))

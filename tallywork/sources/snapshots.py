@@ -58,17 +58,19 @@ class Version:
         return T.StructType.fromJson(json.loads(self.schema))
 
 
+def register_version(spark: SparkSession, root: str, version: Version) -> str:
+    """The name of a version in the session's catalog, under which its buckets are known; made if it is not there yet."""
+    name = f"{spark.catalog.currentCatalog()}.default.{version.name}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.struct)
+    dealt = f"CLUSTERED BY (`{version.key}`) SORTED BY (`{version.key}`) INTO {version.buckets} BUCKETS" if version.even else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {dealt} LOCATION '{root}/{version.path}'")
+    return name
+
+
 def read_version(spark: SparkSession, root: str, version: Version) -> DataFrame:
-    path = f"{root}/{version.path}"
-    if not version.even:
-        return spark.read.schema(version.struct).parquet(path)
-    if not spark.catalog.tableExists(version.name):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.struct)
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {version.name} ({columns}) USING parquet CLUSTERED BY (`{version.key}`) "
-            f"SORTED BY (`{version.key}`) INTO {version.buckets} BUCKETS LOCATION '{path}'"
-        )
-    return spark.table(version.name)
+    if version.even:
+        return spark.table(register_version(spark, root, version))
+    return spark.read.schema(version.struct).parquet(f"{root}/{version.path}")
 
 
 @dataclass(frozen=True)
@@ -148,7 +150,7 @@ class TableSet:
                     self.remove_version(f"{folder}/{version}")
 
     def remove_version(self, path: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {Version(path, '').name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS default.{Version(path, '').name}")
         self.files.remove(f"{self.root}/{path}")
 
 
@@ -207,9 +209,9 @@ class Draft:
         version = Version(path, df.schema.json(), {}, key, buckets)
         try:
             if key:
-                rows.write.bucketBy(buckets, key).sortBy(key).option("path", whole).saveAsTable(version.name)
+                rows.write.bucketBy(buckets, key).sortBy(key).option("path", whole).saveAsTable(f"default.{version.name}")
                 # The name may be of no use beyond this session; read_version makes it anew where the buckets are even.
-                self.spark.sql(f"DROP TABLE {version.name}")
+                self.spark.sql(f"DROP TABLE default.{version.name}")
             else:
                 rows.write.parquet(whole)
         except Exception:
