@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallywork.functions.numeric import band, percent, ratio
 from tallywork.functions.text import to_decimal
 from tallywork.operators.multiselect import explode_multiselect, item_flag_counts
-from tallywork.operators.quantiles import group_quantiles
+from tallywork.operators.quantiles import sketched_quantiles
 from tallywork.operators.ranking import rank_descending
 from tallywork.sources.schemas import SATISFACTION_TYPE
 
@@ -27,6 +27,8 @@ LANGUAGE = ("Language", "language_have_worked", "language_want_work")
 DATABASE = ("Database", "database_have_worked", "database_want_work")
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 SALARY_KEYS = ("country", "experience_band", "dev_type", "remote_work", "org_size")
+# The columns of staging that the salary mart reads.
+SALARY_INPUT = ("country", "years_code_pro", "dev_type", "remote_work", "org_size", "comp_total_usd")
 ADOPTION_ORDER = ["tech_type", "usage_rank", "tech_name"]
 SENTIMENT_KEYS = ("country", "dev_type", "ai_select", "ai_sent", "ai_threat")
 
@@ -51,7 +53,10 @@ def in_pay_range(stg: DataFrame, low: int = PAY_RANGE[0], high: int = PAY_RANGE[
 
 
 def salary_segments(stg: DataFrame, min_count: int = MIN_SALARY_GROUP) -> DataFrame:
-    """Pay by country, experience, role, remote work and size: count, mean, exact quartiles, range."""
+    """Pay by country, experience, role, remote work and size: count, mean, exact quartiles, range.
+
+    Reads ``stg`` twice, so it should be a stored table.
+    """
     rows = in_pay_range(stg).select(
         "country",
         experience_band(F.col("years_code_pro")).alias("experience_band"),
@@ -60,7 +65,7 @@ def salary_segments(stg: DataFrame, min_count: int = MIN_SALARY_GROUP) -> DataFr
         "org_size",
         F.col("comp_total_usd").cast("decimal(18,10)").alias("pay"),  # the range fits: eight bytes, not sixteen
     )
-    stats = group_quantiles(rows, SALARY_KEYS, "pay", QUARTILES, min_count)
+    stats = sketched_quantiles(rows, SALARY_KEYS, "pay", QUARTILES, min_count)
     return stats.select(
         *SALARY_KEYS,
         F.col("n").alias("respondent_count"),
