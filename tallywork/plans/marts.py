@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band, percent, ratio
 from tallywork.functions.text import to_decimal
+from tallywork.operators import bitmaps
 from tallywork.operators.multiselect import explode_multiselect, item_flag_counts
 from tallywork.operators.quantiles import sketched_quantiles
 from tallywork.operators.ranking import rank_descending
@@ -108,6 +110,27 @@ def exploded_usage(exploded: DataFrame, item: str, tech_type: str) -> DataFrame:
     return _with_retention(usage.withColumn("tech_type", F.lit(tech_type)))
 
 
+def usage_load(rows: DataFrame, ids: DataFrame, lists: Sequence[tuple[str, str, str]] = (LANGUAGE, DATABASE)) -> DataFrame:
+    """What one load of answers adds to the usage of items: bitmaps of respondents and wishes, by type and item.
+
+    ``ids`` numbers the respondents of all loads (``dense_ids``); a respondent may have several rows and come in several loads.
+    """
+    numbered = rows.join(ids, "response_id", "left")
+    parts = [
+        explode_multiselect(numbered, have, want, "tech_name", ["id"]).withColumn("tech_type", F.lit(tag)) for tag, have, want in lists
+    ]
+    wishes = F.count_if("wants_to_continue").alias("wishes")
+    return bitmaps.id_bitmaps(reduce(DataFrame.unionByName, parts), ["tech_type", "tech_name"], "id", wishes)
+
+
+def loads_usage(loads: Sequence[DataFrame]) -> DataFrame:
+    """Users, wish to continue and retention per item over any loads of ``usage_load``, none of which is read again."""
+    group = ["tech_type", "tech_name"]
+    whole = bitmaps.merged_bitmaps(loads, group, ["wishes"])
+    usage = bitmaps.counted_bitmaps(whole, group, "total_users", ["wishes"])
+    return _with_retention(usage.withColumnRenamed("wishes", "want_to_continue_count"))
+
+
 def _with_retention(usage: DataFrame) -> DataFrame:
     rate = percent(F.col("want_to_continue_count"), F.col("total_users"))
     return usage.select(

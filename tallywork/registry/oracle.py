@@ -370,6 +370,10 @@ ORACLE: dict[str, str] = {
         f"{usage('language', 'language', 'Language')} UNION ALL {usage('database', 'database_name', 'Database')}",
         ctes=_LANGUAGES + _DATABASES,
     ),
+    "usage_from_loads": (
+        f"{raw_survey_ctes()}{_ALL_ROWS}{_LANGUAGES}{_DATABASES} {usage('language', 'language', 'Language')} "
+        f"UNION ALL {usage('database', 'database_name', 'Database')}"
+    ),
     "item_usage": from_staging(
         f"{usage('language', 'language', 'Language')} UNION ALL {usage('database', 'database_name', 'Database')} "
         f"UNION ALL {usage('platform', 'platform', 'Platform')}",

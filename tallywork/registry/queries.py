@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.numeric import band
 from tallywork.operators import multiselect
+from tallywork.operators.bitmaps import dense_ids
 from tallywork.operators.dedupe import latest_per_key
 from tallywork.operators.quantiles import group_quantiles, sketched_quantiles
 from tallywork.plans import catalog, marts, pipeline, quality
@@ -274,6 +275,20 @@ def retention_rate(spark, sf_dir):
     return languages.unionByName(marts.exploded_usage(marts.databases_exploded(stg), "database_name", "Database"))
 
 
+@query
+def usage_from_loads(spark, sf_dir):
+    """All answers, repeats among them, in two loads: each is counted once, and what they have stored is added up."""
+    raw = raw_survey(spark, sf_dir)
+    columns = [c for _, *lists in (marts.LANGUAGE, marts.DATABASE) for c in lists]
+    rows = write_once(raw.select("response_id", (F.dayofweek("loaded_at") % 2).alias("load"), *columns), "answers")
+    loads, ids = [], None
+    for load in (0, 1):
+        new = rows.where(F.col("load") == load)
+        ids = write_once(dense_ids(new, "response_id", ids), "respondents")
+        loads.append(write_once(marts.usage_load(new, ids), "usage"))
+    return marts.loads_usage(loads)
+
+
 @query
 def item_usage(spark, sf_dir):
     """The same figures for all three lists in one pass over staging, without the distinct."""
