@@ -95,8 +95,8 @@ def train(
     labelled: DataFrame,
     max_labelled: int = MAX_LABELLED,
     buckets: int = BUCKETS,
-    steps: int = 12,
-    rate: float = 2.0,
+    steps: int = 30,
+    rate: float = 4.0,
     shrink: float = 1e-4,
 ) -> UrlModel:
     """Fit to a labelled table (host, path, label 0 or 1), at most ``max_labelled`` distinct URLs of it, lowest hashes first."""
@@ -135,7 +135,7 @@ def train(
                 g = e / count + shrink * weights[b]
                 squares[b] += g * g
                 weights[b] -= rate * g / math.sqrt(squares[b])
-        rate *= 0.85
+        rate *= 0.93
     return UrlModel(weights, bias)
 
 
