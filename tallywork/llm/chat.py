@@ -12,8 +12,9 @@ more, so ``</s>`` is stored as ``<\\/s>`` and ``<\\/s>`` as ``<\\\\/s>``; taking
 again gives the original. No other character changes.
 
 Defined cases: null texts and roles are empty; rows of one conversation are ordered by
-turn, then role, then text, and repeated rows stay repeated; a null turn comes first; all
-rows without a conversation id form one conversation. Extra columns are not looked at.
+turn, then role, then text, and repeated rows stay repeated; a null turn comes first; each
+row without a conversation id is a conversation of its own, since nothing says what belongs together, told
+apart by ``row`` (null for all others). Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -41,13 +42,14 @@ def _header(turn: Column) -> Column:
 def format_conversations(
     rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """One row per example: conv_id, example, text, loss_start, loss_chars (code points; null without a target), last.
+    """One row per example: conv_id, row, example, text, loss_start, loss_chars (code points; null without a target), last.
 
     ``last`` marks the example that holds all turns of its conversation.
     """
     empty = F.lit("")
     turns = rows.select(
         F.col(conv).alias("conv_id"),
+        F.when(F.col(conv).isNull(), F.monotonically_increasing_id()).alias("row"),
         F.struct(
             F.col(turn).alias("turn"),
             F.coalesce(F.col(role), empty).alias("role"),
@@ -55,7 +57,7 @@ def format_conversations(
         ).alias("t"),
     )
     # A conversation is one training text, so its turns meet in one row by definition.
-    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    whole = turns.groupBy("conv_id", "row").agg(F.array_sort(F.collect_list("t")).alias("turns"))
     marked = whole.withColumn(
         "parts",
         F.transform(
@@ -67,12 +69,13 @@ def format_conversations(
     )
     is_end = lambda part, i: part["target"] | (i == F.size("parts") - 1)
     ends = F.filter(F.transform("parts", lambda p, i: F.when(is_end(p, i), i)), lambda i: i.isNotNull())
-    examples = marked.select("conv_id", "parts", F.posexplode(ends).alias("example", "upto"))
+    examples = marked.select("conv_id", "row", "parts", F.posexplode(ends).alias("example", "upto"))
     piece = lambda p: F.concat(p["head"], p["body"], F.lit(END))
     target = F.element_at("parts", F.col("upto") + 1)
     formatted = F.array_join(F.transform(F.slice("parts", F.lit(1), F.col("upto") + 1), piece), "")
     return examples.select(
         "conv_id",
+        "row",
         "example",
         formatted.alias("text"),
         target["target"].alias("has_target"),
@@ -80,6 +83,7 @@ def format_conversations(
         (F.col("upto") == F.size("parts") - 1).alias("last"),
     ).select(
         "conv_id",
+        "row",
         "example",
         "text",
         F.when(F.col("has_target"), F.char_length("text") - F.col("body_chars") - len(END)).alias("loss_start"),
@@ -111,6 +115,7 @@ def conversation_digests(examples: DataFrame) -> DataFrame:
     turn_text = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
     read = examples.select(
         "conv_id",
+        "row",
         "example",
         F.char_length("text").cast("long").alias("chars"),
         F.when(F.col("loss_start").isNotNull(), trainable(F.col("text"), F.col("loss_start"), F.col("loss_chars"))).alias(
@@ -119,6 +124,7 @@ def conversation_digests(examples: DataFrame) -> DataFrame:
         F.when(F.col("last"), read_turns(F.col("text"))).alias("turns"),
     ).select(
         "conv_id",
+        "row",
         "example",
         "chars",
         "loss",
@@ -128,7 +134,7 @@ def conversation_digests(examples: DataFrame) -> DataFrame:
     # One digest per conversation: the slim columns of its examples meet, not their texts.
     replies = F.array_sort(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("example", "loss"))))
     return (
-        read.groupBy("conv_id")
+        read.groupBy("conv_id", "row")
         .agg(
             F.max("n_turns").alias("n_turns"),
             F.max("hash").alias("turns_sha256"),

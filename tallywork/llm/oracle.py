@@ -72,16 +72,17 @@ WITH turns AS (
     SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role,
            coalesce(text, '') AS text FROM conversations
     UNION ALL VALUES (-1, 0, 'user', '{_CONTROL}'), (-1, 1, 'assistant', '{_CONTROL}')),
+told AS (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM turns),
 placed AS (
-    SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS size,
+    SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id, alone) AS size,
            sum(17 + length({_ESCAPE.format("role")}) + length({_ESCAPE.format("text")})) OVER w AS upto
-    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+    FROM told WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(upto) FILTER (WHERE role = 'assistant' OR place = size)::BIGINT AS formatted_chars
-FROM placed GROUP BY conv_id
+FROM placed GROUP BY conv_id, alone
 """
 
 
