@@ -191,11 +191,23 @@ def fit_label_model(
     return post[:, 1], table
 
 
+def rule_accuracies(patterns: np.ndarray, counts: np.ndarray, posterior: np.ndarray) -> list[tuple[str, int, float | None]]:
+    """(rule, votes, accuracy): how often each rule votes, and how often it is right by the model; None if it never votes."""
+    found = []
+    for k, name in enumerate(RULES):
+        right = np.where(patterns[:, k] > 0, posterior, 1 - posterior)
+        voting = np.where(patterns[:, k] != 0, counts, 0)
+        votes_ = int(voting.sum())
+        found.append((name, votes_, float((right * voting).sum() / votes_) if votes_ else None))
+    return found
+
+
 @dataclass(frozen=True)
 class LabelModel:
-    """The posterior probability of good for every vote pattern that occurs."""
+    """The posterior probability of good for every vote pattern that occurs, and what the model thinks of each rule."""
 
     patterns: DataFrame
+    rules: DataFrame
     keep_at: float
 
     def judged(self, voted: DataFrame) -> DataFrame:
@@ -213,10 +225,13 @@ def fit(voted: DataFrame, keep_at: float = 0.5) -> LabelModel:
     names = [f"vote_{name}" for name in RULES]
     seen = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # at most 3^rules rows
     patterns = np.array([[r[c] for c in names] for r in seen], dtype=np.int64).reshape(-1, len(names))
-    posterior, _ = fit_label_model(patterns, np.array([r.n for r in seen], dtype=float))
+    counts = np.array([r.n for r in seen], dtype=float)
+    posterior, _ = fit_label_model(patterns, counts)
+    spark = voted.sparkSession
+    rules = spark.createDataFrame(rule_accuracies(patterns, counts, posterior), "rule string, votes long, accuracy double")
     rows = [(*map(int, p), float(q)) for p, q in zip(patterns, posterior, strict=True)]
     kind = ", ".join(f"{c} tinyint" for c in names) + ", quality double"
-    return LabelModel(voted.sparkSession.createDataFrame(rows, kind), keep_at)
+    return LabelModel(spark.createDataFrame(rows, kind), rules, keep_at)
 
 
 def judge(docs: DataFrame, text: str = "text", keep_at: float = 0.5) -> DataFrame:

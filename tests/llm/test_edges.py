@@ -9,6 +9,7 @@ import time
 from pathlib import Path
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -34,6 +35,7 @@ from tallywork.llm import (  # noqa: E402
     urls,
 )
 from tallywork.llm.components import components  # noqa: E402
+from tallywork.llm.oracle import ORACLE  # noqa: E402
 
 PROSE = "the quick brown fox jumps over the lazy dog and then it walks home through a quiet forest near the river bank."
 OTHER = " ".join(f"word{i}" for i in range(60)) + "."
@@ -238,6 +240,26 @@ def test_many_hits_in_one_text_take_linear_time(spark):
     assert got.n == 200_000 and got["last"]["end"] == len(text) - 1
 
 
+def test_rule_accuracies(spark):
+    """The model's own estimate of each rule, from votes whose truth is known here."""
+    rng = np.random.default_rng(3)
+    good = rng.random(4000) < 0.8
+    accuracy = [0.95, 0.9, 0.9, 0.7] + [0.8] * (len(quality.RULES) - 4)
+    patterns = np.zeros((4000, len(quality.RULES)), dtype=int)
+    for k, a in enumerate(accuracy[:-1]):  # the last rule never votes
+        votes, right = rng.random(4000) < 0.7, rng.random(4000) < a
+        patterns[:, k] = np.where(votes, np.where(good == right, 1, -1), 0)
+    distinct, counts = np.unique(patterns, axis=0, return_counts=True)
+    posterior, _ = quality.fit_label_model(distinct, counts)
+    found = quality.rule_accuracies(distinct, counts, posterior)
+    assert [f[0] for f in found] == list(quality.RULES) and found[-1][1:] == (0, None)
+    for (_, votes, estimate), a, k in zip(found[:-1], accuracy, range(20)):
+        assert votes == (patterns[:, k] != 0).sum() and abs(estimate - a) < 0.04
+    rows = spark.createDataFrame(ROWS, SCHEMA)
+    model = quality.fit(quality.votes(quality.text_counts(rows)))
+    assert model.rules.count() == len(quality.RULES) and all(0 <= (r.accuracy or 0) <= 1 for r in model.rules.collect())
+
+
 def test_quality(spark, docs):
     rows = quality.judge(docs).collect()
     assert bag(r.doc_id for r in rows) == bag(r[0] for r in ROWS)
@@ -561,6 +583,20 @@ def test_chat(spark):
     assert chat.conversation_digests(chat.format_conversations(table.limit(0))).collect() == []
 
 
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, i % 3, "assistant" if i % 2 else "user", f"text {i % 4}") for i in range(300)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    examples = chat.format_conversations(table)
+    assert examples.count() == 301 and examples.where("row IS NOT NULL").select("row").distinct().count() == 300
+    connection = duckdb.connect()
+    connection.register("conversations", table.toArrow())
+    result = connection.execute(ORACLE["op8_prefix_targets"])
+    columns = [d[0] for d in result.description]
+    want = collections.Counter(r for r in result.fetchall() if r[0] != -1)  # the query's own two rows
+    assert collections.Counter(map(tuple, chat.conversation_digests(examples).select(*columns).collect())) == want
+    assert sum(want.values()) == 301
+
+
 def test_urls(spark):
     given = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/x?y#z", "x://example.org/en/1", "x://example.org?q", "a://b.com/fr/://c",
              "http://É.COM/de/", "http://notexample.org/es/", "http://example.org/es/", "http://example.org/es/"]

@@ -17,6 +17,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from tallywork.llm import urls  # noqa: E402
+from tallywork.llm.common import table  # noqa: E402
 from tallywork.llm.leaks import words_of  # noqa: E402
 from tallywork.llm.oracle import ORACLE  # noqa: E402
 from tallywork.llm.queries import QUERIES, URL_RULES  # noqa: E402
@@ -97,6 +101,19 @@ def test_op3_rules_and_verdicts(spark, duck):
     assert sum((r.block_probability > 0.5) == (r.verdict == "block") for r in decided) >= 0.9 * len(decided)
 
 
+def test_op3_knows_urls_that_the_rules_decide_without_having_seen_them(spark):
+    """A fifth of them is held out, by a hash of the address; accuracy by family of hosts."""
+    decided = urls.with_rule(urls.with_parts(table(spark, "/root/testdata/sf0.1", "pages").select("url")), URL_RULES).where("rule IS NOT NULL")
+    labelled = decided.select("host", "path", "rule", (F.col("rule_verdict") == "block").cast("int").alias("label")).distinct()
+    held_out = F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0
+    model = urls.train(labelled.where(~held_out))
+    p = model.probability(F.col("host"), F.col("path"))
+    by_rule = labelled.where(held_out).groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.avg(((p > 0.5).cast("int") == F.col("label")).cast("int")).alias("right"))
+    found = {r.rule: (r.n, r.right) for r in by_rule.collect()}
+    assert set(found) == {rule for _, rule in URL_RULES}
+    assert sum(n * right for n, right in found.values()) >= 0.95 * sum(n for n, _ in found.values())
+
+
 def test_op4_base_counts_and_labels(spark, duck, docs):
     rows = {r.doc_id: r for r in rows_of(spark, "op4_weak_supervision")}
     assert len(rows) == len(docs)
