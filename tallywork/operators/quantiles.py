@@ -7,10 +7,11 @@ work to derive. Both give the same result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,8 +205,10 @@ def sketched_quantiles(
     opened = F.struct(F.lit(-float("inf")).alias("low"), F.lit(float("inf")).alias("high"))
     n = F.col("n")
     found = [F.when(n > k, _bracket(F.col("grid"), low, high, n, margin)).otherwise(opened) for low, high in ranks]
-    groups = write_once(begun.withColumn("brackets", F.array(*found)).drop("sketch", "grid"), "quantile-brackets")
-    n_groups, most = groups.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    seen = Observation(uuid.uuid4().hex)
+    brackets = begun.withColumn("brackets", F.array(*found)).drop("sketch", "grid")
+    groups = write_once(brackets.observe(seen, F.count(F.lit(1)).alias("n"), F.max("n").alias("most")), "quantile-brackets")
+    n_groups, most = seen.get["n"], seen.get["most"] or 0
     join = F.broadcast if n_groups <= BROADCAST_GROUPS else lambda table: table
     width = 2 * (margin + 1 / GRID)
     while most * width > inside_values:
