@@ -60,6 +60,9 @@ RULES = BASE_RULES + MORE_RULES
 BASE_VERSION, MORE_VERSION, RULES_VERSION = "base3", "more5", "base3+more5"
 LEDGER = "blob string, rules string, spans array<struct<kind:string,start:long,end:long>>"
 
+#: Lists of blobs up to so many rows (an address of 64 characters and a path each) are broadcast; longer ones are joined by shuffle.
+BROADCAST_BLOBS = 100_000
+
 _NO_SPANS = "CAST(array() AS array<struct<kind:string,start:long,end:long>>)"
 
 
@@ -84,6 +87,7 @@ def blob_spans(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     per_rule = F.array(*(F.struct(F.lit(i).alias("rule"), _lengths(F.col("content"), rule).alias("hits")) for i, rule in enumerate(rules)))
     with_hits = blobs.select("blob", F.explode(F.filter(per_rule, lambda r: r["hits"].isNotNull())).alias("r"))
     hits = with_hits.select("blob", "r.rule", F.posexplode("r.hits").alias("number", "hit"))
+    hits = hits.dropDuplicates(["blob", "rule", "number"])  # a blob may come in several rows that are all alike
     upto = Window.partitionBy("blob", "rule").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("hit.gap") + F.col("hit.hit")).over(upto)
     least = F.element_at(F.array(*(F.lit(rule.least) for rule in rules)), F.col("rule") + 1)
@@ -111,6 +115,10 @@ def _blob(content: str) -> Column:
     return F.sha2(F.coalesce(F.col(content), F.lit("")), 256)
 
 
+def _bounded(blobs: DataFrame) -> DataFrame:
+    return F.broadcast(blobs) if blobs.count() <= BROADCAST_BLOBS else blobs
+
+
 def scan(
     versions: DataFrame,
     path: list[str],
@@ -130,19 +138,23 @@ def scan(
     seen = known.where(F.col("rules") == rules_version)
     paths = store(address(versions, path, content), "secret-paths")
     # One row per blob: any of its paths will do, so the smallest. Counted map side first, however many copies.
-    one = paths.groupBy("blob").agg(F.min(F.struct(*path)).alias("at"))
-    unseen = one.join(seen.select("blob"), "blob", "left_anti").select(
-        F.col("blob").alias("blob_"), *(F.col("at")[c].alias(f"at_{i}") for i, c in enumerate(path))
-    )
+    one = paths.groupBy("blob").agg(F.min(F.struct(*path)).alias("at"), F.count(F.lit(1)).alias("rows"))
+    unseen = store(one.join(seen.select("blob"), "blob", "left_anti"), "secret-unseen")
     read = versions.select(*path, F.coalesce(F.col(content), F.lit("")).alias("content"), _blob(content).alias("blob"))
-    # Joined on blob and path, so the copies of a blob are spread over all tasks and only one of them is scanned.
-    chosen = F.col("blob") == F.col("blob_")
-    for i, c in enumerate(path):
-        chosen &= F.col(c).eqNullSafe(F.col(f"at_{i}"))
-    once = read.join(unseen, chosen, "left_semi").select("blob", "content").dropDuplicates(["blob"])
+    first = F.lit(True)
+    for c in path:
+        first &= F.col(c).eqNullSafe(F.col("at_")[c])
+    if seen.isEmpty():
+        # A blob of one row is scanned where it lies; only of the others a row must be chosen.
+        copied = unseen.where("rows > 1").select(F.col("blob").alias("blob_"), F.col("at").alias("at_"))
+        once = read.join(_bounded(copied), F.col("blob") == F.col("blob_"), "left").where(F.col("blob_").isNull() | first)
+    else:
+        # Joined on blob and path, so the copies of a blob are spread over all tasks and only one of them is scanned.
+        wanted_rows = unseen.select(F.col("blob").alias("blob_"), F.col("at").alias("at_"))
+        once = read.join(_bounded(wanted_rows), (F.col("blob") == F.col("blob_")) & first, "left_semi")
     found = blob_spans(once, rules)
     new = store(
-        unseen.select(F.col("blob_").alias("blob"))
+        unseen.select("blob")
         .join(found, "blob", "left")
         .select("blob", F.lit(rules_version).alias("rules"), F.coalesce("spans", F.expr(_NO_SPANS)).alias("spans")),
         "secret-ledger",
