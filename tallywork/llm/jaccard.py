@@ -465,11 +465,12 @@ def _linked(
             .select("key", "members", "id", "n", "sketch", F.coalesce("component", "id").alias("label"))
         )
     # In a bucket the members of its most frequent label are compared with all others, not with each other.
+    several = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    labelled = store(labelled.join(several, "key", "left_semi"), "jaccard-open")
     per_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
     open_keys = (
         per_label.groupBy("key")
         .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
-        .where(F.col("all") > F.col("top.c"))
         .select(
             "key",
             F.col("top.label").alias("most"),
