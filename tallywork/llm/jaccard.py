@@ -449,10 +449,9 @@ def _linked(
         "jaccard-about",
     )
 
-    about_members = members.select("key", "members", "id").join(about, "id")
     if complete:
         # Everyone with everyone in the same bucket.
-        links, labelled = None, about_members.withColumn("label", F.col("id"))
+        links, labelled = None, members.select("key", "id", F.col("id").alias("label"))
     else:
         # First, everyone with the pivots of its buckets.
         star = members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
@@ -460,16 +459,15 @@ def _linked(
         star = store(_sketched(star, about, percent), "jaccard-pairs")
         links = store(_verified(docs, text, key, n, percent, classes, star), "jaccard-links")
         # Then, members of different components within the buckets that still hold several.
-        labelled = (
-            about_members.join(components(links), "id", "left")
-            .select("key", "members", "id", "n", "sketch", F.coalesce("component", "id").alias("label"))
-        )
-    # In a bucket the members of its most frequent label are compared with all others, not with each other.
+        found = members.select("key", "id").join(components(links), "id", "left")
+        labelled = found.select("key", "id", F.coalesce("component", "id").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
     labelled = store(labelled.join(several, "key", "left_semi"), "jaccard-open")
-    per_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    # In a bucket the members of its most frequent label are compared with all others, not with each other.
     open_keys = (
-        per_label.groupBy("key")
+        labelled.groupBy("key", "label")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("key")
         .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
         .select(
             "key",
@@ -482,8 +480,10 @@ def _linked(
     is_most = F.col("label") == F.col("most")
     side = F.when(is_most, -1 - F.pmod(F.hash("id"), F.col("most_blocks"))).otherwise(F.pmod(F.hash("id"), F.col("blocks")))
     begin = F.when(is_most, 0).otherwise(-F.col("most_blocks"))
+    # Sketches are fetched for the members of open buckets only.
     rest = (
         labelled.join(open_keys, "key")
+        .join(about, "id")
         .withColumn("side", side)
         .withColumn("other", F.explode(F.sequence(begin, F.col("blocks") - 1)))
         .select(
