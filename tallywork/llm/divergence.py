@@ -6,7 +6,7 @@ the occurrences of kept terms, a term that occurs ``count`` times has the intege
 p = 1 + floor(10^9 * (count + 2) / (N + 2 V)) in a source, and q likewise in another source or
 in the whole language; (p - q)^2 / (p + q), rounded down, says how far apart they are.
 
-Counting. A task takes the UTF-8 bytes of a few megabytes of texts at a time and finds all terms with
+Counting. A task takes the UTF-8 bytes of two megabytes of texts at a time and finds all terms with
 numpy. Terms are packed by length: up to eight bytes are one unsigned 64-bit word, up to sixteen two
 words, highest byte first; these are radix-sorted, sixteen bits a pass, and equal neighbours
 are counted as runs. Longer terms go to buckets by length (17 to 32 bytes, 33 to 64, ...) that are
@@ -37,13 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import store
+from tallywork.llm.common import release_memory, store
 
 # The term limit, the scale of probabilities, what is added to a count, the ranks of part 'term'.
 MIN_DOCS, SCALE, ADDED, TOP = 10, 1_000_000_000, 2, 10
 
 #: Bytes of text in one slice of a task; terms and sources in one block of the comparison.
-SLICE_BYTES, BLOCK_TERMS, BLOCK_SOURCES = 4 << 20, 1024, 256
+SLICE_BYTES, BLOCK_TERMS, BLOCK_SOURCES = 2 << 20, 1024, 256
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
@@ -202,6 +202,7 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
                 size += n
             if begin < batch.num_rows:
                 yield from counted(batch.slice(begin))
+        release_memory()
 
     found = rows.mapInArrow(run, "lang string, source string, term string, n long, docs long")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
