@@ -9,7 +9,7 @@ from tallywork.operators.quantiles import group_quantiles, sketched_quantiles
 from tallywork.plans import marts, quality
 from tallywork.plans.staging import stage
 from tallywork.registry.queries import QUERIES, bucketed
-from tallywork.sources.ingest import read_csv
+from tallywork.sources.ingest import clean_strings, read_csv
 from tallywork.sources.tables import write_table
 from tallywork.survey_fixture import raw_survey
 
@@ -140,6 +140,24 @@ def test_csv_blocks_shuffle_each_line_once(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning(file") == 2
 
 
+@pytest.mark.parametrize("records", ["line", "block"])
+def test_csv_takes_each_record_apart_once(spark, tmp_path, records):
+    path = tmp_path / "a.csv"
+    path.write_text("Id,Text\n" + "1,one\n \t\n2,two\n" * 50)
+    df = read_csv(spark, str(path), records)
+    assert executed(df).count("from_csv(") == 1
+    assert df.count() == 100
+
+
+def test_cleaning_runs_in_compiled_code(spark):
+    texts = ["NA", " NA ", "\u3000NA\x1f", "", "  ", "\u00a0", "a b", " a  b\t", "x\u2028", "\x85y", "\u00e9", " \u00e9", "z\u00a0z", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    cleaned = clean_strings(df)
+    assert "lambda" not in executed(cleaned)
+    stripped = [t if t is None else t.strip() for t in texts]
+    assert [r.c for r in cleaned.collect()] == [None if t in ("NA", "") else t for t in stripped]
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES)))
 def test_no_query_leaves_spark_or_crosses_tables(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
