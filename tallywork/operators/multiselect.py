@@ -40,11 +40,18 @@ def explode_multiselect(
     return items.select(*keep, item, flag.alias("wants_to_continue"))
 
 
-def items_with_flags(have: Column, want: Column, item: str) -> Column:
-    """What ``explode_multiselect`` makes rows of, as an array in its row: (item, wants_to_continue) by substring."""
-    items = F.filter(F.transform(F.split(have, ";"), F.trim), lambda x: x != "")
+def trimmed_items(have: Column) -> Column:
+    """The items that ``explode_items`` makes rows of, as an array in their row."""
+    return F.array_remove(F.split(_tidy(have), ";"), "")
+
+
+def item_flags(have: Column, want: Column) -> Column:
+    """What ``explode_multiselect`` says of each of these items by substring, in their order."""
     wanted = F.lower(want)
-    return F.transform(items, lambda x: F.struct(x.alias(item), mentions(wanted, x).alias("wants_to_continue")))
+    plain = F.transform(trimmed_items(have), lambda x: F.coalesce(F.contains(wanted, F.lower(x)), F.lit(False)))
+    # As in mentions(): only a list with LIKE's special characters has items that need a pattern.
+    special = have.contains("%") | have.contains("_") | have.contains("\\")
+    return F.when(special, F.transform(trimmed_items(have), lambda x: mentions(wanted, x))).otherwise(plain)
 
 
 def _tidy(c: Column) -> Column:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.operators.multiselect import items_with_flags
+from tallywork.operators.multiselect import item_flags, trimmed_items
 from tallywork.plans import marts
 from tallywork.plans.staging import YEARS_PHRASES
 
@@ -188,6 +188,12 @@ def test_counts(layer: str, tests: Sequence[TableTest] = SURVEY_TESTS) -> dict[s
     def bad(test: TableTest, column: Column) -> Column:
         return column.isNull() if test.kind == "not_null" else ~column.isin(*test.values)
 
+    def some_bad(test: TableTest, values: Column) -> Column:
+        """Whether an array may hold a bad value: a search for what it does not hold is NULL if there is a NULL in it."""
+        if test.kind == "not_null":
+            return values.isNotNull() & F.array_contains(values, "").isNull()
+        return F.size(reduce(F.array_remove, test.values, values)) > 0
+
     counts = {}
     for test in tests:
         if test.kind == "unique":
@@ -196,9 +202,11 @@ def test_counts(layer: str, tests: Sequence[TableTest] = SURVEY_TESTS) -> dict[s
             counts[test.name] = F.count_if(bad(test, F.col(test.column)))
         elif layer == "staging" and test.layer in EXPLODED:
             have, want, item = EXPLODED[test.layer]
-            items = items_with_flags(F.col(have), F.col(want), item)
+            # Each test makes only what it looks at, and goes through the elements one by one only where one is bad.
+            items = trimmed_items(F.col(have))
             if test.column in (item, "wants_to_continue"):
-                rows = F.size(F.filter(items, lambda x: bad(test, x[test.column])))
+                values = items if test.column == item else item_flags(F.col(have), F.col(want))
+                rows = F.when(some_bad(test, values), F.size(F.filter(values, lambda x: bad(test, x))))
             else:
                 rows = F.when(bad(test, F.col(test.column)), F.size(items))
             counts[test.name] = F.sum(F.coalesce(rows, F.lit(0)))

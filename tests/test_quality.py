@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallywork.plans import quality
+from tallywork.operators.multiselect import explode_multiselect
+from tallywork.plans import marts, quality
 from tallywork.sources.schemas import RAW_SCHEMA
 
 
@@ -93,6 +94,25 @@ def test_failures_count_distinct_values_not_rows(spark):
     assert quality.run_tests({"t": df}, [test]).first().failures == 2
 
 
+def test_counts_of_exploded_layers_make_only_what_they_look_at(spark):
+    """Wishes are looked for by the one test about them; its count is that of the exploded rows, also where some are bad."""
+    rows = [("1", "C; Java ;a_b;;x\\\\", "java;axb;c"), ("2", " ;C", None), ("3", None, "C"), (None, "C;C", "D"), ("5", "a%;", "abc")]
+    df = spark.createDataFrame(rows, "response_id string, language_have_worked string, language_want_work string")
+    tests = [
+        quality.TableTest("languages", "response_id", "not_null"),
+        quality.TableTest("languages", "language", "not_null"),
+        quality.TableTest("languages", "wants_to_continue", "accepted_values", (True,)),
+    ]
+    taken = quality.test_counts("staging", tests)
+    assert [t.name for t in tests if "lower" in str(taken[t.name])] == [tests[2].name]
+    exploded = explode_multiselect(df, *marts.LANGUAGE[1:], "language", ["response_id"])
+    expected = exploded.selectExpr(
+        "count_if(response_id IS NULL)", "count_if(language IS NULL)", "count_if(NOT wants_to_continue)"
+    ).first()
+    got = df.select(*(taken[t.name] for t in tests)).first()
+    assert tuple(got) == tuple(expected) and got[2] > 0
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         quality.run_tests({"t": spark.range(1)}, [quality.TableTest("t", "id", "odd")])
