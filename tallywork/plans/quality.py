@@ -191,7 +191,7 @@ def test_counts(layer: str, tests: Sequence[TableTest] = SURVEY_TESTS) -> dict[s
     def some_bad(test: TableTest, values: Column) -> Column:
         """Whether an array may hold a bad value: a search for what it does not hold is NULL if there is a NULL in it."""
         if test.kind == "not_null":
-            return values.isNotNull() & F.array_contains(values, "").isNull()
+            return values.isNotNull() & F.array_contains(values.cast("array<string>"), "").isNull()
         return F.size(reduce(F.array_remove, test.values, values)) > 0
 
     counts = {}

@@ -113,6 +113,12 @@ def test_counts_of_exploded_layers_make_only_what_they_look_at(spark):
     assert tuple(got) == tuple(expected) and got[2] > 0
 
 
+def test_counts_of_wishes_that_must_not_be_null(spark):
+    test = quality.TableTest("languages", "wants_to_continue", "not_null")
+    df = spark.createDataFrame([("C;Java", "C"), (None, "C"), ("a_b", None)], "language_have_worked string, language_want_work string")
+    assert df.select(quality.test_counts("staging", [test])[test.name]).first()[0] == 0
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         quality.run_tests({"t": spark.range(1)}, [quality.TableTest("t", "id", "odd")])
