@@ -24,6 +24,10 @@ parity sketches. Every
 surviving pair is verified on the n-gram sets (64-bit hashes of the n-grams). The complete
 mode compares and verifies all members of a bucket in such blocks, whatever their component.
 
+What many unrelated sets have alone in a segment, and gaps, make buckets that grow with the corpus, and their pairs
+with its square. A set agrees with a partner on more segments than one if it has more than it needs; so before members
+of a bucket are compared, each set leaves its most crowded buckets, as many as it can spare.
+
 Defined cases: null or empty texts have no n-grams and are linked with nothing; a text of
 fewer words than n has one n-gram, all of it; repeated rows are one document; rows with a
 null id are not linked, their component is null; an empty table gives an empty result.
@@ -38,18 +42,23 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import CACHE_ENTRIES, free_name, slices, store, worker_state
+from tallywork.llm.common import free_name, slices, store, worker_state
 from tallywork.llm.components import components
 
 #: Lists of ids up to so many rows are broadcast; longer ones are joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Members of a bucket that meet in one block.
 BLOCK = 1024
-_CONTENT_BITS = np.uint64(40)
+#: Buckets of more members are crowded: sets that meet their partners elsewhere too leave them.
+CROWD = 32
+#: Pairs are compared by sketch in portions of about so many.
+PAIRS_AT_ONCE = 100_000
+_CONTENT_BITS_N = 40
+_CONTENT_BITS = np.uint64(_CONTENT_BITS_N)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -60,36 +69,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Hashed n-gram sets of texts; words are remembered between texts, in two generations."""
+    """Hashed n-gram sets of texts."""
 
     def __init__(self, n: int):
-        self.n, self.new, self.old = n, {}, {}
-
-    def _word(self, word: bytes) -> int:
-        found = self.new.get(word) or self.old.get(word)
-        if found is None:
-            found = xxhash.xxh3_64_intdigest(word)
-        if len(self.new) >= CACHE_ENTRIES:
-            self.old, self.new = self.new, {}
-        self.new[word] = found
-        return found
+        self.n = n
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         """The sorted distinct n-gram hashes of a UTF-8 text; bytes.lower() and bytes.split() know ASCII only, as wanted."""
         words = text.lower().split() if text else []
         if not words:
             return np.zeros(0, dtype=np.uint64)
-        found = list(map(self.new.get, words))
-        if None in found:
-            found = [self._word(w) if h is None else h for w, h in zip(words, found, strict=True)]
-        hashes = np.fromiter(found, dtype=np.uint64, count=len(words))
+        # Hashing a word takes no longer than looking it up.
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
         width = min(self.n, len(words))
         with np.errstate(over="ignore"):
             state = np.full(len(words) - width + 1, width, dtype=np.uint64)
             for k in range(width):
                 state = _mix(state * _M1 + hashes[k : len(hashes) - width + k + 1])
         state.sort()
-        return state[np.r_[True, state[1:] != state[:-1]]]
+        return state[_begins(state)]
+
+
+def _begins(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1))
 
 
 class Bands:
@@ -134,42 +137,59 @@ class Bands:
         return words
 
 
+def _content(sums: np.ndarray) -> np.ndarray:
+    """The content bits of keys, never all 0."""
+    return np.maximum(_mix(sums) >> (np.uint64(64) - _CONTENT_BITS), np.uint64(1))
+
+
 def index_keys(elements: np.ndarray, bands: Bands, levels: dict[int, int]) -> tuple[list[int], list[int], bool]:
     """Keys of a set, keys of its gaps, and whether the set is marked as having too many. ``levels``: segments not at threshold 0."""
+    keys, gaps, spare = _index_keys(elements, bands, levels)
+    return keys.tolist(), gaps.tolist(), any(x < 0 for *_, x in spare)
+
+
+def _index_keys(
+    elements: np.ndarray, bands: Bands, levels: dict[int, int]
+) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Keys of a set, keys of its gaps, and for each band its first segment, the one after its last, and the weight to spare.
+
+    The weight to spare is what the set has in the band beyond what it needs to meet every partner; a set that has too many
+    gaps lacks some. The content bits of a gap's key, and of no other, are 0.
+    """
     keys: list[np.ndarray] = []
     gaps: list[np.ndarray] = []
-    marked = False
+    spare: list[tuple[int, int, int]] = []
     size = len(elements)
     with np.errstate(over="ignore"):
+        values = _mix(elements ^ _M1)
         for band in bands.bands_of(size):
             m, first = bands.segments[band], bands.first[band]
-            segment = (_mix(elements + np.uint64(band)) % np.uint64(m)).astype(np.int64)
+            # Short numbers are sorted by their digits.
+            segment = (_mix(elements + np.uint64(band)) % np.uint64(m)).astype(np.uint16 if m <= 1 << 16 else np.int64)
             order = np.argsort(segment, kind="stable")
-            segment, value = segment[order], _mix(elements[order] ^ _M1)
-            starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-            present = segment[starts]
-            count = np.diff(np.r_[starts, size])
+            segment, value = segment[order], values[order]
+            starts = _begins(segment)
+            present = segment[starts].astype(np.int64)
+            count = np.diff(starts, append=size)
             total = np.add.reduceat(value, starts)
             place = (np.uint64(first) + present.astype(np.uint64)) << _CONTENT_BITS
             level = np.zeros(len(present), dtype=np.int64)
             if levels:
                 level = np.array([levels.get(first + int(p), 0) for p in present], dtype=np.int64)
-            key = place | (_mix(total) >> (np.uint64(64) - _CONTENT_BITS))
+            key = (place | _content(total)).astype(np.int64)
             keys.append(key[level >= 0])
             for i in np.flatnonzero((level > 0) & (count > 1)):
                 less = total[i] - value[starts[i] : starts[i] + count[i]]
-                keys.append(place[i] | (_mix(less) >> (np.uint64(64) - _CONTENT_BITS)))
+                keys.append(np.unique(place[i] | _content(less)).astype(np.int64))
             weight = np.where(level < 0, 0, np.where((level > 0) & (count > 1), 2, 1)).sum()
-            marked |= bool(weight < bands.needed(size, band))
-            missing = np.setdiff1d(np.arange(m), present, assume_unique=True)
-            gaps.append((np.uint64(first) + missing.astype(np.uint64)) << _CONTENT_BITS)
+            spare.append((first, first + m, int(weight) - bands.needed(size, band)))
+            missing = np.ones(m, dtype=bool)
+            missing[present] = False
+            gaps.append((first + np.flatnonzero(missing)) << _CONTENT_BITS_N)
     if not keys:
-        return [], [], False
-    return (
-        np.unique(np.concatenate(keys)).astype(np.int64).tolist(),
-        np.concatenate(gaps).astype(np.int64).tolist(),
-        marked,
-    )
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    every = np.concatenate(keys)
+    return np.unique(every) if levels else every, np.concatenate(gaps), spare
 
 
 def parity_sketch(elements: np.ndarray, words: int) -> np.ndarray:
@@ -178,20 +198,23 @@ def parity_sketch(elements: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def fold(sketch: np.ndarray, words: int) -> np.ndarray:
-    """The sketch that fewer words would have given."""
-    while len(sketch) > words:
-        half = len(sketch) // 2
-        sketch = sketch[:half] ^ sketch[half:]
-    return sketch
-
-
 def _tools(n: int, percent: int) -> tuple[Shingler, Bands]:
-    """Kept per Python worker: the words seen and the bands made."""
+    """Kept per Python worker: the bands made."""
     return worker_state(("jaccard", n, percent), lambda: (Shingler(n), Bands(percent)))
 
 
-_INDEX = "id {0}, n long, h1 long, h2 long, keys array<long>, gaps array<long>, marked boolean, sketch array<long>"
+_BANDS = T.ArrayType(T.StructType([T.StructField(name, T.LongType()) for name in ("first", "until", "spare")]))
+_INDEX = (
+    "id {0}, n long, h1 long, h2 long, keys array<long>, gaps array<long>, marked boolean, "
+    f"bands {_BANDS.simpleString()}, sketch array<long>"
+)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    """A list of longs for each row."""
+    ends = np.cumsum([0, *map(len, rows)])
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
 
 def index_sets(docs: DataFrame, text: str, key: str, n: int, percent: int, levels: dict[int, int]) -> DataFrame:
@@ -202,23 +225,24 @@ def index_sets(docs: DataFrame, text: str, key: str, n: int, percent: int, level
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands = _tools(n, percent)
         for batch in slices(batches):
-            sizes, h1, h2, keys, gaps, marks, sketches = [], [], [], [], [], [], []
+            sizes, h1, h2, keys, gaps, marks, spares, sketches = [], [], [], [], [], [], [], []
             for value in batch.column("text"):
                 s = shingles(value.as_py())
-                k, g, m = index_keys(s, bands, levels)
+                k, g, spare = _index_keys(s, bands, levels)
                 for sums, x in zip((h1, h2), set_hashes(s), strict=True):
                     sums.append(x)
                 sizes.append(len(s))
                 keys.append(k)
                 gaps.append(g)
-                marks.append(m)
+                marks.append(any(x < 0 for *_, x in spare))
+                spares.append([dict(zip(("first", "until", "spare"), x, strict=True)) for x in spare])
                 top = bands.bands_of(len(s))[-1:] if len(s) else []
-                sketches.append(parity_sketch(s, bands.sketch_words(top[0])).astype(np.int64).tolist() if top else [])
-            longs = pa.list_(pa.int64())
+                sketches.append(parity_sketch(s, bands.sketch_words(top[0])).view(np.int64) if top else s[:0].view(np.int64))
+            of_bands = pa.list_(pa.struct([(name, pa.int64()) for name in ("first", "until", "spare")]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                 pa.array(keys, longs), pa.array(gaps, longs), pa.array(marks, pa.bool_()), pa.array(sketches, longs)],
-                ["id", "n", "h1", "h2", "keys", "gaps", "marked", "sketch"],
+                 _lists(keys), _lists(gaps), pa.array(marks, pa.bool_()), pa.array(spares, of_bands), _lists(sketches)],
+                ["id", "n", "h1", "h2", "keys", "gaps", "marked", "bands", "sketch"],
             )
 
     return slim.mapInArrow(run, _INDEX.format(kind))
@@ -232,9 +256,7 @@ def sets_of(docs: DataFrame, text: str, n: int, percent: int) -> DataFrame:
         for batch in slices(batches):
             found = [shingles(v.as_py()) for v in batch.column("text")]
             sums = [set_hashes(s) for s in found]
-            ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
-            values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+            values = _lists([s.view(np.int64) for s in found])
             whole = [pa.array(x, pa.int64()) for x in (map(len, found), (x for x, _ in sums), (x for _, x in sums))]
             yield pa.RecordBatch.from_arrays([*whole, values], ["n", "h1", "h2", "elements"])
 
@@ -248,66 +270,115 @@ def set_hashes(elements: np.ndarray) -> tuple[int, int]:
         return tuple(int(_mix(elements ^ salt).sum(dtype=np.uint64).astype(np.int64)) for salt in (_M2, _M3))
 
 
-def _near(sizes: np.ndarray, sketches: list[np.ndarray], i: int, others: np.ndarray, percent: int) -> np.ndarray:
-    """Which of ``others`` may be similar to member i, by size and by parity sketch."""
-    low = np.minimum(sizes[others], sizes[i])
-    high = np.maximum(sizes[others], sizes[i])
-    others = others[100 * low >= percent * high]
-    if not len(others):
-        return others
-    words = min(len(sketches[i]), min(len(sketches[j]) for j in others))
-    mine = fold(sketches[i], words)
-    theirs = np.stack([fold(sketches[j], words) for j in others])
-    apart = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
-    return others[apart <= (100 - percent) * (sizes[others] + sizes[i]) // (100 + percent)]
+def _near(
+    sizes: np.ndarray, words: np.ndarray, values: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int
+) -> np.ndarray:
+    """Which of the pairs of members (a[i], b[i]) may be similar, by size and by parity sketch.
+
+    ``words`` has the length of each member's sketch, ``values`` all sketches, one after the other.
+    """
+    low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+    keep = 100 * low >= percent * high
+    common = np.minimum(words[a], words[b])
+    starts = np.cumsum(words) - words
+    for w in np.unique(common[keep]):
+        at = np.flatnonzero(keep & (common == w))
+        step = max(1, (PAIRS_AT_ONCE * 8) // int(max(words[a[at]].max(), words[b[at]].max(), 1)))
+        for begin in range(0, len(at), step):
+            some = at[begin : begin + step]
+            apart = np.bitwise_count(
+                _folded(a[some], int(w), words, starts, values) ^ _folded(b[some], int(w), words, starts, values)
+            ).sum(axis=1, dtype=np.int64)
+            keep[some] = apart <= (100 - percent) * (low[some] + high[some]) // (100 + percent)
+    return keep
+
+
+def _folded(members: np.ndarray, w: int, words: np.ndarray, starts: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The sketches of ``members`` as ``w`` words would have given them, a row each."""
+    out = np.zeros((len(members), w), dtype=np.uint64)
+    for have in np.unique(words[members]):
+        at = np.flatnonzero(words[members] == have)
+        whole = values[starts[members[at]][:, None] + np.arange(have)]
+        while whole.shape[1] > w:
+            half = whole.shape[1] // 2
+            whole = whole[:, :half] ^ whole[:, half:]
+        out[at] = whole
+    return out
+
+
+def _sketches(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The length of each sketch, and all of them one after the other."""
+    return np.diff(column.offsets.to_numpy()).astype(np.int64), column.flatten().to_numpy().view(np.uint64)
+
+
+def _pairs_within(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j), i before j, of every two equal values in a sorted array, in portions."""
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    ends = np.repeat(np.r_[starts[1:], len(group)], np.diff(np.r_[starts, len(group)]))
+    first, held, n = np.arange(len(group)), [], 0
+    for distance in range(1, len(group)):
+        first = first[first + distance < ends[first]]
+        if not len(first):
+            break
+        held.append((first, first + distance))
+        n += len(first)
+        if n >= PAIRS_AT_ONCE:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
 def _pairs_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs that may be similar, of different components, among rows with the same bucket and block; sorted input per task."""
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def pairs(ids: list, sides: list, labels: list, sizes: list, sketches: list) -> Iterator[tuple]:
-        sizes, labels = np.array(sizes), np.array(labels, dtype=object)
-        sides = np.array(sides)
-        sketches = [np.array(s, dtype=np.int64).view(np.uint64) for s in sketches]
-        whole = len(set(sides.tolist())) == 1  # one block with itself
-        for i in range(len(ids)):
-            others = np.arange(i + 1, len(ids))
-            others = others[labels[others] != labels[i]]
-            if not whole:
-                others = others[sides[others] != sides[i]]
-            if len(others):
-                for j in _near(sizes, sketches, i, others, percent):
-                    yield (ids[i], ids[j]) if ids[i] < ids[j] else (ids[j], ids[i])
+
+    def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        key, low, high, ids, side, label, sizes = (
+            batch.column(c).to_numpy() for c in ("key", "low", "high", "id", "side", "label", "n")
+        )
+        words, values = _sketches(batch.column("sketch"))
+        for i, j in _pairs_within(_numbered_groups(key, low, high)):
+            # Of two blocks, only members of one and the other are compared.
+            wanted = (label[i] != label[j]) & ((low[i] == high[i]) | (side[i] != side[j]))
+            i, j = i[wanted], j[wanted]
+            near = _near(sizes, words, values, i, j, percent)
+            if near.any():
+                a, b = ids[i[near]], ids[j[near]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, ([], [], [], [], [])
-        out: set[tuple] = set()
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            group = _numbered_groups(*(batch.column(c).to_numpy() for c in ("key", "low", "high")))
+            last = int(np.searchsorted(group, group[-1])) if len(group) else 0  # the last group may go on
+            begun = [batch.slice(last)] if last < batch.num_rows else []
+            if held and len(group) and not _same_group(held[-1], batch):
+                yield from pairs(_joined(held))
+                held = []
+            if last:
+                yield from pairs(_joined([*held, batch.slice(0, last)]))
+                held = []
+            held += begun
+        if held:
+            yield from pairs(_joined(held))
 
-        def batch_of() -> pa.RecordBatch:
-            a, b = zip(*out, strict=True)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    return rows.mapInArrow(run, "a long, b long")
 
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "low", "high", "id", "side", "label", "n", "sketch")]
-            for k, low, high, *member in zip(*columns, strict=True):
-                if (k, low, high) != at:
-                    for pair in pairs(*held):
-                        out.add(pair)
-                        if len(out) > 50_000:
-                            yield batch_of()
-                    at, held = (k, low, high), ([], [], [], [], [])
-                for values, value in zip(held, member, strict=True):
-                    values.append(value)
-        for pair in pairs(*held):
-            out.add(pair)
-            if len(out) > 50_000:
-                yield batch_of()
-        if out:
-            yield batch_of()
-
-    return rows.mapInArrow(run, f"a {kind}, b {kind}")
+
+def _numbered_groups(*columns: np.ndarray) -> np.ndarray:
+    """Numbers that grow where any of the columns changes."""
+    if not len(columns[0]):
+        return np.zeros(0, dtype=np.int64)
+    changes = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.r_[0, np.cumsum(changes)]
+
+
+def _same_group(before: pa.RecordBatch, after: pa.RecordBatch) -> bool:
+    return all(before.column(c)[-1] == after.column(c)[0] for c in ("key", "low", "high"))
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
 
 
 def _bounded(ids: DataFrame) -> DataFrame:
@@ -364,6 +435,41 @@ def _verified(
     )
 
 
+def _segment(key: str = "key") -> Column:
+    return F.shiftrightunsigned(key, _CONTENT_BITS_N)
+
+
+def _needed_in(crowded: DataFrame, about: DataFrame, raised: bool) -> DataFrame:
+    """The rows of ``crowded`` (members of crowded buckets, with the columns key, members and id) that sets cannot do without.
+
+    A set leaves out as many of a band's buckets as it has weight to spare there, in an order that is the same for all sets,
+    the most crowded first. Of the keys that two partners share the last in this order stays in both: a set that left it
+    out would have left out all, and so more than it could spare. Gaps are needed by sets without weight to spare only.
+    """
+    bands = about.select("id", F.explode("bands").alias("band")).select("id", "band.*")
+    segment = _segment()
+    placed = crowded.join(bands, "id").where((F.col("first") <= segment) & (segment < F.col("until")))
+    is_gap = F.col("key").bitwiseAND(F.lit((1 << _CONTENT_BITS_N) - 1)) == 0
+    order = Window.partitionBy("id", "first", is_gap).orderBy(F.desc("members"), "key")
+    weight = F.row_number().over(order) * (2 if raised else 1)  # a key of a raised segment may stand for 2
+    needed = F.when(is_gap, F.col("spare") < 0).otherwise(F.col("spare") < weight)
+    return placed.withColumn("needed", needed).where("needed").select(crowded.columns)
+
+
+def _costs(buckets: DataFrame, members: DataFrame, about: DataFrame) -> DataFrame:
+    """(segment, cost): how many pairs the buckets of each segment bring together."""
+    held = _needed_in(members.where(F.col("members") > CROWD).select("key", "members", "id"), about, raised=False)
+    crowds = held.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    pairs = F.col("members").cast("double") * (F.col("members") - 1) / 2
+    return (
+        buckets.where(F.col("members") <= CROWD)
+        .select("key", "members")
+        .unionByName(crowds)
+        .groupBy(_segment().alias("segment"))
+        .agg(F.sum(pairs).alias("cost"))
+    )
+
+
 def _levels(counts: DataFrame, n_sets: int, bands: Bands) -> dict[int, int]:
     """Segments to leave out (-1) and to raise (1), from the collisions of every segment.
 
@@ -433,25 +539,29 @@ def _linked(
         found = grouped.where("least < most").select("key", F.col("least").bitwiseXOR(mask).alias("pivot"), "members")
         return store(found, "jaccard-buckets")
 
-    sets = sets_in(indexed)
-    buckets = contested(sets)
-    pairs_of = F.col("members").cast("double") * (F.col("members") - 1) / 2
-    costs = buckets.groupBy(F.shiftrightunsigned("key", 40).alias("segment")).agg(F.sum(pairs_of).alias("cost"))
-    levels = _levels(costs, classes.table.count(), Bands(percent))
-    if levels:
-        sets = sets_in(store(index_sets(docs, text, key, n, percent, levels), "jaccard-index"))
+    def index_of(table: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Contested buckets, their members, and what is known of these."""
+        sets = sets_in(table)
         buckets = contested(sets)
-    members = store(
-        entries(sets).join(buckets, "key").select("key", "pivot", "members", "id").distinct(), "jaccard-members"
-    )
-    about = store(
-        sets.select("id", "n", "sketch").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]),
-        "jaccard-about",
-    )
+        members = store(
+            entries(sets).join(buckets, "key").select("key", "pivot", "members", "id").distinct(), "jaccard-members"
+        )
+        about = store(
+            sets.select("id", "n", "bands", "sketch")
+            .join(members.select("id").distinct(), "id", "left_semi")
+            .dropDuplicates(["id"]),
+            "jaccard-about",
+        )
+        return buckets, members, about
+
+    buckets, members, about = index_of(indexed)
+    levels = _levels(_costs(buckets, members, about), classes.table.count(), Bands(percent))
+    if levels:
+        buckets, members, about = index_of(store(index_sets(docs, text, key, n, percent, levels), "jaccard-index"))
 
     if complete:
         # Everyone with everyone in the same bucket.
-        links, labelled = None, members.select("key", "id", F.col("id").alias("label"))
+        links, labelled = None, members.select("key", "members", "id", F.col("id").alias("label"))
     else:
         # First, everyone with the pivots of its buckets.
         star = members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
@@ -459,16 +569,21 @@ def _linked(
         star = store(_sketched(star, about, percent), "jaccard-pairs")
         links = store(_verified(docs, text, key, n, percent, classes, star), "jaccard-links")
         # Then, members of different components within the buckets that still hold several.
-        found = members.select("key", "id").join(components(links), "id", "left")
-        labelled = found.select("key", "id", F.coalesce("component", "id").alias("label"))
+        found = members.select("key", "members", "id").join(components(links), "id", "left")
+        labelled = found.select("key", "members", "id", F.coalesce("component", "id").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
     labelled = store(labelled.join(several, "key", "left_semi"), "jaccard-open")
+    # Of a crowded bucket only the sets that cannot do without it stay.
+    crowded = labelled.where(F.col("members") > CROWD)
+    held = store(_needed_in(crowded, about, raised=bool(levels)), "jaccard-crowds")
+    labelled = labelled.where(F.col("members") <= CROWD).unionByName(held)
     # In a bucket the members of its most frequent label are compared with all others, not with each other.
     open_keys = (
         labelled.groupBy("key", "label")
         .agg(F.count(F.lit(1)).alias("c"))
         .groupBy("key")
         .agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all"))
+        .where(F.col("all") > F.col("top.c"))
         .select(
             "key",
             F.col("top.label").alias("most"),
@@ -537,7 +652,6 @@ def _link_counts(indexed: DataFrame, classes: Classes, links: DataFrame) -> Data
 
 def _sketched(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """The pairs that sizes and parity sketches do not rule out."""
-    kind = pairs.schema["a"].dataType.simpleString()
     left = about.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = about.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b").where(
@@ -546,14 +660,13 @@ def _sketched(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.array([batch.column("na").to_pylist(), batch.column("nb").to_pylist()]).reshape(2, -1)
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)):
-                sketches = [np.array(s, dtype=np.int64).view(np.uint64) for s in (x, y)]
-                keep.append(len(_near(sizes[:, i], sketches, 0, np.array([1]), percent)) > 0)
+            sizes = np.concatenate([batch.column(c).to_numpy() for c in ("na", "nb")])
+            words, values = (np.concatenate(x) for x in zip(*(_sketches(batch.column(c)) for c in ("sa", "sb")), strict=True))
+            first = np.arange(batch.num_rows)
+            keep = _near(sizes, words, values, first, first + batch.num_rows, percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _with_sets(docs: DataFrame, text: str, n: int, percent: int, names: list[str]) -> DataFrame:

@@ -446,6 +446,77 @@ def test_strays_of_a_bucket_meet_its_most_frequent_component(spark, monkeypatch,
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 1, 80)
 
 
+def test_a_word_that_many_sets_share_does_not_compare_them_all(spark, monkeypatch):
+    """Unrelated sets with one common word fall into one bucket where it is alone in its segment; they meet partners elsewhere."""
+    rows = []
+    for k in range(600):
+        words = ["common", *(f"w{k}-{i}" for i in range(19))]
+        rows.append((len(rows), " ".join(words)))
+        if k % 20 == 0:
+            rows.append((len(rows), " ".join([*words[:-1], "other"])))
+    largest, blocks = [], jaccard._pairs_in_blocks
+
+    def seen(dealt, percent):
+        largest.append(dealt.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return blocks(dealt, percent)
+
+    monkeypatch.setattr(jaccard, "_pairs_in_blocks", seen)
+    got, _ = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), n=1, percent=80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 1, 80)
+    assert max(largest) <= 32
+
+
+@pytest.mark.parametrize("raised", [False, True])
+def test_crowded_buckets_lose_no_link(spark, monkeypatch, raised):
+    """Every bucket of two or more is crowded and the star finds nothing: what sets still compare gives all links."""
+    rng = random.Random(17)
+    rows = []
+    for size in (6, 14, 30, 70):
+        for k in range(12):
+            base = [f"c{i}" for i in range(size // 3)] + [f"w{k}-{i}" for i in range(size - size // 3)]
+            for j in range(4):
+                copy = list(base)
+                for at in rng.sample(range(size), rng.randint(0, size // 9)):
+                    copy[at] = f"x{j}-{at}"
+                rows.append((len(rows), " ".join(copy)))
+
+    def chosen(counts, n_sets, bands):
+        counts.collect()
+        bands.band(500)
+        return {f + k: v for f, m in zip(bands.first, bands.segments, strict=True) if m for k, v in ((0, -1), (m - 1, 1))}
+
+    monkeypatch.setattr(jaccard, "CROWD", 1)
+    monkeypatch.setattr(jaccard, "_sketched", lambda pairs, *_: pairs.limit(0))
+    if raised:
+        monkeypatch.setattr(jaccard, "_levels", chosen)
+    got, _ = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), n=1, percent=80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows, 1, 80)
+
+
+def test_sketches_rule_out_no_similar_pair():
+    """Pairs of members in groups, with sketches of several lengths: all that are similar stay, and most others go."""
+    draw = np.random.default_rng(3)
+    bands, sets, group = jaccard.Bands(80), [], []
+    for g, size in enumerate((5, 40, 300, 700)):
+        base = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64))
+        for _ in range(6):
+            drop = draw.permutation(len(base))[: draw.integers(0, size // 6 + 1)]
+            more = draw.integers(0, 1 << 63, draw.integers(0, size // 6 + 1), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([np.delete(base, drop), more])))
+            group.append(g // 2)
+    sketches = [jaccard.parity_sketch(s, bands.sketch_words(bands.bands_of(len(s))[-1])) for s in sets]
+    sizes, words = np.array([*map(len, sets)]), np.array([*map(len, sketches)])
+    assert len(set(words.tolist())) > 1
+    i, j = (np.concatenate(x) for x in zip(*jaccard._pairs_within(np.array(group)), strict=True))
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == {
+        (a, b) for a in range(24) for b in range(a + 1, 24) if group[a] == group[b]
+    }
+    kept = jaccard._near(sizes, words, np.concatenate(sketches), i, j, 80)
+    shared = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    alike = 100 * shared >= 80 * (sizes[i] + sizes[j] - shared)
+    assert alike.any() and kept[alike].all() and not kept[shared == 0].any()
+
+
 def test_a_repeated_id_loses_only_its_copies(spark):
     rows = [(3, PROSE), (5, PROSE), (5, OTHER), (5, OTHER), (6, LEAK), (7, OTHER), (8, ""), (8, LEAK), (None, PROSE)]
     kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
